@@ -13,6 +13,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def _plus_zero(sql: str) -> str:
+    """Wrap every ``round(...)`` as ``(round(...) + 0.0)``: DuckDB keeps the
+    sign of a negative zero after rounding, Spark does not."""
+    out, i, low = [], 0, sql.lower()
+    while True:
+        j = low.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_"):
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k = 0, j + 5
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        inner = _plus_zero(sql[j + 6:k])
+        out.append(sql[i:j] + "(round(" + inner + ") + 0.0)")
+        i = k + 1
+
+
 def register(name: str, sql: str | None = None):
     """Register ``fn(spark, sf_dir) -> DataFrame`` under ``name`` with an optional oracle."""
     def deco(fn):
@@ -26,7 +53,7 @@ def register(name: str, sql: str | None = None):
 
         QUERIES[name] = run
         if sql is not None:
-            ORACLE[name] = sql
+            ORACLE[name] = _plus_zero(sql)
         return fn
     return deco
 
