@@ -52,12 +52,12 @@ def daily_tone(news: DataFrame, digits: int = 3) -> DataFrame:
 
 NEWS_SQL = """
 SELECT date AS fecha, count(1) AS volumen_noticias,
-       round(avg(try_cast(get(split(v2tone, ','), 0) AS double)), 3) AS sentimiento_promedio,
-       round(avg(try_cast(get(split(v2tone, ','), 1) AS double)), 3) AS puntuacion_positiva,
-       round(avg(try_cast(get(split(v2tone, ','), 2) AS double)), 3) AS puntuacion_negativa,
-       round(avg(try_cast(get(split(v2tone, ','), 3) AS double)), 3) AS polaridad_promedio,
-       round(stddev_samp(try_cast(get(split(v2tone, ','), 0) AS double)), 3) AS volatilidad_sentimiento,
-       round(avg(try_cast(get(split(v2tone, ','), 4) AS double)), 3) AS uso_primera_persona
+       round(avg(try_cast(get(split(v2tone, ','), 0) AS double)) * 1000) / 1000 AS sentimiento_promedio,
+       round(avg(try_cast(get(split(v2tone, ','), 1) AS double)) * 1000) / 1000 AS puntuacion_positiva,
+       round(avg(try_cast(get(split(v2tone, ','), 2) AS double)) * 1000) / 1000 AS puntuacion_negativa,
+       round(avg(try_cast(get(split(v2tone, ','), 3) AS double)) * 1000) / 1000 AS polaridad_promedio,
+       round(stddev_samp(try_cast(get(split(v2tone, ','), 0) AS double)) * 1000) / 1000 AS volatilidad_sentimiento,
+       round(avg(try_cast(get(split(v2tone, ','), 4) AS double)) * 1000) / 1000 AS uso_primera_persona
 FROM news
 WHERE date BETWEEN :start_date AND :end_date
   AND lower(orgs) LIKE :keyword
@@ -68,9 +68,10 @@ GROUP BY fecha
 
 def daily_tone_sql(spark: SparkSession, news: DataFrame, start: str, end: str, keyword: str) -> DataFrame:
     """F2 with bound parameters: the same query as SQL text with named args."""
-    news.createOrReplaceTempView("news")
-    return spark.sql(NEWS_SQL, args={"start_date": F.lit(start).cast("date"), "end_date": F.lit(end).cast("date"),
-                                     "keyword": f"%{keyword.lower()}%"})
+    import datetime as dt
+    return spark.sql(NEWS_SQL.replace("FROM news", "FROM {news}"), news=news,
+                     args={"start_date": dt.date.fromisoformat(start), "end_date": dt.date.fromisoformat(end),
+                           "keyword": f"%{keyword.lower()}%"})
 
 
 def silver(raw: DataFrame) -> DataFrame:
