@@ -166,6 +166,7 @@ def slice_or_latest(df: DataFrame, start: str, end: str, keys=("symbol",)) -> Da
     d = F.col("date")
     inside = d.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
     whole = Window.partitionBy(*keys)
-    latest = F.col("date") == F.max("date").over(whole)
-    any_inside = F.max(inside.cast("int")).over(whole)
-    return df.where(inside | ((any_inside == 0) & latest))
+    marked = df.withColumns({"_inside": inside.cast("int"), "_last": F.max("date").over(whole)})
+    marked = marked.withColumn("_any", F.max("_inside").over(whole))
+    keep = (F.col("_inside") == 1) | ((F.col("_any") == 0) & (F.col("date") == F.col("_last")))
+    return marked.where(keep).drop("_inside", "_last", "_any")
