@@ -42,31 +42,34 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def upsert_table(spark: SparkSession, path: str, new: DataFrame, keys: list[str], seq: str = "batch_seq",
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    return sorted(int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit())
+
+
+def upsert_table(spark: SparkSession, root: str, new: DataFrame, keys: list[str], seq: str = "batch_seq",
                  contract=None, stage: str = "upsert") -> DataFrame:
-    """C1-C4 on a stored table: read history (if readable), merge newest-wins,
-    optionally contract-check (C4), write a new version and return it."""
-    hist = read_or_none(spark, path)
-    merged = append_and_dedup(hist, new, keys, seq)
+    """C1-C4 on a stored table.  Each merge reads the latest version under
+    ``root`` (an unreadable or missing history counts as absent, C3), merges
+    newest-wins keeping the batch sequence, optionally checks the contract
+    (C4) and writes the next version: readers never see a half-written table
+    and a version is never overwritten while it is being read."""
+    versions = _versions(spark, root)
+    hist = read_or_none(spark, f"{root}/v={versions[-1]}") if versions else None
+    merged = new if hist is None else hist.unionByName(new, allowMissingColumns=True)
+    merged = newest_wins(merged, keys, seq, keep_seq=True)
     if contract is not None:
         validate(merged, contract, stage)
-    out = f"{path}.v{_next_version(spark, path)}"
+    out = f"{root}/v={(versions[-1] + 1) if versions else 1}"
     merged.write.mode("overwrite").parquet(out)
     return spark.read.parquet(out)
 
 
-def _next_version(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    parent = p.getParent()
-    if not fs.exists(parent):
-        return 1
-    name = p.getName()
-    return 1 + sum(1 for st in fs.listStatus(parent) if st.getPath().getName().startswith(name + ".v"))
-
-
 def touched_keys(new: DataFrame, key: str = "symbol") -> DataFrame:
     return new.select(key).distinct()
 
