@@ -43,15 +43,19 @@ def ob_ctes(capital: float, first_row_position: bool, src: str = "preds", name:
     ]
 
 
-def metrics_ctes(capital: float, src: str = "ob"):
+def metrics_ctes(capital: float, src: str = "ob", keys: str = K, price: str = "price_close"):
     cap = dbl(capital)
+    W = f"PARTITION BY {keys} ORDER BY date"  # noqa: N806
+    WR = f"{W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"  # noqa: N806
+    kc = len(keys.split(","))
+    gb = ", ".join(str(i + 1) for i in range(kc))
     return [
         ("mdd", f"""
             SELECT *, (Buy_Hold_Equity - max(Buy_Hold_Equity) OVER ({WR})) / max(Buy_Hold_Equity) OVER ({WR}) AS dd_bh,
                       (Strategy_Equity - max(Strategy_Equity) OVER ({WR})) / max(Strategy_Equity) OVER ({WR}) AS dd_st
             FROM {src}"""),
         ("m0", f"""
-            SELECT model, symbol, count(*) AS days,
+            SELECT {keys}, count(*) AS days,
                    (arg_max(Strategy_Equity, date) / {cap} - 1) * 100 AS strategy_return,
                    (arg_max(Buy_Hold_Equity, date) / {cap} - 1) * 100 AS bh_return,
                    CASE WHEN stddev_samp(Strategy_Returns) = 0 THEN 0.0
@@ -63,27 +67,27 @@ def metrics_ctes(capital: float, src: str = "ob"):
                         ELSE {SQ} * avg(Returns) / stddev_samp(CASE WHEN Returns < 0 THEN Returns END) END AS sortino_bh,
                    min(dd_st) * 100 AS max_dd, min(dd_bh) * 100 AS max_dd_bh,
                    count(*) FILTER (WHERE Buy_Signal) AS num_trades
-            FROM mdd GROUP BY model, symbol"""),
+            FROM mdd GROUP BY {keys}"""),
         ("ev", f"""
-            SELECT model, symbol, date, price_close, row_number() OVER ({W}) - 1 AS e
+            SELECT {keys}, date, {price} AS price_close, row_number() OVER ({W}) - 1 AS e
             FROM {src} WHERE Buy_Signal OR Sell_Signal"""),
-        ("pairs", """
-            SELECT model, symbol, CAST(floor(e / 2) AS BIGINT) AS pair, min(date) AS open_date, max(date) AS close_date,
+        ("pairs", f"""
+            SELECT {keys}, CAST(floor(e / 2) AS BIGINT) AS pair, min(date) AS open_date, max(date) AS close_date,
                    arg_min(price_close, e) AS p_open, arg_max(price_close, e) AS p_close,
                    (arg_max(price_close, e) - arg_min(price_close, e)) / arg_min(price_close, e) AS trade_return
-            FROM ev GROUP BY 1, 2, 3 HAVING count(*) = 2"""),
-        ("tstats", """
-            SELECT model, symbol, count(*) AS n_pairs,
+            FROM ev GROUP BY {gb}, {kc + 1} HAVING count(*) = 2"""),
+        ("tstats", f"""
+            SELECT {keys}, count(*) AS n_pairs,
                    coalesce(count(*) FILTER (WHERE trade_return > 0) * 100.0 / count(*), 0.0) AS win_rate,
                    coalesce(avg(CASE WHEN trade_return > 0 THEN trade_return END) * 100, 0.0) AS avg_win,
                    coalesce(avg(CASE WHEN trade_return < 0 THEN trade_return END) * 100, 0.0) AS avg_loss
-            FROM pairs GROUP BY 1, 2"""),
-        ("met", """
+            FROM pairs GROUP BY {gb}"""),
+        ("met", f"""
             SELECT m0.*, CASE WHEN max_dd = 0 THEN 0.0 ELSE strategy_return / abs(max_dd) END AS calmar,
                    CASE WHEN max_dd_bh = 0 THEN 0.0 ELSE bh_return / abs(max_dd_bh) END AS calmar_bh,
                    coalesce(t.n_pairs, 0) AS n_pairs, coalesce(t.win_rate, 0.0) AS win_rate,
                    coalesce(t.avg_win, 0.0) AS avg_win, coalesce(t.avg_loss, 0.0) AS avg_loss
-            FROM m0 LEFT JOIN tstats t USING (model, symbol)"""),
+            FROM m0 LEFT JOIN tstats t USING ({keys})"""),
     ]
 
 
