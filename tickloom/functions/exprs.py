@@ -73,3 +73,11 @@ def rnd_even(c: str | Column, digits: int = 2) -> Column:
     """numpy/pandas ``round``: half to even on x * 10^d."""
     m = float(10 ** digits)
     return F.bround(col(c) * m, 0) / m
+
+
+def pair_corr(a: str, b: str) -> Column:
+    """Pearson correlation over the rows where both values exist (pandas'
+    pairwise rule); NULL for a constant column (ANSI ``corr`` would raise)."""
+    x = F.when(F.col(b).isNotNull(), F.col(a))
+    y = F.when(F.col(a).isNotNull(), F.col(b))
+    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
