@@ -53,10 +53,11 @@ def shared_dir(spark: SparkSession) -> str:
     to other executors).  Only a local-mode session without it gets a private
     temporary folder, as in tests.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if d:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(d)
         return d.rstrip("/")
     master = spark.sparkContext.master
     if not master.startswith("local"):
@@ -70,3 +71,11 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared folder for one written table."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(spark: SparkSession, df):
+    """Cut the lineage of ``df``: write it once to the shared checkpoint folder
+    (reliable, survives executor loss) and read from there afterwards.  Used
+    before iterative algorithms that would otherwise recompute the plan."""
+    shared_dir(spark)
+    return df.checkpoint(eager=True)
