@@ -284,3 +284,12 @@ def q_d15(spark, sf):
     c = ind.candidate_features(score_table(spark, sf))
     return c.select("symbol", "date", "RSI_Signal", rnd("Sentiment_Momentum", 6).alias("Sentiment_Momentum"),
                     "Volume_Spike")
+
+
+@register("e7_cyclic_encodings", with_views(["bars"], f"""
+    SELECT symbol, date, round(sin({TWO_PI} * m / 12), 8) AS month_sin, round(cos({TWO_PI} * m / 12), 8) AS month_cos,
+           round(sin({TWO_PI} * w / 7), 8) AS day_sin, round(cos({TWO_PI} * w / 7), 8) AS day_cos
+    FROM (SELECT symbol, date, CAST(month(date) AS INTEGER) AS m, CAST(isodow(date) - 1 AS INTEGER) AS w FROM bars)"""))
+def q_e7(spark, sf):
+    c = fe.cyclic(fe.calendar(fx.bars(spark, sf).select("symbol", "date")))
+    return out_spark(c, ["symbol", "date", "month_sin", "month_cos", "day_sin", "day_cos"])

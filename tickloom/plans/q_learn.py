@@ -8,7 +8,7 @@ from ..functions.exprs import rnd as R
 from ..operators import features as fe
 from ..operators import learnset as ls
 from ..operators import models as md
-from ..session import materialize
+from ..session import materialize, scratch_path
 from ..sources import fixtures as fx
 from .oracle import dbl, with_views
 from .q_explore import master
@@ -156,10 +156,12 @@ def learn_frame(spark, sf):
 
 
 def fit_predict(df, pipeline):
+    """Fit on the train split, store the model in the shared folder, score the test split."""
     train = df.where(F.col("split") == "train")
     test = df.where(F.col("split") == "test")
     model = pipeline.fit(train)
-    return model, md.predict(model, test)
+    stored = md.save_and_load(model, scratch_path(df.sparkSession, "model"))
+    return model, md.predict(stored, test)
 
 
 @register("i1_random_forest")
