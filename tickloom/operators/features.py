@@ -114,10 +114,14 @@ def fill_both_ways(df: DataFrame, cols: list[str], keys=("symbol",)) -> DataFram
     """Backward fill then forward fill by date within each symbol: the
     next non-null value, else the last one - all columns in one projection over
     two frames of the same window."""
-    w = series_window(keys)
-    ahead = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    behind = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumns({c: F.coalesce(F.col(c), F.first(c, ignorenulls=True).over(ahead),
+    # Both fills use growing frames (unbounded preceding .. current row), which
+    # Spark evaluates incrementally; the backward fill runs over the reversed
+    # order instead of a shrinking "current .. unbounded following" frame,
+    # which would be re-aggregated for every row (quadratic per symbol).
+    behind = series_window(keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ahead = (Window.partitionBy(*keys).orderBy(F.col("date").desc())
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return df.withColumns({c: F.coalesce(F.col(c), F.last(c, ignorenulls=True).over(ahead),
                                          F.last(c, ignorenulls=True).over(behind)) for c in cols})
 
 

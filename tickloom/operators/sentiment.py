@@ -38,8 +38,9 @@ ScoreFn = Callable[[Sequence[str]], Sequence[tuple[str, float]]]
 
 
 def _in_list(words: list[str]):
-    arr = F.array(*[F.lit(w) for w in words])
-    return lambda w: F.array_contains(arr, w)
+    """Membership test; a literal list longer than 10 items becomes a
+    hash-set lookup (InSet) in Catalyst."""
+    return lambda w: w.isin(*words)
 
 
 def lexicon_score(text: str | Column) -> Column:

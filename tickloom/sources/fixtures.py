@@ -75,8 +75,8 @@ def vix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Volatility-index series: daily mean order price rescaled into [10, 50]."""
     o = read_table(spark, sf_dir, "orders").select("o_totalprice", "o_orderdate")
     day = o.groupBy(F.to_date("o_orderdate").alias("date")).agg(F.avg("o_totalprice").alias("m"))
-    lo = day.select(F.min("m")).scalar()
-    hi = day.select(F.max("m")).scalar()
+    rng = day.select(F.struct(F.min("m").alias("lo"), F.max("m").alias("hi"))).scalar()
+    lo, hi = rng["lo"], rng["hi"]
     return day.select("date", F.round(F.lit(10.0) + F.lit(40.0) * (F.col("m") - lo) / (hi - lo), 4).alias("close"))
 
 

@@ -40,7 +40,11 @@ def incremental_daily_sentiment(spark: SparkSession, source_dir: str, schema: T.
         s = batch.sparkSession
         batch.write.mode("overwrite").partitionBy("fecha_limpia").parquet(f"{store}/epoch={epoch_id}")
         touched = batch.select(*KEYS).distinct()
-        posts = s.read.parquet(store).join(touched, KEYS, "left_semi")
+        # the days of one micro-batch are a short list: filter the store on the
+        # day partition column so only those partitions are read
+        days = [r[0] for r in batch.select("fecha_limpia").distinct().collect()]
+        posts = (s.read.parquet(store).where(F.col("fecha_limpia").isin(days))
+                 .join(touched, KEYS, "left_semi"))
         daily = daily_sentiment(posts).withColumn("batch_seq", F.lit(epoch_id))
         upsert_table(s, table, daily, KEYS)
 
