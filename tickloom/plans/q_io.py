@@ -78,13 +78,13 @@ def q_a5(spark, sf):
 
 @register("a6_raw_post_normalisation", with_views(["posts"], """
     SELECT CAST(id AS VARCHAR) AS ID_Tweet, coalesce(ts_text, '') AS Fecha_UTC,
-           coalesce(CASE WHEN id % 7 = 0 THEN NULL ELSE substr(text, 1, 40) END, '') AS Contenido_Texto,
+           coalesce(CASE WHEN id % 7 = 0 THEN NULL ELSE text END, '') AS Contenido_Texto,
            coalesce(CAST(retweets AS VARCHAR), '0') AS Retweets, coalesce(CAST(favoritos AS VARCHAR), '0') AS Favoritos
     FROM posts"""))
 def q_a6(spark, sf):
     p = fx.posts(spark, sf).select(
         F.col("id"), F.col("ts_text").alias("published_time"),
-        F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.substring("text", 1, 40)).alias("text"),
+        F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("text")).alias("text"),
         F.col("retweets").alias("reposts"), F.col("favoritos").alias("likes"))
     return io.normalise_raw_posts(p)
 
