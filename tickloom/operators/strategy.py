@@ -83,14 +83,31 @@ def grid_metrics(df: DataFrame, capital: float = 100_000.0, keys=("symbol",)) ->
     return crossover_metrics(grid_backtest(df, capital, keys), capital, (*keys, "short", "long"))
 
 
+def optimized_book(df: DataFrame, capital: float = 100_000.0, keys=("symbol",)) -> DataFrame:
+    """The backtest of each symbol's best-Sharpe configuration (the
+    "optimized system"): grid backtest, grid metrics, best (short, long) per
+    symbol (ties: first in grid order), then the daily rows of that one
+    configuration (a semi-join with a one-row-per-symbol table)."""
+    book = grid_backtest(df, capital, keys)
+    m = crossover_metrics(book, capital, (*keys, "short", "long"))
+    best = m.groupBy(*keys).agg(F.max_by(F.struct("short", "long"),
+                                         F.struct("sharpe", -F.col("short"), -F.col("long"))).alias("_b"))
+    best = best.select(*keys, F.col("_b.short").alias("short"), F.col("_b.long").alias("long"))
+    return book.join(best, [*keys, "short", "long"], "left_semi")
+
+
 def best_configs(grid: DataFrame, keys=("symbol",)) -> DataFrame:
     """K5: best (short, long) by return, by Sharpe and by drawdown (the
-    drawdown is negative, so the highest is the smallest loss)."""
+    drawdown is negative, so the highest is the smallest loss).  A tie goes
+    to the first configuration in grid order, as idxmax does."""
     cfg = F.struct("short", "long")
+
+    def key(metric):
+        return F.struct(F.col(metric), -F.col("short"), -F.col("long"))
     return grid.groupBy(*keys).agg(
-        F.max_by(cfg, "strategy_return").alias("best_return"),
-        F.max_by(cfg, "sharpe").alias("best_sharpe"),
-        F.max_by(cfg, "max_dd").alias("best_drawdown"))
+        F.max_by(cfg, key("strategy_return")).alias("best_return"),
+        F.max_by(cfg, key("sharpe")).alias("best_sharpe"),
+        F.max_by(cfg, key("max_dd")).alias("best_drawdown"))
 
 
 def sharpe_pivot(grid: DataFrame, keys=("symbol",)) -> DataFrame:

@@ -119,10 +119,7 @@ def _best_sql(metric, label):
     JOIN ({_best_sql('sharpe', 'best_sharpe')}) b USING (symbol)
     JOIN ({_best_sql('max_dd', 'best_drawdown')}) c USING (symbol)""", GRID_CTES))
 def q_k5(spark, sf):
-    g = grid(spark, sf).withColumns({"_ns": -F.col("short"), "_nl": -F.col("long")})
-    out = g.groupBy("symbol").agg(*[
-        F.max_by(F.struct("short", "long"), F.struct(m, "_ns", "_nl")).alias(lbl)
-        for m, lbl in (("strategy_return", "best_return"), ("sharpe", "best_sharpe"), ("max_dd", "best_drawdown"))])
+    out = sg.best_configs(grid(spark, sf))
     return out.select("symbol", *[F.col(f"{lbl}.{p}").alias(f"{lbl}_{p}")
                                   for lbl in ("best_return", "best_sharpe", "best_drawdown") for p in ("short", "long")])
 
@@ -145,21 +142,21 @@ def _k7_sql():
         rows.append(f"SELECT symbol, 'Original (10/200)' AS strategy, {i} AS metric_order, '{name}' AS metric, "
                     f"round({col}, 6) AS value FROM met WHERE short = 10 AND long = 200")
         rows.append(f"SELECT m.symbol, 'Optimizada (' || m.short || '/' || m.long || ')', {i}, '{name}', round(m.{col}, 6) "
-                    f"FROM met m JOIN best b ON m.symbol = b.symbol AND m.short = b.best_return_short AND m.long = b.best_return_long")
+                    f"FROM met m JOIN best b ON m.symbol = b.symbol AND m.short = b.best_sharpe_short AND m.long = b.best_sharpe_long")
         rows.append(f"SELECT symbol, 'Buy & Hold', {i}, '{name}', round({bh}, 6) FROM met WHERE short = 10 AND long = 200")
     rows.append("SELECT symbol, 'Original (10/200)', 3, 'Número de Trades', CAST(num_trades AS DOUBLE) FROM met "
                 "WHERE short = 10 AND long = 200")
     rows.append("SELECT m.symbol, 'Optimizada (' || m.short || '/' || m.long || ')', 3, 'Número de Trades', "
                 "CAST(m.num_trades AS DOUBLE) FROM met m JOIN best b ON m.symbol = b.symbol "
-                "AND m.short = b.best_return_short AND m.long = b.best_return_long")
+                "AND m.short = b.best_sharpe_short AND m.long = b.best_sharpe_long")
     rows.append("SELECT symbol, 'Buy & Hold', 3, 'Número de Trades', 0.0::DOUBLE FROM met WHERE short = 10 AND long = 200")
     return " UNION ALL ".join(rows)
 
 
-@register("k7_strategy_comparison", with_views(VIEWS, _k7_sql(), GRID_CTES + [("best", _best_sql("strategy_return", "best_return"))]))
+@register("k7_strategy_comparison", with_views(VIEWS, _k7_sql(), GRID_CTES + [("best", _best_sql("sharpe", "best_sharpe"))]))
 def q_k7(spark, sf):
     g = grid(spark, sf).withColumns({"_ns": -F.col("short"), "_nl": -F.col("long")})
-    best = g.groupBy("symbol").agg(F.max_by(F.struct("short", "long"), F.struct("strategy_return", "_ns", "_nl")).alias("b"))
+    best = g.groupBy("symbol").agg(F.max_by(F.struct("short", "long"), F.struct("sharpe", "_ns", "_nl")).alias("b"))
     opt = g.join(best, "symbol").where((F.col("short") == F.col("b.short")) & (F.col("long") == F.col("b.long")))
     orig = g.where((F.col("short") == 10) & (F.col("long") == 200))
 
@@ -177,6 +174,15 @@ def q_k7(spark, sf):
             .unionByName(long_form(orig, F.lit("Buy & Hold"), bh, "0")))
 
 
+OPT = GRID_CTES + [("bestcfg", _best_sql("sharpe", "b")),
+                   ("optob", "SELECT ob.* FROM ob JOIN bestcfg c ON ob.symbol = c.symbol AND ob.short = c.b_short "
+                             "AND ob.long = c.b_long")]
+
+
+def opt_book(spark, sf):
+    return sg.optimized_book(series(spark, sf), CAP)
+
+
 K8_SQL = f"""
     SELECT symbol, period,
            round((arg_max_null(Strategy_Equity, date) / arg_min_null(Strategy_Equity, date) - 1) * 100, 6) AS strategy_return,
@@ -184,27 +190,27 @@ K8_SQL = f"""
            round(stddev_samp(Strategy_Returns) * {dbl(sg.SQRT252)} * 100, 6) AS strategy_vol,
            round(stddev_samp(Returns) * {dbl(sg.SQRT252)} * 100, 6) AS bh_vol,
            count(*) FILTER (WHERE Buy_Signal) AS trades
-    FROM ob JOIN periods p ON ob.date BETWEEN p.start AND p."end" GROUP BY symbol, period"""
+    FROM optob ob JOIN periods p ON ob.date BETWEEN p.start AND p."end" GROUP BY symbol, period"""
 
 
-@register("k8_period_performance", with_views(VIEWS + ["periods"], K8_SQL, ONE))
+@register("k8_period_performance", with_views(VIEWS + ["periods"], K8_SQL, OPT))
 def q_k8(spark, sf):
-    p = sg.period_performance(book(spark, sf))
+    p = sg.period_performance(opt_book(spark, sf))
     return p.select("symbol", "period", *[R(c, 6).alias(c) for c in ("strategy_return", "bh_return", "strategy_vol",
                                                                      "bh_vol")], "trades")
 
 
 @register("k9_best_worst_period", with_views(VIEWS + ["periods"], """
     SELECT symbol, arg_max(period, strategy_return) AS best_period, arg_min(period, strategy_return) AS worst_period
-    FROM k8 GROUP BY symbol""", ONE + [("k8", K8_SQL)]))
+    FROM k8 GROUP BY symbol""", OPT + [("k8", K8_SQL)]))
 def q_k9(spark, sf):
-    return sg.best_worst_period(sg.period_performance(book(spark, sf)))
+    return sg.best_worst_period(sg.period_performance(opt_book(spark, sf)))
 
 
 @register("k10_monte_carlo")
 def q_k10(spark, sf):
     """Seeded simulation: no SQL twin (checked by invariants in the tests)."""
-    mc = sg.monte_carlo(book(spark, sf), n_paths=1000, n_days=252, capital=CAP, seed=42)
+    mc = sg.monte_carlo(opt_book(spark, sf), n_paths=1000, n_days=252, capital=CAP, seed=42)
     return mc.select("symbol", *[R(c, 2).alias(c) for c in ("p5", "p25", "p50", "p75", "p95")],
                      R("p_loss_pct", 4).alias("p_loss_pct"), R("expected_return_pct", 4).alias("expected_return_pct"),
                      "paths")
@@ -212,8 +218,8 @@ def q_k10(spark, sf):
 
 @register("k11_trade_log", with_views(VIEWS, """
     SELECT symbol, date, round(close, 6) AS close, CAST(Buy_Signal AS INTEGER) AS Buy_Signal,
-           CAST(Sell_Signal AS INTEGER) AS Sell_Signal FROM ob WHERE Buy_Signal OR Sell_Signal""", ONE))
+           CAST(Sell_Signal AS INTEGER) AS Sell_Signal FROM optob WHERE Buy_Signal OR Sell_Signal""", OPT))
 def q_k11(spark, sf):
-    t = sg.trade_log(book(spark, sf))
+    t = sg.trade_log(opt_book(spark, sf))
     return t.select("symbol", "date", R("close", 6).alias("close"), F.col("Buy_Signal").cast("int").alias("Buy_Signal"),
                     F.col("Sell_Signal").cast("int").alias("Sell_Signal"))
