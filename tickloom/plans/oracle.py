@@ -54,7 +54,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                CASE WHEN l.quality = 1 THEN 'positive' WHEN l.quality = 0 THEN 'negative' ELSE 'neutral' END AS label,
                0.5 + (d.doc_id % 50) / 100 AS score,
                CAST(CASE WHEN d.doc_id % 17 = 0 THEN NULL ELSE d.doc_id % 13 END AS BIGINT) AS retweets,
-               CAST(d.doc_id % 29 AS BIGINT) AS favoritos
+               CAST(d.doc_id % 29 AS BIGINT) AS favoritos, d.lang
         FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""),
     "preds": (("px",), f"""
         SELECT model, symbol, date, price_close, confidence, predicted_signal,

@@ -171,6 +171,13 @@ def q_i1(spark, sf):
     return p.select("symbol", "date", "target_direction", "predicted_signal", R("p_up", 6).alias("p_up"))
 
 
+@register("i1_random_forest_exploratory")
+def q_i1b(spark, sf):
+    """The exploratory forest: 200 trees, depth 10, at least 2 rows per leaf."""
+    _, p = fit_predict(learn_frame(spark, sf), md.random_forest(FEATURES, num_trees=200, max_depth=10, min_leaf=2))
+    return p.select("symbol", "date", "target_direction", "predicted_signal", R("p_up", 6).alias("p_up"))
+
+
 @register("i2_boosted_trees")
 def q_i2(spark, sf):
     base = learn_frame(spark, sf)

@@ -25,7 +25,7 @@ def clean_posts(spark, sf):
         F.col("text").alias("contenido_texto"),
         F.coalesce(F.col("retweets"), F.lit(0)).cast("bigint").alias("retweets"),
         F.coalesce(F.col("favoritos"), F.lit(0)).cast("bigint").alias("favoritos"),
-        "symbol", "label", "score")
+        "symbol", "label", "score", "lang")
     c = c.where(F.col("fecha_utc").isNotNull() & F.col("tweet_id").isNotNull())
     return c.withColumns({
         "fecha_limpia": F.to_date("fecha_utc"),
@@ -42,7 +42,7 @@ POSTS_CTES = [
     ("clean", """
         SELECT CAST(id AS VARCHAR) AS tweet_id, try_strptime(ts_text, '%Y-%m-%d %H:%M:%S') AS fecha_utc,
                text AS contenido_texto, CAST(coalesce(retweets, 0) AS BIGINT) AS retweets,
-               CAST(coalesce(favoritos, 0) AS BIGINT) AS favoritos, symbol, label, score,
+               CAST(coalesce(favoritos, 0) AS BIGINT) AS favoritos, symbol, label, score, lang,
                CAST(try_strptime(ts_text, '%Y-%m-%d %H:%M:%S') AS DATE) AS fecha_limpia,
                round(CASE WHEN lower(label) LIKE '%pos%' OR lower(label) LIKE '%label_2%' THEN 0.5 + score * 0.5
                           WHEN lower(label) LIKE '%neg%' OR lower(label) LIKE '%label_0%' THEN 0.5 - score * 0.5
@@ -149,9 +149,12 @@ def q_g5(spark, sf):
 @register("g6_top_posts_per_day", posts_sql("""
     SELECT symbol, fecha_limpia, tweet_id, CAST(rank AS INTEGER) AS rank FROM (
       SELECT *, row_number() OVER (PARTITION BY symbol, fecha_limpia
-                                   ORDER BY favoritos + retweets DESC, tweet_id) AS rank FROM clean) WHERE rank <= 3"""))
+                                   ORDER BY favoritos + retweets DESC, tweet_id) AS rank FROM clean WHERE lang = 'en')
+    WHERE rank <= 300"""))
 def q_g6(spark, sf):
-    t = st.top_n_per_day(clean_posts(spark, sf), n=3)
+    """English posts only, the 300 best per symbol-day (reference defaults)."""
+    en = clean_posts(spark, sf).where(F.col("lang") == "en")
+    t = st.top_n_per_day(en, n=300)
     return t.select("symbol", "fecha_limpia", "tweet_id", "rank")
 
 

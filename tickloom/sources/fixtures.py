@@ -101,7 +101,7 @@ def _two(c: Column) -> Column:
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Social posts: documents (with their quality label as sentiment) spread
     over symbols and days, five posts per symbol-day."""
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
     j = d.join(lab, "doc_id", "left")
     i = F.col("doc_id")
@@ -117,6 +117,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(0.5) + (i % 50) / 100).alias("score"),
         F.when(i % 17 == 0, F.lit(None)).otherwise(i % 13).cast("bigint").alias("retweets"),
         (i % 29).cast("bigint").alias("favoritos"),
+        "lang",
     )
 
 
