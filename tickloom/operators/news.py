@@ -76,7 +76,7 @@ def daily_tone_sql(spark: SparkSession, news: DataFrame, start: str, end: str, k
 
 def silver(raw: DataFrame) -> DataFrame:
     """header strip/lower-case and timestamp -> date."""
-    df = raw.toDF(*[c.strip().lower() for c in raw.columns])
+    df = raw.toDF(*[c.lstrip("\ufeff").strip().lower() for c in raw.columns])
     return df.withColumn("fecha", F.to_date(F.col("fecha")))
 
 

@@ -13,8 +13,8 @@ WS = "[\\t\\n\\x0B\\f\\r ]+"
 
 
 def lower_headers(df: DataFrame) -> DataFrame:
-    """Strip and lower-case every column name."""
-    return df.toDF(*[c.strip().lower() for c in df.columns])
+    """Strip (including a leading byte-order mark) and lower-case every column name."""
+    return df.toDF(*[c.lstrip("\ufeff").strip().lower() for c in df.columns])
 
 
 def map_columns(df: DataFrame, mapping: dict[str, str], required: T.StructType) -> DataFrame:

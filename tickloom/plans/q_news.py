@@ -8,6 +8,7 @@ from ..functions.exprs import rnd as R
 from ..operators import news as nw
 from ..operators.contracts import GDELT_SENTIMENT, require_columns
 from ..session import scratch_path
+from ..sources.files import write_csv
 from ..sources import fixtures as fx
 from .oracle import with_views
 from .registry import register
@@ -93,7 +94,7 @@ def q_f6(spark, sf):
     raw = raw.select(F.col("fecha").cast("timestamp").alias(" Fecha "),
                      *[F.col(c).alias(c.capitalize()) for c in raw.columns if c != "fecha"])
     path = scratch_path(spark, "raw_tone_csv")
-    raw.write.mode("overwrite").option("header", True).csv(path)
+    write_csv(raw, path, bom=True)
     back = spark.read.option("header", True).option("inferSchema", False).csv(path)
     s = nw.silver(back)
     s = s.select("fecha", F.col("volumen_noticias").cast("bigint").alias("volumen_noticias"),

@@ -25,8 +25,14 @@ def read_csv_union(spark: SparkSession, paths: list[str], schema: T.StructType |
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """A4: write a table as CSV with a header (UTF-8)."""
+BOM = "\ufeff"
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", bom: bool = False) -> None:
+    """A4: write a table as CSV with a header (UTF-8); ``bom`` starts every
+    part file's header with a UTF-8 byte-order mark (as the news file is written)."""
+    if bom and df.columns:
+        df = df.withColumnRenamed(df.columns[0], BOM + df.columns[0])
     (df.write.mode(mode).option("header", True).option("encoding", "UTF-8")
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
