@@ -217,3 +217,9 @@ def simulation_summary(metrics: DataFrame, keys=KEYS) -> DataFrame:
     names = m.columns[len(keys):]
     pairs = ", ".join(f"{i}, '{n}', `{n}`" for i, n in enumerate(names))
     return m.select(*keys, F.expr(f"stack({len(names)}, {pairs}) AS (metric_order, metric, value)"))
+
+
+def transpose_by_model(summary: DataFrame, models: list[str], keys=("symbol",)) -> DataFrame:
+    """J21 display: metrics as rows and one column per model (pivot on an
+    explicit model list, so no extra job discovers the values)."""
+    return summary.groupBy(*keys, "metric_order", "metric").pivot("model", models).agg(F.first("value"))

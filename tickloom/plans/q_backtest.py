@@ -328,3 +328,19 @@ def q_j20(spark, sf):
         ls_ctes()))
 def q_j21(spark, sf):
     return bt.simulation_summary(ls_metrics(spark, sf))
+
+
+@register("j21_summary_transposed", with_views(["preds"], """
+    SELECT symbol, metric_order, metric, max(CASE WHEN model = 'm1' THEN value END) AS m1,
+           max(CASE WHEN model = 'm2' THEN value END) AS m2, max(CASE WHEN model = 'm3' THEN value END) AS m3
+    FROM (SELECT model, symbol, 0 AS metric_order, 'Buy & Hold Return' AS metric, printf('%.2f%%', total_return_bh * 100) AS value FROM lsm
+          UNION ALL SELECT model, symbol, 1, 'ML Strategy Return', printf('%.2f%%', total_return_strategy * 100) FROM lsm
+          UNION ALL SELECT model, symbol, 2, 'Sharpe Ratio Buy & Hold', printf('%.4f', sharpe_bh) FROM lsm
+          UNION ALL SELECT model, symbol, 3, 'Sharpe Ratio Strategy', printf('%.4f', sharpe_strategy) FROM lsm
+          UNION ALL SELECT model, symbol, 4, 'Max Drawdown Buy & Hold (%)', printf('%.2f%%', max_drawdown_bh) FROM lsm
+          UNION ALL SELECT model, symbol, 5, 'Max Drawdown Strategy (%)', printf('%.2f%%', max_drawdown_strategy) FROM lsm
+          UNION ALL SELECT model, symbol, 6, 'Number of Operations', CAST(num_operations AS VARCHAR) FROM lsm)
+    GROUP BY 1, 2, 3""", ls_ctes()))
+def q_j21t(spark, sf):
+    models = [m for m, _ in fx.SIGNAL_MODELS]
+    return bt.transpose_by_model(bt.simulation_summary(ls_metrics(spark, sf)), models)
