@@ -77,7 +77,8 @@ def out_spark(df, cols):
 
 
 def out_sql(cols, src):
-    return "SELECT " + ", ".join(f"round({c}, {DIGITS[c]}) AS {c}" if c in DIGITS else c for c in cols) + f" FROM {src}"
+    return "SELECT " + ", ".join(f"round(CAST({c} AS DOUBLE), {DIGITS[c]}) AS {c}" if c in DIGITS else c
+                                 for c in cols) + f" FROM {src}"
 
 
 def train_sql(body):

@@ -137,7 +137,7 @@ def q_a9(spark, sf):
 
 
 @register("a1_bars_numeric_roundtrip", with_views(["bars"], """
-    SELECT symbol, round(sum(close), 2) AS sum_close, sum(volume) AS volume FROM bars GROUP BY 1"""))
+    SELECT symbol, round(sum(close), 2) AS sum_close, CAST(sum(volume) AS BIGINT) AS volume FROM bars GROUP BY 1"""))
 def q_a1b(spark, sf):
     path = scratch_path(spark, "bars_csv2")
     io.write_csv(fx.bars(spark, sf).select(*BARS_SCHEMA.fieldNames()), path)

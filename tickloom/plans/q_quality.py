@@ -95,7 +95,7 @@ def q_b5_b7(spark, sf):
 
 
 @register("b8_text_one_line", """
-    SELECT doc_id, md5(t) AS text_md5, length(t) AS n_chars
+    SELECT doc_id, md5(t) AS text_md5, CAST(length(t) AS INTEGER) AS n_chars
     FROM (SELECT doc_id, trim(regexp_replace(text, '[\\t\\n\\x0B\\f\\r ]+', ' ', 'g')) AS t FROM documents)""")
 def q_b8(spark, sf):
     d = read_table(spark, sf, "documents").select("doc_id", qu.one_line("text").alias("t"))
