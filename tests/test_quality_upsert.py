@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from tickloom.operators import contracts as ct
 from tickloom.operators import quality as qu
@@ -110,4 +109,3 @@ def test_params_from_file_name(spark):
     with pytest.raises(Exception):
         bad.select(params_from_name("n")).collect()
     assert range_bounds("2026-01-05", "2026-01-05") == ("2026-01-05", "2026-01-06")
-    _ = F  # keep the functions import used by fixtures above

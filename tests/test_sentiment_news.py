@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from tickloom.operators import news as nw
 from tickloom.operators import sentiment as st
@@ -75,4 +74,3 @@ def test_daily_tone_filters(spark):
     t = nw.daily_tone(nw.filter_news(df, "2024-01-01", "2024-01-31", "org 1")).collect()
     assert len(t) == 1 and t[0]["volumen_noticias"] == 2 and t[0]["sentimiento_promedio"] == 2.0
     assert t[0]["volatilidad_sentimiento"] == pytest.approx(1.414)
-    _ = F
