@@ -85,15 +85,21 @@ def grid_metrics(df: DataFrame, capital: float = 100_000.0, keys=("symbol",)) ->
 
 def optimized_book(df: DataFrame, capital: float = 100_000.0, keys=("symbol",)) -> DataFrame:
     """The backtest of each symbol's best-Sharpe configuration (the
-    "optimized system"): grid backtest, grid metrics, best (short, long) per
-    symbol (ties: first in grid order), then the daily rows of that one
-    configuration (a semi-join with a one-row-per-symbol table)."""
+    "optimized system"), in one pass over the grid backtest: each
+    configuration's Sharpe is a window aggregate over its own rows (the
+    frame the grid windows already partitioned), and a dense rank per symbol
+    by (Sharpe desc, short, long) keeps the rows of the first-best one (ties:
+    first in grid order, as idxmax).  No aggregate is joined back."""
+    from pyspark.sql import Window
     book = grid_backtest(df, capital, keys)
-    m = crossover_metrics(book, capital, (*keys, "short", "long"))
-    best = m.groupBy(*keys).agg(F.max_by(F.struct("short", "long"),
-                                         F.struct("sharpe", -F.col("short"), -F.col("long"))).alias("_b"))
-    best = best.select(*keys, F.col("_b.short").alias("short"), F.col("_b.long").alias("long"))
-    return book.join(best, [*keys, "short", "long"], "left_semi")
+    cfg = Window.partitionBy(*keys, "short", "long")
+    r = F.col("Strategy_Returns")
+    sd = F.stddev_samp(r).over(cfg)
+    sh = F.when(sd == 0, F.lit(0.0)).otherwise(F.lit(SQRT252) * F.avg(r).over(cfg) / sd)
+    ranked = book.withColumn("_sharpe", sh).withColumn(
+        "_rk", F.dense_rank().over(Window.partitionBy(*keys).orderBy(F.col("_sharpe").desc_nulls_last(),
+                                                                     "short", "long")))
+    return ranked.where(F.col("_rk") == 1).drop("_sharpe", "_rk")
 
 
 def best_configs(grid: DataFrame, keys=("symbol",)) -> DataFrame:

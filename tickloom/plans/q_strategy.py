@@ -155,23 +155,35 @@ def _k7_sql():
 
 @register("k7_strategy_comparison", with_views(VIEWS, _k7_sql(), GRID_CTES + [("best", _best_sql("sharpe", "best_sharpe"))]))
 def q_k7(spark, sf):
-    g = grid(spark, sf).withColumns({"_ns": -F.col("short"), "_nl": -F.col("long")})
-    best = g.groupBy("symbol").agg(F.max_by(F.struct("short", "long"), F.struct("sharpe", "_ns", "_nl")).alias("b"))
-    opt = g.join(best, "symbol").where((F.col("short") == F.col("b.short")) & (F.col("long") == F.col("b.long")))
-    orig = g.where((F.col("short") == 10) & (F.col("long") == 200))
-
-    def long_form(df, label, cols, trades):
-        pairs = ", ".join(f"{i}, '{name}', CAST(round({c} * 1000000.0, 0) / 1000000.0 AS DOUBLE)"
-                          for i, (name, c) in enumerate(cols))
-        t = f", 3, 'Número de Trades', CAST({trades} AS DOUBLE)"
-        return df.select("symbol", label.alias("strategy"),
-                         F.expr(f"stack({len(cols) + 1}, {pairs}{t}) AS (metric_order, metric, value)"))
+    """One pass over the grid metrics: rank the 24 configurations of each
+    symbol by Sharpe (ties: first in grid order) with a window over those
+    rows, keep the original and the best, and fan each kept row out into its
+    labelled strategies and metrics."""
+    from pyspark.sql import Window
+    w = Window.partitionBy("symbol").orderBy(F.col("sharpe").desc_nulls_last(), "short", "long")
+    g = grid(spark, sf).withColumn("_rk", F.row_number().over(w))
+    is_orig = (F.col("short") == 10) & (F.col("long") == 200)
+    g = g.where(is_orig | (F.col("_rk") == 1))
+    opt_label = F.concat(F.lit("Optimizada ("), F.col("short"), F.lit("/"), F.col("long"), F.lit(")"))
+
+    def metric_rows(cols, trades):
+        return F.array(*[F.struct(F.lit(i).alias("metric_order"), F.lit(name).alias("metric"),
+                                  R(F.col(c), 6).alias("value")) for i, (name, c) in enumerate(cols)],
+                       F.struct(F.lit(3).alias("metric_order"), F.lit("Número de Trades").alias("metric"),
+                                trades.cast("double").alias("value")))
     names = [(n, c) for n, c, _ in K7_METRICS]
     bh = [(n, b) for n, _, b in K7_METRICS]
-    opt_label = F.concat(F.lit("Optimizada ("), F.col("short"), F.lit("/"), F.col("long"), F.lit(")"))
-    return (long_form(orig, F.lit("Original (10/200)"), names, "num_trades")
-            .unionByName(long_form(opt, opt_label, names, "num_trades"))
-            .unionByName(long_form(orig, F.lit("Buy & Hold"), bh, "0")))
+    strategies = F.array(
+        F.struct(F.lit("Original (10/200)").alias("strategy"), is_orig.alias("keep"),
+                 metric_rows(names, F.col("num_trades")).alias("rows")),
+        F.struct(opt_label.alias("strategy"), (F.col("_rk") == 1).alias("keep"),
+                 metric_rows(names, F.col("num_trades")).alias("rows")),
+        F.struct(F.lit("Buy & Hold").alias("strategy"), is_orig.alias("keep"),
+                 metric_rows(bh, F.lit(0)).alias("rows")))
+    s = g.select("symbol", F.explode(F.filter(strategies, lambda x: x["keep"])).alias("s"))
+    r = s.select("symbol", F.col("s.strategy").alias("strategy"), F.explode("s.rows").alias("m"))
+    return r.select("symbol", "strategy", F.col("m.metric_order").alias("metric_order"),
+                    F.col("m.metric").alias("metric"), F.col("m.value").alias("value"))
 
 
 OPT = GRID_CTES + [("bestcfg", _best_sql("sharpe", "b")),
