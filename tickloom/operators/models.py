@@ -18,8 +18,11 @@ from pyspark.sql import functions as F
 def random_forest(features: list[str], label: str = "target_direction", weight: str | None = "weight",
                   num_trees: int = 100, max_depth: int = 5, seed: int = 42, min_leaf: int = 1) -> Pipeline:
     """Random forest (100 trees, depth 5, seed 42, balanced weights)."""
+    # cacheNodeIds keeps each row's current node per tree between levels
+    # instead of re-walking every tree (an execution setting: same model;
+    # more than twice as fast for deep forests).
     rf = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=num_trees, maxDepth=max_depth,
-                                seed=seed, minInstancesPerNode=min_leaf)
+                                seed=seed, minInstancesPerNode=min_leaf, cacheNodeIds=True)
     if weight:
         rf.setWeightCol(weight)
     return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"), rf])
