@@ -98,3 +98,10 @@ def test_random_forest_probabilities(spark):
     p = md.predict(model, df).collect()
     assert all(0.0 <= r["p_up"] <= 1.0 for r in p)
     assert sum(r["predicted_signal"] == r["target_direction"] for r in p) / len(p) > 0.9
+
+
+def test_optimized_book_matches_best_sharpe_config(spark):
+    df, _ = px_series(spark, 400)
+    best = sg.best_configs(sg.grid_metrics(df)).collect()[0]["best_sharpe"]
+    cfg = sg.optimized_book(df).select("short", "long").distinct().collect()
+    assert [(r["short"], r["long"]) for r in cfg] == [(best["short"], best["long"])]
