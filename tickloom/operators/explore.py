@@ -6,7 +6,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import pair_corr, safe_div, series_window
+from ..functions.exprs import pair_corr, rnd, safe_div, series_window
+
+# Rankings use values rounded to 9 digits, so that ties in exact arithmetic
+# (equal up to the last bits) resolve by the stated tie rule.
+RANK_DIGITS = 9
 from .indicators import last_n
 
 
@@ -53,7 +57,7 @@ def top_bottom(corrs: DataFrame, n: int = 10, keys=("symbol",)) -> DataFrame:
     """The n highest and the n lowest correlations (descending, NULL last,
     as pandas sorts); a feature can appear in both lists."""
     from pyspark.sql import Window
-    w = Window.partitionBy(*keys).orderBy(F.col("corr").desc_nulls_last(), F.col("feature"))
+    w = Window.partitionBy(*keys).orderBy(rnd("corr", RANK_DIGITS).desc_nulls_last(), F.col("feature"))
     r = corrs.withColumns({"rank": F.row_number().over(w), "_n": F.count(F.lit(1)).over(Window.partitionBy(*keys))})
     top = r.where(F.col("rank") <= n).withColumn("side", F.lit("top"))
     bottom = r.where(F.col("rank") > F.col("_n") - n).withColumn("side", F.lit("bottom"))
@@ -129,7 +133,7 @@ def feature_gap(df: DataFrame, cols: list[str], keys=("model", "symbol"), n: int
     names = ", ".join(f"'{c}', `{c}|ok`, `{c}|bad`" for c in cols)
     long = wide.select(*keys, F.expr(f"stack({len(cols)}, {names}) AS (feature, correct_mean, error_mean)"))
     long = long.withColumn("abs_gap", F.abs(F.col("error_mean") - F.col("correct_mean")))
-    w = Window.partitionBy(*keys).orderBy(F.col("abs_gap").desc_nulls_last(), "feature")
+    w = Window.partitionBy(*keys).orderBy(rnd("abs_gap", RANK_DIGITS).desc_nulls_last(), "feature")
     return long.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 

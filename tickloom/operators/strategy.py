@@ -13,7 +13,11 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import is_true, running, safe_div, series_window
+from ..functions.exprs import is_true, rnd, running, safe_div, series_window
+
+# Configuration rankings use metrics rounded to 9 digits (ties in exact
+# arithmetic resolve to the first configuration in grid order).
+RANK_DIGITS = 9
 from ..sources.fixtures import GRID_LONG, GRID_SHORT, params_array, periods_array
 from .backtest import backtest_metrics
 from .indicators import sma
@@ -97,7 +101,7 @@ def optimized_book(df: DataFrame, capital: float = 100_000.0, keys=("symbol",))
     sd = F.stddev_samp(r).over(cfg)
     sh = F.when(sd == 0, F.lit(0.0)).otherwise(F.lit(SQRT252) * F.avg(r).over(cfg) / sd)
     ranked = book.withColumn("_sharpe", sh).withColumn(
-        "_rk", F.dense_rank().over(Window.partitionBy(*keys).orderBy(F.col("_sharpe").desc_nulls_last(),
+        "_rk", F.dense_rank().over(Window.partitionBy(*keys).orderBy(rnd("_sharpe", RANK_DIGITS).desc_nulls_last(),
                                                                      "short", "long")))
     return ranked.where(F.col("_rk") == 1).drop("_sharpe", "_rk")
 
@@ -109,7 +113,7 @@ def best_configs(grid: DataFrame, keys=("symbol",)) -> DataFrame:
     cfg = F.struct("short", "long")
 
     def key(metric):
-        return F.struct(F.col(metric), -F.col("short"), -F.col("long"))
+        return F.struct(rnd(metric, RANK_DIGITS), -F.col("short"), -F.col("long"))
     return grid.groupBy(*keys).agg(
         F.max_by(cfg, key("strategy_return")).alias("best_return"),
         F.max_by(cfg, key("sharpe")).alias("best_sharpe"),

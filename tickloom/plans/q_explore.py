@@ -88,7 +88,7 @@ L6_FEATURES = fe.SCORING_FEATURES
 
 @register("l6_target_correlation_top_bottom", master_sql("""
     SELECT symbol, feature, round(corr, 6) AS corr, CAST(rank AS INTEGER) AS rank, side FROM (
-      SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY corr DESC NULLS LAST, feature) AS rank,
+      SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY round(corr, 9) DESC NULLS LAST, feature) AS rank,
              count(*) OVER (PARTITION BY symbol) AS n FROM c)
     CROSS JOIN (VALUES ('top'), ('bottom')) s(side)
     WHERE (side = 'top' AND rank <= 10) OR (side = 'bottom' AND rank > n - 10)""",
@@ -218,7 +218,7 @@ L12_FEATURES = ["close", "volume", "RSI", "daily_return", "SMA_10", "SMA_50", "v
 @register("l12_feature_gap_right_wrong", with_views(["preds", "bars", "vix", "posts"], """
     SELECT model, symbol, feature, round(correct_mean, 4) AS correct_mean, round(error_mean, 4) AS error_mean,
            CAST(rank AS INTEGER) AS rank FROM (
-      SELECT *, row_number() OVER (PARTITION BY model, symbol ORDER BY abs(error_mean - correct_mean) DESC NULLS LAST, feature)
+      SELECT *, row_number() OVER (PARTITION BY model, symbol ORDER BY round(abs(error_mean - correct_mean), 9) DESC NULLS LAST, feature)
              AS rank FROM g) WHERE rank <= 10""",
         __import__("tickloom.plans.q_features", fromlist=["SCORE_CTES"]).SCORE_CTES + [ERR, ("ej", """
             SELECT e.model, e.symbol, e.Error, s.* EXCLUDE (symbol, date) FROM err e JOIN scored s USING (symbol, date)"""),

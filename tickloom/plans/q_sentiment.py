@@ -139,11 +139,11 @@ def q_g4(spark, sf):
 
 @register("g5_sentiment_summary", posts_sql("""
     SELECT symbol, round(avg(volumen_posts), 6) AS volumen_medio,
-           round(coalesce(avg(sentimiento_medio), 0.5), 6) AS sentimiento_global FROM social GROUP BY symbol"""))
+           round(coalesce(avg(sentimiento_medio), 0.5), 9) AS sentimiento_global FROM social GROUP BY symbol"""))
 def q_g5(spark, sf):
     s = st.sentiment_summary(daily_social(spark, sf))
     return s.select("symbol", R("volumen_medio", 6).alias("volumen_medio"),
-                    R("sentimiento_global", 6).alias("sentimiento_global"))
+                    R("sentimiento_global", 9).alias("sentimiento_global"))
 
 
 @register("g6_top_posts_per_day", posts_sql("""

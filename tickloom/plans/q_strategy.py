@@ -110,7 +110,7 @@ def q_k4(spark, sf):
 
 def _best_sql(metric, label):
     return (f"SELECT symbol, short AS {label}_short, long AS {label}_long FROM ("
-            f"SELECT symbol, short, long, row_number() OVER (PARTITION BY symbol ORDER BY {metric} DESC, short, long) AS k "
+            f"SELECT symbol, short, long, row_number() OVER (PARTITION BY symbol ORDER BY round({metric}, 9) DESC, short, long) AS k "
             f"FROM met) WHERE k = 1")
 
 
@@ -160,7 +160,7 @@ def q_k7(spark, sf):
     rows, keep the original and the best, and fan each kept row out into its
     labelled strategies and metrics."""
     from pyspark.sql import Window
-    w = Window.partitionBy("symbol").orderBy(F.col("sharpe").desc_nulls_last(), "short", "long")
+    w = Window.partitionBy("symbol").orderBy(R("sharpe", sg.RANK_DIGITS).desc_nulls_last(), "short", "long")
     g = grid(spark, sf).withColumn("_rk", F.row_number().over(w))
     is_orig = (F.col("short") == 10) & (F.col("long") == 200)
     g = g.where(is_orig | (F.col("_rk") == 1))
