@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from .packing import op6_pattern_packing
 from .simhash_pivots import op10_simhash_pivots
 
 QUERIES = {
+    "op6_pattern_packing": op6_pattern_packing,
     "op10_simhash_pivots": op10_simhash_pivots,
 }
 
