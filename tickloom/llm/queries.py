@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from .packing import op6_pattern_packing
+from .quality_zstd import op9_quality_zstd
+from .secret_structure import op5_secret_structure
 from .simhash_pivots import op10_simhash_pivots
 
 QUERIES = {
+    "op5_secret_structure": op5_secret_structure,
     "op6_pattern_packing": op6_pattern_packing,
+    "op9_quality_zstd": op9_quality_zstd,
     "op10_simhash_pivots": op10_simhash_pivots,
 }
 
