@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -17,6 +18,17 @@ def reference_ids(text):
     return t.encode(text or "", add_special_tokens=False).ids + [1]
 
 
+def test_ids_are_the_tokenizers():
+    rnd = random.Random(1)
+    letters = [chr(c) for c in [*range(1, 0x250), 0x300, 0x301, 0x3a3, 0x1e9e, 0x2028, 0x3000, 0x1f600]]
+    parts = ["'s", "'ll", "'re", " ", " ", "\n", "<|endoftext|>", "<|", "word", "Über", "naïve", "don't", "12", "...", "ß", "İ"]
+    texts = ["".join(rnd.choice(letters if rnd.random() < 0.3 else parts) for _ in range(rnd.randrange(40))) for _ in range(6000)]
+    texts += [chr(c) for c in range(1, 0x250)] + [f"a{chr(c)}B" for c in range(1, 0x250)]
+    texts += ["".join(rnd.choice(letters[32:0x17f]) for _ in range(12)) for _ in range(6000)]
+    ids = pk.WordIds(pk.default_tokenizer())
+    assert ids(texts) == ids.whole(texts)
+
+
 def check_rows(rows, docs, capacity):
     ids = {}
     for i, t in docs:

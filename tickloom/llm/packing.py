@@ -20,6 +20,7 @@ from __future__ import annotations
 import bisect
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -35,7 +36,7 @@ CAPACITY = 4096
 END_ID = 1
 SLACK = 16            # a pattern may leave so many tokens of a sequence free
 ROUNDS = 600          # of the least-squares iteration
-WORDS_HELD = 300_000  # words whose ids a task remembers
+WORDS_HELD = 300_000  # words, and stretches, whose ids a task remembers
 
 
 def default_tokenizer() -> str:
@@ -47,19 +48,30 @@ def default_tokenizer() -> str:
 
 # Texts of these characters are unchanged by the vocabulary's NFC step and have
 # one lower-case form for each character.
-PLAIN = r"[\t\n\r\x20-\x7e\xa1-įı-ɏ]*"
+PLAIN = r"[\t\n\r\x20-\x7e\xa1-\u012f\u0131-\u017f]*"
 # The vocabulary's split pattern, over PLAIN characters.
-LETTERS, NUMBERS = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ", "0-9\xb2\xb3\xb9\xbc-\xbe"
+LETTERS, NUMBERS = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f", "0-9\xb2\xb3\xb9\xbc-\xbe"
 SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\s{LETTERS}{NUMBERS}]+"
 
 
+def byte_letters() -> dict[int, str]:
+    """For each character of the plain range the letters that stand for its
+    UTF-8 bytes in the vocabulary: printable bytes of Latin-1 stand for
+    themselves, the others are numbered from U+0100 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = iter(range(0x100, 0x200))
+    letter = [chr(b if b in own else next(rest)) for b in range(256)]
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0x80, 0x180)}
+
+
 class WordIds:
     """Token ids of whole texts as little-endian 32-bit bytes.
 
-    The vocabulary's merges never cross words, so the ids of a word are asked of
-    the tokenizer once and remembered (at most WORDS_HELD words).  Texts with
-    characters outside PLAIN, or with the marks of special tokens, go to the
-    tokenizer whole.
+    The vocabulary's split pattern never crosses white space and its merges
+    never cross words, so the ids of a word, and of a stretch between white
+    space, are found once and remembered (WORDS_HELD of each at most).  Texts
+    with characters outside PLAIN, or with the marks of special tokens, go to
+    the tokenizer whole.
     """
 
     def __init__(self, path: str):
@@ -67,21 +79,32 @@ class WordIds:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.plain, self.split = re.compile(PLAIN), re.compile(SPLIT)
+        self.plain, self.split, self.letters = re.compile(PLAIN), re.compile(SPLIT), byte_letters()
+        self.model = self.tokenizer.model
+        self.words: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            found = self.model.tokenize(word if word.isascii() else word.translate(self.letters))
+            ids = self.words[word] = struct.pack(f"<{len(found)}I", *[t.id for t in found])
+        return ids
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        words = [self.split.findall(t.lower()) if "<|" not in t and self.plain.fullmatch(t) else None for t in texts]
-        if len(self.known) > WORDS_HELD:
-            self.known.clear()
-        known = self.known
-        new = list({w for ws in words if ws for w in ws if w not in known})
-        known.update(zip(new, self.whole(new)))
-        out = [b"".join([known[w] for w in ws]) if ws is not None else None for ws in words]
+        stretches = [t.lower().split() if "<|" not in t and self.plain.fullmatch(t) else None for t in texts]
+        for held in (self.words, self.known):
+            if len(held) > WORDS_HELD:
+                held.clear()
+        known, word, split = self.known, self.word, self.split.findall
+        for s in set().union(*[x for x in stretches if x]).difference(known):
+            parts = split(s)
+            known[s] = word(s) if len(parts) == 1 else b"".join([word(p) for p in parts])
+        out = [b"".join([known[s] for s in x]) if x is not None else None for x in stretches]
         odd = [i for i, x in enumerate(out) if x is None]
         for i, ids in zip(odd, self.whole([texts[i] for i in odd])):
             out[i] = ids
