@@ -6,8 +6,10 @@ from .packing import op6_pattern_packing
 from .quality_zstd import op9_quality_zstd
 from .secret_structure import op5_secret_structure
 from .simhash_pivots import op10_simhash_pivots
+from .toxicity_weak import op3_toxicity_weak
 
 QUERIES = {
+    "op3_toxicity_weak": op3_toxicity_weak,
     "op5_secret_structure": op5_secret_structure,
     "op6_pattern_packing": op6_pattern_packing,
     "op9_quality_zstd": op9_quality_zstd,
