@@ -6,14 +6,18 @@ from .packing import op6_pattern_packing
 from .quality_zstd import op9_quality_zstd
 from .secret_structure import op5_secret_structure
 from .simhash_pivots import op10_simhash_pivots
+from .topk_nra import OP4_SQL, op4_topk_nra
 from .toxicity_weak import op3_toxicity_weak
 
 QUERIES = {
     "op3_toxicity_weak": op3_toxicity_weak,
+    "op4_topk_nra": op4_topk_nra,
     "op5_secret_structure": op5_secret_structure,
     "op6_pattern_packing": op6_pattern_packing,
     "op9_quality_zstd": op9_quality_zstd,
     "op10_simhash_pivots": op10_simhash_pivots,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_topk_nra": OP4_SQL,
+}
