@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .decontaminate_cgk import op1_decontaminate_cgk
+from .html_tree import op8_html_tree
 from .packing import op6_pattern_packing
 from .quality_zstd import op9_quality_zstd
 from .secret_structure import op5_secret_structure
@@ -10,10 +12,12 @@ from .topk_nra import OP4_SQL, op4_topk_nra
 from .toxicity_weak import op3_toxicity_weak
 
 QUERIES = {
+    "op1_decontaminate_cgk": op1_decontaminate_cgk,
     "op3_toxicity_weak": op3_toxicity_weak,
     "op4_topk_nra": op4_topk_nra,
     "op5_secret_structure": op5_secret_structure,
     "op6_pattern_packing": op6_pattern_packing,
+    "op8_html_tree": op8_html_tree,
     "op9_quality_zstd": op9_quality_zstd,
     "op10_simhash_pivots": op10_simhash_pivots,
 }
