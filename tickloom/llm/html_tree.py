@@ -59,7 +59,7 @@ related recommended share sharing social footer foot header masthead contentinfo
 subscribe newsletter signup login search form widget toolbar skip copyright legal disclaimer tags meta""".split())
 GOOD_WORDS = frozenset("""article articlebody content body entry main post story text page prose hentry""".split())
 
-TOKEN = re.compile(r"""<!--(?:.*?-->|.*)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']+|"[^"]{0,9999}"|'[^']{0,9999}')*+|[^>]*)>""", re.S)
+TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]{0,9999}+"|'[^']{0,9999}+')*+|[^>]*+)>""")
 NAMES = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 WORDS = re.compile(r"[a-z]+")
 SENTENCE = re.compile(r"[.,;:!?]")
@@ -77,23 +77,34 @@ class Tree:
         self.parse(page)
 
     def parse(self, page: str) -> None:
-        at, end = 0, len(page)
-        while at < end:
-            m = TOKEN.search(page, at)
-            text = page[at:m.start() if m else end]
-            if text:
-                self.runs.append((self.stack[-1], html.unescape(text)))
-            if not m:
+        at, last = 0, page.rfind(">")
+        while at < len(page):
+            left = page.find("<", at)
+            if left < 0:
+                left = len(page)
+            m = TAG.match(page, left) if left < last else None
+            if m:
+                stop = m.end()
+            elif page.startswith("<!--", left):
+                stop = page.find("-->", left + 4) + 3
+            elif page.startswith(("<!", "<?"), left):
+                stop = page.find(">", left) + 1
+            else:                            # no markup: text, or a tag that the page's end cuts
+                stop = left + 1 if left < last or not page[left + 1:left + 2].isalpha() else 0
+                left = min(stop, len(page)) if stop else left
+            if left > at:
+                self.runs.append((self.stack[-1], html.unescape(page[at:left])))
+            if stop <= at:
                 return
-            at = m.end()
-            tag = (m[2] or "").lower()
-            if m[1]:
+            at = stop
+            tag = m[2].lower() if m else ""
+            if tag and m[1]:
                 self.close(tag)
             elif tag:
                 self.start(tag, m[3])
                 if tag in RAW and self.stack[-1] == len(self.tag) - 1:
-                    stop = re.compile(rf"</{tag}[\s/>]", re.I).search(page, at)
-                    at = stop.start() if stop else end
+                    end = re.compile(rf"</{tag}[\s/>]", re.I).search(page, at)
+                    at = end.start() if end else len(page)
 
     def start(self, tag: str, attributes: str) -> None:
         if tag in BLOCK and self.open["p"]:
