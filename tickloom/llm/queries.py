@@ -5,6 +5,7 @@ from __future__ import annotations
 from .decontaminate_cgk import op1_decontaminate_cgk
 from .html_tree import op8_html_tree
 from .packing import op6_pattern_packing
+from .pii_weak import op2_pii_weak
 from .quality_zstd import op9_quality_zstd
 from .secret_structure import op5_secret_structure
 from .simhash_pivots import op10_simhash_pivots
@@ -13,6 +14,7 @@ from .toxicity_weak import op3_toxicity_weak
 
 QUERIES = {
     "op1_decontaminate_cgk": op1_decontaminate_cgk,
+    "op2_pii_weak": op2_pii_weak,
     "op3_toxicity_weak": op3_toxicity_weak,
     "op4_topk_nra": op4_topk_nra,
     "op5_secret_structure": op5_secret_structure,
