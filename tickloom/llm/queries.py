@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .chat_repair import op7_chat_repair
 from .decontaminate_cgk import op1_decontaminate_cgk
 from .html_tree import op8_html_tree
 from .packing import op6_pattern_packing
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_topk_nra": op4_topk_nra,
     "op5_secret_structure": op5_secret_structure,
     "op6_pattern_packing": op6_pattern_packing,
+    "op7_chat_repair": op7_chat_repair,
     "op8_html_tree": op8_html_tree,
     "op9_quality_zstd": op9_quality_zstd,
     "op10_simhash_pivots": op10_simhash_pivots,
