@@ -64,9 +64,9 @@ def order_book(signals: DataFrame, capital: float = 10_000.0, price: str = "pric
 
 
 def drawdown(equity: str, keys=KEYS) -> Column:
-    """J10 / J18 per row: (E - running max E) / running max E."""
+    """J10 / J18 per row: (E - running max E) / running max E; NULL while the peak is 0."""
     peak = F.max(equity).over(running(series_window(keys)))
-    return (F.col(equity) - peak) / peak
+    return safe_div(F.col(equity) - peak, peak)
 
 
 def sharpe(r: str | Column, periods: float = SQRT252) -> Column:
@@ -90,8 +90,9 @@ def calmar(ret_pct: Column, dd_pct: Column) -> Column:
 
 def trade_pairs(book: DataFrame, price: str = "price_close", keys=KEYS) -> DataFrame:
     """buy/sell events in date order paired (0,1), (2,3), ...; trade return
-    = (p2 - p1) / p1; an odd tail is dropped.  A leading sell starts a pair (as
-    in the reference).  Events per series are bounded by its trading days."""
+    = (p2 - p1) / p1 (NULL for a zero opening price); an odd tail is dropped.  A
+    leading sell starts a pair (as in the reference).  Events per series are
+    bounded by its trading days."""
     ev = book.where(F.col("Buy_Signal") | F.col("Sell_Signal"))
     ev = ev.withColumn("_e", F.row_number().over(series_window(keys)) - 1)
     pairs = ev.groupBy(*keys, F.floor(F.col("_e") / 2).alias("pair")).agg(
@@ -100,7 +101,7 @@ def trade_pairs(book: DataFrame, price: str = "price_close", keys=KEYS) -> DataF
         F.count(F.lit(1)).alias("_n"))
     return pairs.where(F.col("_n") == 2).select(
         *keys, "pair", "open_date", "close_date", "p_open", "p_close",
-        ((F.col("p_close") - F.col("p_open")) / F.col("p_open")).alias("trade_return"))
+        safe_div(F.col("p_close") - F.col("p_open"), F.col("p_open")).alias("trade_return"))
 
 
 def trade_stats(pairs: DataFrame, keys=KEYS) -> DataFrame:
@@ -193,8 +194,10 @@ def long_short_metrics(sim: DataFrame, capital: float = 100_000.0, keys=KEYS) ->
 
 
 def best_by(df: DataFrame, metric: str, label: str, group=("symbol",)) -> DataFrame:
-    """The row with the highest metric per group (max_by)."""
-    return df.groupBy(*group).agg(F.max_by(label, metric).alias(label), F.max(metric).alias(metric))
+    """The row with the highest metric per group; of equal ones the
+    smallest label."""
+    best = F.min_by(label, F.struct(-F.col(metric), F.col(label)))
+    return df.where(F.col(metric).isNotNull()).groupBy(*group).agg(best.alias(label), F.max(metric).alias(metric))
 
 
 def pct_text(c: Column, scale: float = 1.0) -> Column:

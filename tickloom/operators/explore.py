@@ -98,7 +98,8 @@ def error_by_confidence(err: DataFrame, keys=("model",), bins: int = 10) -> Data
     rng = err.groupBy(*keys).agg(F.min("margin").alias("_lo"), F.max("margin").alias("_hi"))
     j = err.join(rng, list(keys))
     width = (F.col("_hi") - F.col("_lo")) / bins
-    b = F.greatest(F.lit(1), F.ceil((F.col("margin") - F.col("_lo")) / width)).cast("int")
+    place = safe_div(F.col("margin") - F.col("_lo"), width, 1.0)         # all margins equal: one bin
+    b = F.greatest(F.lit(1), F.ceil(place)).cast("int")
     return j.groupBy(*keys, b.alias("bin")).agg(F.avg("Error").alias("error_rate"), F.count(F.lit(1)).alias("n"))
 
 

@@ -167,7 +167,7 @@ def return_stats(df: DataFrame, keys=("symbol",), periods: int = 252) -> DataFra
         F.avg("r").alias("mean_return"),
         F.stddev_samp("r").alias("daily_std"),
         (F.stddev_samp("r") * math.sqrt(periods)).alias("annual_std"),
-        (F.max_by("close", "date") / F.min_by("close", "date") - 1).alias("total_return"))
+        (safe_div(F.max_by("close", "date"), F.min_by("close", "date")) - 1).alias("total_return"))
 
 
 def last_n(df: DataFrame, n: int, keys=("symbol",)) -> DataFrame:

@@ -77,9 +77,9 @@ def confusion(df: DataFrame, keys=("model",), label: str = "label", pred: str =
 
 
 def best_model(metrics: DataFrame, keys=()) -> DataFrame:
-    """I8: the model with the highest (accuracy, F1)."""
+    """I8: the model with the highest (accuracy, F1); of equal ones the smallest name."""
     g = metrics.groupBy(*keys) if keys else metrics.groupBy()
-    return g.agg(F.max_by("model", F.struct("accuracy", "f1")).alias("best_model"),
+    return g.agg(F.min_by("model", F.struct(-F.col("accuracy"), -F.col("f1"), F.col("model"))).alias("best_model"),
                  F.max(F.struct("accuracy", "f1")).alias("_b")).select(*keys, "best_model",
                                                                        F.col("_b.accuracy").alias("accuracy"),
                                                                        F.col("_b.f1").alias("f1"))

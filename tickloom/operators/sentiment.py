@@ -170,7 +170,7 @@ def align_batch_answers(answers: str | Column, batch_size: str | Column) -> Colu
     pad with "Error" when short, cut when long -> exactly batch_size labels."""
     parts = F.transform(F.split(col(answers), ","),
                         lambda s: F.concat(F.upper(F.substring(F.trim(s), 1, 1)),
-                                           F.lower(F.substring(F.trim(s), 2, 1 << 20))))
+                                           F.lower(F.substr(F.trim(s), F.lit(2)))))
     n = col(batch_size).cast("int")
     padded = F.concat(parts, F.array_repeat(F.lit("Error"), F.greatest(n - F.size(parts), F.lit(0))))
     return F.slice(padded, 1, n)

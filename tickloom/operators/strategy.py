@@ -132,8 +132,8 @@ def period_performance(book: DataFrame, keys=("symbol",)) -> DataFrame:
     p = book.select("*", F.explode(F.filter(periods_array(), lambda x: F.col("date").between(x["start"], x["end"])))
                     .alias("_p")).withColumn("period", F.col("_p.period")).drop("_p")
     return p.groupBy(*keys, "period").agg(
-        ((F.max_by("Strategy_Equity", "date") / F.min_by("Strategy_Equity", "date") - 1) * 100).alias("strategy_return"),
-        ((F.max_by("Buy_Hold_Equity", "date") / F.min_by("Buy_Hold_Equity", "date") - 1) * 100).alias("bh_return"),
+        ((safe_div(F.max_by("Strategy_Equity", "date"), F.min_by("Strategy_Equity", "date")) - 1) * 100).alias("strategy_return"),
+        ((safe_div(F.max_by("Buy_Hold_Equity", "date"), F.min_by("Buy_Hold_Equity", "date")) - 1) * 100).alias("bh_return"),
         (F.stddev_samp("Strategy_Returns") * SQRT252 * 100).alias("strategy_vol"),
         (F.stddev_samp("Returns") * SQRT252 * 100).alias("bh_vol"),
         F.count_if("Buy_Signal").alias("trades"))

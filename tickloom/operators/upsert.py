@@ -1,17 +1,18 @@
 """Incremental maintenance.
 
-Newest-wins merges are ``max_by(struct(row), batch_seq)`` aggregates keyed by
-(symbol, date): a partial aggregate, so restated copies of a hot key are
-combined map-side and no window has to sort a whole key.  Merged tables are
-written to the shared folder (``spark.checkpoint.dir``) and re-read, which also
-cuts the lineage; with dynamic partition overwrite only the touched
-partitions are rewritten.
+Newest-wins merges are ``max(struct(batch_seq, row))`` aggregates keyed by
+(symbol, date).  Structs aggregate by sort (not by hash), partially before the
+shuffle, so restated copies of a hot key are combined map-side and no window
+has to sort a whole key.  Merged tables are written to the shared folder
+(``spark.checkpoint.dir``) and re-read, which also cuts the lineage; with
+dynamic partition overwrite only the touched partitions are rewritten.
+
+A stored table is a folder of versions ``v=N``.  A version counts once its
+``_SUCCESS`` mark is there; what a killed write left behind never does.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -20,10 +21,13 @@ from .contracts import validate
 
 
 def newest_wins(df: DataFrame, keys: list[str], seq: str = "batch_seq", keep_seq: bool = False) -> DataFrame:
-    """One row per key, the row of the highest batch sequence wins."""
-    others = [c for c in df.columns if c not in keys and (keep_seq or c != seq)]
-    packed = F.struct(*others)
-    return df.groupBy(*keys).agg(F.max_by(packed, F.col(seq)).alias("_r")).select(*keys, "_r.*")
+    """One row per key, the row of the highest batch sequence wins.  Rows
+    that tie in it are ordered by their other columns, so the result does not
+    depend on the order of rows."""
+    others = [c for c in df.columns if c not in keys and c != seq]
+    latest = F.max(F.struct(seq, *others)).alias("_r")
+    kept = [c for c in df.columns if c not in keys and (keep_seq or c != seq)]
+    return df.groupBy(*keys).agg(latest).select(*keys, *[F.col(f"_r.`{c}`").alias(c) for c in kept])
 
 
 def append_and_dedup(history: DataFrame | None, new: DataFrame, keys: list[str], seq: str = "batch_seq") -> DataFrame:
@@ -42,31 +46,51 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
+def versions(spark: SparkSession, root: str, committed: bool = True) -> list[int]:
+    """Numbers of the versions under ``root``, ascending: the committed ones, or
+    all whose folder exists."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    p = path(root)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(p):
         return []
     names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
-    return sorted(int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit())
+    found = [n for n in names if n.startswith("v=") and n[2:].isdigit()]
+    return sorted(int(n[2:]) for n in found if not committed or fs.exists(path(f"{root}/{n}/_SUCCESS")))
+
+
+def drop_versions(spark: SparkSession, root: str, keep: int) -> None:
+    """Remove the committed versions before the last ``keep``."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for v in versions(spark, root)[:-keep]:
+        p = path(f"{root}/v={v}")
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def read_table_version(spark: SparkSession, root: str) -> DataFrame:
+    """The last committed version of a stored table."""
+    return spark.read.parquet(f"{root}/v={versions(spark, root)[-1]}")
 
 
 def upsert_table(spark: SparkSession, root: str, new: DataFrame, keys: list[str], seq: str = "batch_seq",
-                 contract=None, stage: str = "upsert") -> DataFrame:
-    """C1-C4 on a stored table.  Each merge reads the latest version under
-    ``root`` (an unreadable or missing history counts as absent, C3), merges
-    newest-wins keeping the batch sequence, optionally checks the contract
-    (C4) and writes the next version: readers never see a half-written table
-    and a version is never overwritten while it is being read."""
-    versions = _versions(spark, root)
-    hist = read_or_none(spark, f"{root}/v={versions[-1]}") if versions else None
+                 contract=None, stage: str = "upsert", unreadable_is_absent: bool = False) -> DataFrame:
+    """C1-C4 on a stored table.  Each merge reads the last committed version
+    under ``root``, merges newest-wins keeping the batch sequence, optionally
+    checks the contract (C4) and writes the next version: readers never see a
+    half-written table and no folder is written twice.  A table without a
+    committed version has no history; a committed version that cannot be read
+    is an error, unless the caller says that it counts as absent (C3)."""
+    done = versions(spark, root)
+    hist = None
+    if done:
+        last = f"{root}/v={done[-1]}"
+        hist = read_or_none(spark, last) if unreadable_is_absent else spark.read.parquet(last)
     merged = new if hist is None else hist.unionByName(new, allowMissingColumns=True)
     merged = newest_wins(merged, keys, seq, keep_seq=True)
     if contract is not None:
         validate(merged, contract, stage)
-    out = f"{root}/v={(versions[-1] + 1) if versions else 1}"
-    merged.write.mode("overwrite").parquet(out)
+    out = f"{root}/v={max(versions(spark, root, committed=False), default=0) + 1}"
+    merged.write.parquet(out)
     return spark.read.parquet(out)
 
 
@@ -90,9 +114,13 @@ def pending_days(candidates: DataFrame, processed: DataFrame, keys: list[str]) -
     return candidates.join(processed.select(*keys).distinct(), keys, "left_anti")
 
 
-def write_days(df: DataFrame, path: str, day: str = "fecha_limpia") -> None:
-    """Dynamic partition overwrite - only the days present in ``df`` are replaced."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def write_days(df: DataFrame, path: str, day: str = "fecha_limpia", parts: int = 4) -> None:
+    """Dynamic partition overwrite - only the days present in ``df`` are
+    replaced.  Rows are shuffled by day and a salt first, so a day has at most
+    ``parts`` files however many tasks made the rows, and a large day is
+    written by several tasks."""
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(parts))
+    (df.repartition(F.col(day), salt).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(day).parquet(path))
 
 
@@ -105,7 +133,3 @@ def consolidate(spark: SparkSession, path: str, start: str, end: str, day: str =
     if df.isEmpty():
         raise FileNotFoundError(f"no day chunks between {start} and {end}")
     return df.dropna(subset=[id_col])
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

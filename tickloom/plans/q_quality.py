@@ -119,12 +119,10 @@ def q_b10(spark, sf):
 
 
 @register("b11_first_seen_dedup", """
-    SELECT conv_id, turn, role FROM (
-      SELECT conv_id, arg_min(turn, turn) AS turn, arg_min(role, turn) AS role FROM conversations GROUP BY conv_id)
-    ORDER BY turn, conv_id LIMIT 60""")
+    SELECT conv_id, arg_min(turn, turn) AS turn, arg_min(role, turn) AS role FROM conversations GROUP BY conv_id""")
 def q_b11(spark, sf):
     c = read_table(spark, sf, "conversations").select("conv_id", "turn", "role")
-    return qu.first_seen(c, "conv_id", "turn", cap=60).select("conv_id", "turn", "role")
+    return qu.first_seen(c, "conv_id", "turn").select("conv_id", "turn", "role")
 
 
 @register("b12_drop_sparse_columns", with_views(["bars", "vix", "posts"], """

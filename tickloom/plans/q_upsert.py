@@ -65,31 +65,31 @@ def q_c3(spark, sf):
     b2 = (d.where(F.col("fecha_limpia") >= "1996-01-20")
           .withColumn("sentimiento_medio", F.col("sentimiento_medio") + 0.01).withColumn("batch_seq", F.lit(2)))
     root = scratch_path(spark, "daily_sentiment")
-    up.upsert_table(spark, root, b1, ["symbol", "fecha_limpia"])
-    t = up.upsert_table(spark, root, b2, ["symbol", "fecha_limpia"])
+    up.upsert_table(spark, root, b1, ["symbol", "fecha_limpia"], unreadable_is_absent=True)
+    t = up.upsert_table(spark, root, b2, ["symbol", "fecha_limpia"], unreadable_is_absent=True)
     return t.select("symbol", "fecha_limpia", "volumen_posts", rnd("sentimiento_medio", 6).alias("sentimiento_medio"),
                     "batch_seq")
 
 
 @register("c4_signals_upsert_contract", with_views(["preds"], """
-    SELECT symbol, date, round(arg_max(price_close, batch_seq), 6) AS price_close,
+    SELECT model, symbol, date, round(arg_max(price_close, batch_seq), 6) AS price_close,
            arg_max(predicted_signal, batch_seq) AS predicted_signal,
            round(arg_max(confidence, batch_seq), 6) AS confidence FROM (
-      SELECT symbol, date, price_close, predicted_signal, confidence, 1 AS batch_seq
-      FROM preds WHERE model = 'm1' AND date <= DATE '1999-12-31'
+      SELECT model, symbol, date, price_close, predicted_signal, confidence, 1 AS batch_seq
+      FROM preds WHERE date <= DATE '1999-12-31'
       UNION ALL
-      SELECT symbol, date, price_close, CAST(1 - confidence > 0.5 AS INTEGER), 1 - confidence, 2
-      FROM preds WHERE model = 'm1' AND date >= DATE '1999-06-01') GROUP BY 1, 2"""))
+      SELECT model, symbol, date, price_close, CAST(1 - confidence > 0.5 AS INTEGER), 1 - confidence, 2
+      FROM preds WHERE date >= DATE '1999-06-01') GROUP BY 1, 2, 3"""))
 def q_c4(spark, sf):
-    p = fx.preds(spark, sf).where(F.col("model") == "m1").select(
-        "symbol", "date", "price_close", "predicted_signal", "confidence")
+    p = fx.preds(spark, sf).select("model", "symbol", "date", "price_close", "predicted_signal", "confidence")
     b1 = p.where(F.col("date") <= "1999-12-31").withColumn("batch_seq", F.lit(1))
     b2 = (p.where(F.col("date") >= "1999-06-01").withColumn("confidence", 1 - F.col("confidence"))
           .withColumn("predicted_signal", (F.col("confidence") > 0.5).cast("int")).withColumn("batch_seq", F.lit(2)))
     root = scratch_path(spark, "signals")
-    up.upsert_table(spark, root, b1, ["symbol", "date"], contract=TRADING_SIGNALS, stage="daily signals")
-    t = up.upsert_table(spark, root, b2, ["symbol", "date"], contract=TRADING_SIGNALS, stage="daily signals")
-    return t.select("symbol", "date", rnd("price_close", 6).alias("price_close"), "predicted_signal",
+    keys = ["model", "symbol", "date"]
+    up.upsert_table(spark, root, b1, keys, contract=TRADING_SIGNALS, stage="daily signals")
+    t = up.upsert_table(spark, root, b2, keys, contract=TRADING_SIGNALS, stage="daily signals")
+    return t.select("model", "symbol", "date", rnd("price_close", 6).alias("price_close"), "predicted_signal",
                     rnd("confidence", 6).alias("confidence"))
 
 

@@ -1,11 +1,11 @@
 """Structured Streaming maintenance of the daily sentiment table (M1, M2).
 
 M1 - exact incremental: a file stream of scored posts is processed with
-``foreachBatch``.  Each micro-batch is stored under its own epoch folder
-(overwrite, so a retried epoch is idempotent), the (symbol, day) pairs it
-touches are re-aggregated from the stored posts of those days only, and the
-result is merged newest-wins into the versioned daily table.  A late post
-re-opens its day, as in the reference.
+``foreachBatch``.  Each micro-batch is evaluated once, to store it under its own
+epoch folder (overwrite, so a retried epoch is idempotent).  The days it touches
+are re-aggregated from the stored posts of those days, and the daily table,
+partitioned by day, has just these days replaced.  A late post re-opens its
+day, as in the reference.
 
 M2 - event time: the same daily aggregate as a windowed streaming
 aggregation with a watermark; state for a day is dropped once the watermark
@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.sentiment import daily_sentiment
-from ..operators.upsert import _versions, upsert_table
+from ..operators.upsert import drop_versions, read_table_version, upsert_table, write_days
 
 KEYS = ["symbol", "fecha_limpia"]
+VERSIONS_KEPT = 2
 
 
 def incremental_daily_sentiment(spark: SparkSession, source_dir: str, schema: T.StructType, work_dir: str,
@@ -33,26 +34,21 @@ def incremental_daily_sentiment(spark: SparkSession, source_dir: str, schema: T.
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source_dir)
+    stored_schema = T.StructType([*schema.fields, T.StructField("epoch", T.LongType())])
 
     def process(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
         s = batch.sparkSession
-        batch.write.mode("overwrite").partitionBy("fecha_limpia").parquet(f"{store}/epoch={epoch_id}")
-        touched = batch.select(*KEYS).distinct()
-        # the days of one micro-batch are a short list: filter the store on the
-        # day partition column so only those partitions are read
-        days = [r[0] for r in batch.select("fecha_limpia").distinct().collect()]
-        posts = (s.read.parquet(store).where(F.col("fecha_limpia").isin(days))
-                 .join(touched, KEYS, "left_semi"))
-        daily = daily_sentiment(posts).withColumn("batch_seq", F.lit(epoch_id))
-        upsert_table(s, table, daily, KEYS)
+        write_days(batch, f"{store}/epoch={epoch_id}")
+        stored = s.read.schema(stored_schema).parquet(store)
+        touched = stored.where(F.col("epoch") == epoch_id).select("fecha_limpia").distinct()
+        # the day is a partition column of the store: the semi-join prunes it
+        posts = stored.join(touched, "fecha_limpia", "left_semi")
+        write_days(daily_sentiment(posts), table, parts=1)
 
     q = (stream.writeStream.foreachBatch(process).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    versions = _versions(spark, table)
-    return spark.read.parquet(f"{table}/v={versions[-1]}").drop("batch_seq")
+    return spark.read.parquet(table)
 
 
 def event_time_daily_sentiment(spark: SparkSession, source_dir: str, schema: T.StructType, work_dir: str,
@@ -69,15 +65,13 @@ def event_time_daily_sentiment(spark: SparkSession, source_dir: str, schema: T.S
                 F.stddev_samp("puntuacion_sentimiento").alias("_std")))
 
     def process(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
         out = batch.select("symbol", F.to_date("w.start").alias("fecha_limpia"), "volumen_posts", "sentimiento_medio",
                            F.coalesce("_std", F.lit(0.0)).alias("sentimiento_std"),
                            F.lit(epoch_id).alias("batch_seq"))
         upsert_table(batch.sparkSession, table, out, KEYS)
+        drop_versions(batch.sparkSession, table, VERSIONS_KEPT)
 
     q = (agg.writeStream.outputMode("update").foreachBatch(process).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    versions = _versions(spark, table)
-    return spark.read.parquet(f"{table}/v={versions[-1]}").drop("batch_seq")
+    return read_table_version(spark, table).drop("batch_seq")
