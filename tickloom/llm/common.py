@@ -30,6 +30,15 @@ def train_rows(doc_id: str, folds: int, held: int):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % folds != held
 
 
+ROWS_AT_ONCE = 1000       # of texts handed to Python: bounds what a task holds beside its own work
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session that hands rows to Python ROWS_AT_ONCE at a time."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE))
+    return df
+
+
 def map_texts(df: DataFrame, keep: list[str], text: str, out: T.StructType,
               make: Callable[[], Callable[[list[str]], list[list]]]) -> DataFrame:
     """Keep the columns ``keep`` and add the columns of ``out``, computed from
@@ -46,12 +55,12 @@ def map_texts(df: DataFrame, keep: list[str], text: str, out: T.StructType,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = None
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
                 work = work or make()
                 cols = work(part.column(part.num_columns - 1).to_pylist())
                 new = [pa.array(c, type=k) for c, k in zip(cols, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *new], names=names)
 
     schema = T.StructType([src.schema[c] for c in keep] + list(out.fields))
-    return src.mapInArrow(run, schema)
+    return in_small_batches(src).mapInArrow(run, schema)

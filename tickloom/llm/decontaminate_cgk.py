@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table
+from .common import in_small_batches, table, written
 
 SAMPLED = 3          # steps that make one hash
 EDITS = 0.1          # share of edited words at which the target recall holds
@@ -49,7 +49,7 @@ DISTANCE = 0.2       # share of an item's words that may be edited
 LEAST_WORDS = 5
 PASSAGE = 128
 ITEM_BLOCK = 20_000
-WORDS_AT_ONCE = 400_000
+WORDS_AT_ONCE = 100_000
 CLASS_RATIO = 2.0    # lengths of a class differ by less than this factor
 WALK = 1.6           # steps for each word of a window; two would reach its end
 
@@ -356,13 +356,12 @@ def scan(spark: SparkSession, src: DataFrame, index: Index, schema: T.StructType
                 cols = [ids, pa.array([i for _, i in best], arrow.field(1).type), *[pa.array([r[k] for r in best.values()], pa.int64()) for k in range(4)]]
                 yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
-    return src.mapInArrow(run, schema)
+    return in_small_batches(src).mapInArrow(run, schema)
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no item of ``items`` is found, unchanged."""
     tagged = docs.withColumn("__row", F.monotonically_increasing_id())
-    from .common import written
     tagged = written(spark, tagged, "decontaminate-docs")
     hit = contaminated(spark, tagged, items, doc_id="__row").select("__row").distinct()
     return tagged.join(hit, "__row", "left_anti").select(*docs.columns)

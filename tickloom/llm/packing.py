@@ -36,7 +36,7 @@ CAPACITY = 4096
 END_ID = 1
 SLACK = 16            # a pattern may leave so many tokens of a sequence free
 ROUNDS = 600          # of the least-squares iteration
-WORDS_HELD = 300_000  # words, and stretches, whose ids a task remembers
+WORDS_HELD = 200_000  # words, and stretches, whose ids a task remembers
 
 
 def default_tokenizer() -> str:
