@@ -29,7 +29,7 @@ def test_entry_smoke(spark):
 
 
 def test_every_built_id_has_a_query():
-    keys = list(entry.queries())
+    keys = [k for k in entry.queries() if not re.fullmatch(r"op\d+_\w+|pipeline", k)]     # those of the subpackage llm
     ids = set()
     for k in keys:
         m = re.match(r"([a-m])(\d+)", k)
@@ -38,7 +38,7 @@ def test_every_built_id_has_a_query():
             ids.add(extra)
     missing = [i for i in BUILT if i not in ids]
     assert not missing, missing
-    assert set(entry.oracle_sql()) <= set(keys)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def _norm(v):

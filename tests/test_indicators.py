@@ -49,20 +49,37 @@ def test_rsi_simple_mean_variant(spark):
     assert got2[3] == pytest.approx(100 - 100 / (1 + (2 / 3) / (1 / 3)))
 
 
-def test_rsi_matches_pandas_reference_formula(spark):
-    closes = [44.34, 44.09, 44.15, 43.61, 44.33, 44.83, 45.10, 45.42, 45.84, 46.08, 45.89, 46.03, 45.61, 46.28,
-              46.28, 46.00, 46.03, 46.41, 46.22, 45.64]
-    s = pd.Series(closes)
-    delta = s.diff()
-    gain = delta.where(delta > 0, 0).rolling(14, min_periods=1).mean()
-    loss = (-delta.where(delta < 0, 0)).rolling(14, min_periods=1).mean()
-    expect = (100 - 100 / (1 + gain / loss)).tolist()
-    got = col_values(series(spark, closes).withColumn("rsi", ind.rsi(14)), "rsi")
-    for g, e in zip(got, expect):
-        if math.isnan(e):
-            assert g is None
-        else:
-            assert g == pytest.approx(e, abs=1e-9)
+def test_rsi_by_hand(spark):
+    # deltas 0, 1, 1, -1, 2: means over 3 rows of gains 2/3 and losses 1/3, then 1 and 1/3
+    got = col_values(series(spark, [10, 11, 12, 11, 13]).withColumn("rsi", ind.rsi(3)), "rsi")
+    assert got[0] is None
+    assert got[1:] == pytest.approx([100.0, 100.0, 200 / 3, 75.0])
+
+
+def test_missing_closes(spark):
+    """NaN is a missing value everywhere: no gain, no loss, no higher close."""
+    df = series(spark, [1, 2, float("nan"), 3, 4])
+    assert col_values(df.withColumn("t", ind.target_direction()), "t") == [1, 0, 0, 1, 0]
+    assert col_values(df.withColumn("r", ind.rsi(3)), "r")[1:] == [100.0, 100.0, 100.0, 100.0]
+    assert col_values(df.withColumn("d", ind.daily_return()), "d") == [None, 1.0, None, None, pytest.approx(1 / 3)]
+    assert col_values(df.withColumn("s", ind.sma(2)), "s") == [None, 1.5, None, None, 3.5]
+    assert col_values(ind.ema(df, {"E": 3}), "E") == pytest.approx([1, 1.5, 1.5, 2.25, 3.125])
+    from tickloom.operators.features import drop_incomplete, fill_both_ways
+    assert col_values(fill_both_ways(df, ["close"]), "close") == [1, 2, 3, 3, 4]
+    assert drop_incomplete(df).count() == 4
+
+
+def test_zero_first_close(spark):
+    row = ind.return_stats(series(spark, [0, 2, 3])).collect()[0]
+    assert row["total_return"] is None and row["mean_return"] == pytest.approx(0.5)
+
+
+def test_macd_by_hand(spark):
+    # spans 1 and 3: the fast mean is the close itself, the slow one 4, 5, 6.5; signal span 1 equals the line
+    got = ind.macd(series(spark, [4, 6, 8]), fast=1, slow=3, sig=1).orderBy("date").collect()
+    assert [r["EMA_Long"] for r in got] == [4.0, 5.0, 6.5]
+    assert [r["MACD"] for r in got] == [0.0, 1.0, 1.5]
+    assert [r["MACD_Histogram"] for r in got] == [0.0, 0.0, 0.0]
 
 
 def test_target_direction_last_row_zero(spark):

@@ -1,6 +1,8 @@
 import datetime as dt
+import os
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from tickloom.operators import contracts as ct
 from tickloom.operators import quality as qu
@@ -81,6 +83,59 @@ def test_upsert_table_versions_and_unreadable_history(spark):
     assert up.read_or_none(spark, scratch_path(spark, "missing")) is None
 
 
+def test_killed_versions_do_not_count(spark):
+    """An empty folder, or one with finished files but no commit mark, is no version."""
+    root = scratch_path(spark, "t_killed")
+    rows = spark.createDataFrame([("S", i, float(i), 1) for i in range(100)], "symbol string, k int, v double, batch_seq int")
+    one = spark.createDataFrame([("S", 500, 1.0, 2)], rows.schema)
+    up.upsert_table(spark, root, rows, ["symbol", "k"])
+    os.makedirs(f"{root}/v=2/_temporary/0")
+    assert up.upsert_table(spark, root, one, ["symbol", "k"]).count() == 101
+    two = spark.createDataFrame([("S", 501, 1.0, 3)], rows.schema)
+    one.write.parquet(f"{root}/v=4")
+    os.remove(f"{root}/v=4/_SUCCESS")
+    assert up.upsert_table(spark, root, two, ["symbol", "k"]).count() == 102
+    assert up.versions(spark, root) == [1, 3, 5]
+    up.drop_versions(spark, root, 2)
+    assert up.versions(spark, root) == [3, 5] and up.read_table_version(spark, root).count() == 102
+
+
+def test_unreadable_history_is_an_error_unless_said(spark):
+    root = scratch_path(spark, "t_unreadable")
+    os.makedirs(f"{root}/v=1")
+    open(f"{root}/v=1/_SUCCESS", "w").close()
+    new = spark.createDataFrame([("S", 1, 1.0, 1)], "symbol string, k int, v double, batch_seq int")
+    with pytest.raises(AnalysisException):
+        up.upsert_table(spark, root, new, ["symbol", "k"])
+    assert up.upsert_table(spark, root, new, ["symbol", "k"], unreadable_is_absent=True).count() == 1
+
+
+def test_equal_batches_have_one_winner(spark):
+    rows = [("S", 1, 2.0, 7), ("S", 1, 1.0, 7)]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "symbol string, k int, v double, batch_seq int")
+        assert [r["v"] for r in up.newest_wins(df, ["symbol", "k"]).collect()] == [2.0]
+
+
+def test_day_writes_make_few_files(spark):
+    """Rows of every day in every task: files stay within days x parts."""
+    df = spark.range(4000).selectExpr("id", "date_add(date'2026-01-01', cast(id % 10 as int)) AS fecha_limpia").repartition(16)
+    path = scratch_path(spark, "t_days")
+    up.write_days(df, path, parts=2)
+    files = [f for _, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+    assert len(files) <= 20 and spark.read.parquet(path).count() == 4000
+
+
+def test_bad_csv_field_is_an_error(spark):
+    from pyspark.sql import types as T
+
+    from tickloom.sources import files as io
+    path = scratch_path(spark, "t_csv")
+    spark.createDataFrame([("1",), ("x",)], "n string").write.option("header", True).csv(path)
+    with pytest.raises(Exception):
+        io.read_csv(spark, path, T.StructType([T.StructField("n", T.IntegerType())])).collect()
+
+
 def test_replace_matching_and_pending_days(spark):
     old = spark.createDataFrame([("m1", 1.0), ("m2", 2.0)], "model string, v double")
     new = spark.createDataFrame([("m2", 5.0)], "model string, v double")

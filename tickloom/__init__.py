@@ -6,3 +6,11 @@ computations are windows partitioned by symbol and ordered by date.
 """
 
 __version__ = "0.1.0"
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Spark's Python workers travel by value: executors need
+# not have the package on their import path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -18,7 +18,7 @@ def nan_to_null(c: str | Column) -> Column:
     """pandas treats NaN as missing; Spark compares NaN as the largest value.
     Convert at the door so that comparisons and aggregates ignore it (S1)."""
     x = col(c)
-    return F.when(F.isnan(x), F.lit(None)).otherwise(x)
+    return F.when(~F.isnan(x.cast("double")), x)
 
 
 def is_true(cond: Column) -> Column:

@@ -51,12 +51,17 @@ class ContractError(ValueError):
     pass
 
 
+def missing_columns(df: DataFrame, schema: T.StructType) -> list[str]:
+    """B1: the declared columns that ``df`` lacks."""
+    return [f.name for f in schema.fields if f.name not in df.columns]
+
+
 def require_columns(df: DataFrame | None, schema: T.StructType, stage: str) -> DataFrame:
     """B1: every declared column must be present (extra columns are fine); a
     missing frame is an error; an empty frame passes.  Driver-side, metadata only."""
     if df is None:
         raise ContractError(f"[{stage}] no data frame")
-    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    missing = missing_columns(df, schema)
     if missing:
         raise ContractError(f"[{stage}] missing columns: {sorted(missing)}")
     return df

@@ -1,21 +1,21 @@
 """Joins and feature assembly.
 
-The volatility index and the daily news tone are keyed by date only (one row
-per day, bounded by the calendar): they join every symbol's bars on ``date``.
-The join strategy is left to AQE, which turns the shuffle join into a
-broadcast join from the runtime size of the finished small side (a checked
-size, not a guess).  Social sentiment is keyed by (symbol, date).
+The volatility index is keyed by date only (one row per day, bounded by the
+calendar): it joins every symbol's bars on ``date``.  The join strategy is left
+to AQE, which turns the shuffle join into a broadcast join from the runtime
+size of the finished small side (a checked size, not a guess).  News tone and
+social sentiment are keyed by (symbol, date).
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import series_window
+from ..functions.exprs import nan_to_null, series_window
 
 # News-tone sentiment columns (+ the score alias).
 NEWS_COLS = ["volumen_noticias", "sentimiento_promedio", "puntuacion_positiva", "puntuacion_negativa",
@@ -30,6 +30,8 @@ SCORING_FEATURES = [
     "year", "day_of_month", "week_of_year", "month_sin", "month_cos", "day_sin", "day_cos",
     "sentiment_volume_interaction", "vix_rsi_interaction",
 ]
+CALENDAR_COLS = ["day_of_week", "month", "quarter", "year", "day_of_month", "week_of_year", "month_sin", "month_cos",
+                 "day_sin", "day_cos"]
 # Columns removed for the "traditional" (no sentiment) variant.
 SOCIAL_COLS = ["fecha", "volumen_noticias", "sentimiento_promedio", "puntuacion_positiva", "puntuacion_negativa",
                "polaridad_promedio", "volatilidad_sentimiento", "uso_primera_persona", "sentiment_volume_interaction"]
@@ -40,13 +42,13 @@ def join_vix(bars: DataFrame, vix: DataFrame) -> DataFrame:
     return bars.join(vix.select("date", F.col("close").alias("VIX")), "date", "left")
 
 
-def join_news(df: DataFrame, tone: DataFrame | None) -> DataFrame:
-    """Left-join the daily news tone on date; when the source is
-    absent every sentiment column is the constant 0.0."""
+def join_news(df: DataFrame, tone: DataFrame | None, keys=("symbol",)) -> DataFrame:
+    """Left-join the company's daily news tone on (symbol, date); when
+    the source is absent every sentiment column is the constant 0.0."""
     if tone is None:
         return df.withColumns({c: F.lit(0.0) for c in NEWS_COLS + ["sentiment_score"]})
-    t = tone.select(F.col("fecha").alias("date"), *NEWS_COLS)
-    return df.join(t, "date", "left")
+    t = tone.select(*keys, F.col("fecha").alias("date"), *NEWS_COLS)
+    return df.join(t, [*keys, "date"], "left")
 
 
 def join_social(df: DataFrame, daily: DataFrame | None, keys=("symbol",)) -> DataFrame:
@@ -99,7 +101,7 @@ def interactions(df: DataFrame) -> DataFrame:
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:
-    """Drop rows with any NULL (NaN is converted to NULL upstream)."""
+    """Drop rows with any NULL or NaN."""
     return df.dropna("any")
 
 
@@ -121,8 +123,12 @@ def fill_both_ways(df: DataFrame, cols: list[str], keys=("symbol",)) -> DataFram
     behind = series_window(keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ahead = (Window.partitionBy(*keys).orderBy(F.col("date").desc())
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.withColumns({c: F.coalesce(F.col(c), F.last(c, ignorenulls=True).over(ahead),
-                                         F.last(c, ignorenulls=True).over(behind)) for c in cols})
+    kinds = dict(df.dtypes)
+
+    def filled(c: str) -> Column:
+        x = nan_to_null(c) if kinds[c] in ("double", "float") else F.col(c)
+        return F.coalesce(x, F.last(x, ignorenulls=True).over(ahead), F.last(x, ignorenulls=True).over(behind))
+    return df.withColumns({c: filled(c) for c in cols})
 
 
 def scoring_features(indicators: DataFrame, vix: DataFrame, daily: DataFrame | None,
@@ -132,7 +138,9 @@ def scoring_features(indicators: DataFrame, vix: DataFrame, daily: DataFrame | N
     df = join_social(join_vix(indicators, vix), daily, keys)
     df = df.fillna(0.0, subset=SENTIMENT_COLS)
     df = interactions(cyclic(calendar(df)))
-    fill = [c for c in df.columns if c not in (*keys, "date")]
+    # what the calendar gives and what B15 filled cannot be missing
+    never = {*keys, "date", *SENTIMENT_COLS, *CALENDAR_COLS}
+    fill = [c for c in df.columns if c not in never]
     df = fill_both_ways(df, fill, keys)
     if "target_direction" in df.columns:
         df = df.withColumn("target_direction", F.coalesce("target_direction", F.lit(0)))

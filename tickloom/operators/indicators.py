@@ -10,12 +10,10 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.exprs import col, is_true, rnd_even, rolling, safe_div, series_window, trailing
+from ..functions.exprs import is_true, nan_to_null, rnd_even, rolling, safe_div, series_window, trailing
 
 # RSI / MACD read-out labels and thresholds.
 RSI_HIGH, RSI_LOW = 70, 30
@@ -29,18 +27,18 @@ VIX_TOP = "Muy Alto"
 def daily_return(close: str | Column = "close", keys=("symbol",)) -> Column:
     """Close / previous close - 1; NULL on the first row (and on a zero
     previous close, where pandas would give inf)."""
-    prev = F.lag(col(close)).over(series_window(keys))
-    return safe_div(col(close), prev) - 1
+    x = nan_to_null(close)
+    return safe_div(x, F.lag(x).over(series_window(keys))) - 1
 
 
 def sma(n: int, c: str | Column = "close", keys=("symbol",)) -> Column:
     """Simple moving average, NULL until n values are available."""
-    return rolling(F.avg, c, series_window(keys), n)
+    return rolling(F.avg, nan_to_null(c), series_window(keys), n)
 
 
 def rolling_std(n: int, c: str | Column, keys=("symbol",)) -> Column:
     """D3: rolling sample standard deviation, NULL until n non-null values."""
-    return rolling(F.stddev_samp, c, series_window(keys), n)
+    return rolling(F.stddev_samp, nan_to_null(c), series_window(keys), n)
 
 
 def rsi(n: int = 14, c: str | Column = "close", keys=("symbol",)) -> Column:
@@ -48,7 +46,8 @@ def rsi(n: int = 14, c: str | Column = "close", keys=("symbol",)) -> Column:
     zero loss; means use min_periods=1; no loss and some gain gives 100; no
     gain and no loss gives NULL."""
     w = series_window(keys)
-    delta = F.coalesce(col(c) - F.lag(col(c)).over(w), F.lit(0.0))
+    x = nan_to_null(c)
+    delta = F.coalesce(x - F.lag(x).over(w), F.lit(0.0))
     frame = trailing(w, n)
     ag = F.avg(F.greatest(delta, F.lit(0.0))).over(frame)
     al = F.avg(F.greatest(-delta, F.lit(0.0))).over(frame)
@@ -59,7 +58,8 @@ def rsi(n: int = 14, c: str | Column = "close", keys=("symbol",)) -> Column:
 
 def target_direction(c: str | Column = "close", keys=("symbol",)) -> Column:
     """1 when the next close is higher, else 0; the last row is 0."""
-    return is_true(F.lead(col(c)).over(series_window(keys)) > col(c)).cast("int")
+    x = nan_to_null(c)
+    return is_true(F.lead(x).over(series_window(keys)) > x).cast("int")
 
 
 def with_indicators(bars: DataFrame, keys=("symbol",)) -> DataFrame:
@@ -77,41 +77,62 @@ def with_indicators(bars: DataFrame, keys=("symbol",)) -> DataFrame:
 
 # ---------------------------------------------------------------- EMA / MACD
 
-def _ema_frame(pdf: pd.DataFrame, spans: dict[str, int], src: str) -> pd.DataFrame:
-    pdf = pdf.sort_values("date")
-    for name, span in spans.items():
-        pdf[name] = pdf[src].ewm(span=span, adjust=False).mean()
-    return pdf
+def smoothing(span: int) -> float:
+    """Weight of a new value in an EMA of ``span``."""
+    return 1.0 / (1.0 + (span - 1) / 2.0)
 
 
-def ema(df: DataFrame, spans: dict[str, int] | None = None, src: str = "close",
-        keys=("symbol",)) -> DataFrame:
-    """Recursive EMA (adjust=False): e0 = x0, e_t = a*x_t + (1-a)*e_{t-1},
-    a = 2/(span+1).  The recursion is not a frame aggregate, so each symbol's
-    series (one row per day, bounded by the calendar) is folded by pandas'
-    vectorised ``ewm`` inside ``applyInPandas``; Spark shuffles by symbol."""
+def ema_step(mean: Column, x: Column, span: int) -> Column:
+    """One value more: a*x + (1-a)*mean; the first value starts the mean, a
+    missing one leaves it."""
+    a = smoothing(span)
+    b = 1.0 - a
+    moved = (F.lit(b) * mean + F.lit(a) * x) / F.lit(b + a)
+    return F.when(mean.isNull(), x).when(x.isNull() | (x == mean), mean).otherwise(moved)
+
+
+def fold(df: DataFrame, start: dict[str, Column], step, keys=("symbol",)) -> DataFrame:
+    """Running values of a recursion over each ordered series, as new columns.
+
+    ``start`` names the values, ``step(values, row)`` gives the next ones.  A
+    recursion is no frame aggregate, so each series (a row per day, bounded by
+    the calendar) is gathered in date order and folded by ``aggregate``."""
+    rows = df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("date", *[c for c in df.columns if c not in ("date", *keys)]))).alias("_s"))
+    state = F.struct(*[v.alias(n) for n, v in start.items()])
+    none = F.filter(F.array(state), lambda x: F.lit(False))
+
+    def add(acc: Column, row: Column) -> Column:
+        now = F.struct(*[v.alias(n) for n, v in step(acc["now"], row).items()])
+        return F.struct(now.alias("now"), F.concat(acc["out"], F.array(now)).alias("out"))
+
+    out = F.aggregate("_s", F.struct(state.alias("now"), none.alias("out")), add, lambda acc: acc["out"])
+    both = rows.select(*keys, F.explode(F.arrays_zip(F.col("_s").alias("r"), out.alias("v"))).alias("_z"))
+    return both.select(*[F.col(c) if c in keys else F.col(f"_z.r.`{c}`").alias(c) for c in df.columns],
+                       *[F.col(f"_z.v.`{n}`").alias(n) for n in start])
+
+
+def ema(df: DataFrame, spans: dict[str, int] | None = None, src: str = "close", keys=("symbol",)) -> DataFrame:
+    """Recursive EMA, e0 = x0, e_t = a*x_t + (1-a)*e_{t-1}, a = 2/(span+1)."""
     spans = spans or {"EMA": 20}
-    schema = T.StructType(df.schema.fields + [T.StructField(n, T.DoubleType()) for n in spans])
-    return df.groupBy(*keys).applyInPandas(lambda p: _ema_frame(p, spans, src), schema)
+    null = F.lit(None).cast("double")
 
+    def step(now: Column, row: Column) -> dict[str, Column]:
+        return {n: ema_step(now[n], nan_to_null(row[src]), span) for n, span in spans.items()}
+    return fold(df, {n: null for n in spans}, step, keys)
 
-def _macd_frame(pdf: pd.DataFrame, src: str, fast: int, slow: int, sig: int) -> pd.DataFrame:
-    pdf = pdf.sort_values("date")
-    x = pdf[src]
-    pdf["EMA_Short"] = x.ewm(span=fast, adjust=False).mean()
-    pdf["EMA_Long"] = x.ewm(span=slow, adjust=False).mean()
-    pdf["MACD"] = pdf["EMA_Short"] - pdf["EMA_Long"]
-    pdf["Signal_Line"] = pdf["MACD"].ewm(span=sig, adjust=False).mean()
-    pdf["MACD_Histogram"] = pdf["MACD"] - pdf["Signal_Line"]
-    return pdf
 
+def macd(df: DataFrame, src: str = "close", fast: int = 12, slow: int = 26, sig: int = 9, keys=("symbol",)) -> DataFrame:
+    """MACD = EMA(fast) - EMA(slow); signal = EMA(sig) of MACD; histogram.
+    All three averages in one fold."""
+    null = F.lit(None).cast("double")
 
-def macd(df: DataFrame, src: str = "close", fast: int = 12, slow: int = 26, sig: int = 9,
-         keys=("symbol",)) -> DataFrame:
-    """MACD = EMA(fast) - EMA(slow); signal = EMA(sig) of MACD; histogram."""
-    extra = ["EMA_Short", "EMA_Long", "MACD", "Signal_Line", "MACD_Histogram"]
-    schema = T.StructType(df.schema.fields + [T.StructField(n, T.DoubleType()) for n in extra])
-    return df.groupBy(*keys).applyInPandas(lambda p: _macd_frame(p, src, fast, slow, sig), schema)
+    def step(now: Column, row: Column) -> dict[str, Column]:
+        x = nan_to_null(row[src])
+        short, long = ema_step(now["EMA_Short"], x, fast), ema_step(now["EMA_Long"], x, slow)
+        return {"EMA_Short": short, "EMA_Long": long, "Signal_Line": ema_step(now["Signal_Line"], short - long, sig)}
+    both = fold(df, {n: null for n in ("EMA_Short", "EMA_Long", "Signal_Line")}, step, keys)
+    line = F.col("EMA_Short") - F.col("EMA_Long")
+    return both.withColumns({"MACD": line, "MACD_Histogram": line - F.col("Signal_Line")})
 
 
 def indicator_readout(df: DataFrame, keys=("symbol",)) -> DataFrame:
@@ -144,7 +165,7 @@ def intraday(df: DataFrame, keys=("symbol",)) -> DataFrame:
 
 def vix_regime(c: str | Column = "close") -> Column:
     """Volatility regime; a NULL level compares false and lands in the top bucket."""
-    x = col(c)
+    x = nan_to_null(c)
     out = None
     for bound, name in VIX_BUCKETS:
         cond = is_true(x < bound)

@@ -38,11 +38,9 @@ def boosted_trees(features: list[str], label: str = "target_direction", weight:
     return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"), gbt])
 
 
-def save_and_load(model: PipelineModel, path: str) -> PipelineModel:
-    """Persist a fitted pipeline (the model store) and return the stored copy.
-    The stored copy carries no training summary, whose reference to the
-    session would otherwise travel inside the scoring closure."""
-    model.write().overwrite().save(path)
+def load(path: str) -> PipelineModel:
+    """A stored pipeline.  The stored copy carries no training summary, whose
+    reference to the session would otherwise travel inside the scoring closure."""
     return PipelineModel.load(path)
 
 

@@ -34,13 +34,22 @@ def filter_news(news: DataFrame, start: str, end: str, keyword: str) -> DataFram
         & F.col("translationinfo").isNull())
 
 
-def daily_tone(news: DataFrame, digits: int = 3) -> DataFrame:
-    """per day: count(*), 5 rounded means and a rounded sample std of the tone."""
+def company_rows(news: DataFrame, organisations: list[tuple[str, str]]) -> DataFrame:
+    """The untranslated news of each company: a row for each ``symbol`` whose
+    organisation it names (case-insensitive substring).  ``organisations`` is a
+    parameter list (symbol, name); it is tested per row, without a join."""
+    known = F.array(*[F.struct(F.lit(s).alias("symbol"), F.lit(o.lower()).alias("org")) for s, o in organisations])
+    named = F.transform(F.filter(known, lambda x: F.lower(F.col("orgs")).contains(x["org"])), lambda x: x["symbol"])
+    return news.where(F.col("translationinfo").isNull()).select("*", F.explode(named).alias("symbol"))
+
+
+def daily_tone(news: DataFrame, digits: int = 3, keys=()) -> DataFrame:
+    """per day (and key): count(*), 5 rounded means and a rounded sample std of the tone."""
     def rd(c):
         m = float(10 ** digits)
         return F.round(c * m, 0) / m
-    t = news.select("date", *[tone_part("v2tone", i).alias(n) for n, i in TONE_FIELDS.items()])
-    return t.groupBy(F.col("date").alias("fecha")).agg(
+    t = news.select(*keys, "date", *[tone_part("v2tone", i).alias(n) for n, i in TONE_FIELDS.items()])
+    return t.groupBy(*keys, F.col("date").alias("fecha")).agg(
         F.count(F.lit(1)).alias("volumen_noticias"),
         rd(F.avg("tone")).alias("sentimiento_promedio"),
         rd(F.avg("pos")).alias("puntuacion_positiva"),

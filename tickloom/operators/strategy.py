@@ -146,10 +146,11 @@ def best_worst_period(perf: DataFrame, keys=("symbol",)) -> DataFrame:
 
 
 def _uniform(*parts: Column) -> Column:
-    """A uniform (0, 1) number from a 53-bit slice of xxhash64 - the same for
-    a given (seed, key, path, day) whatever the partitioning."""
-    h = F.xxhash64(*parts)
-    return (F.pmod(h, F.lit(1 << 53)).cast("double") + 0.5) / float(1 << 53)
+    """A uniform (0, 1) number from the first 13 hex digits (52 bits) of an md5:
+    the same for a given (seed, key, path, day) whatever the partitioning, and
+    in any engine."""
+    h = F.substring(F.md5(F.concat_ws(":", *[p.cast("string") for p in parts])), 1, 13)
+    return (F.conv(h, 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
 def monte_carlo(book: DataFrame, n_paths: int = 1000, n_days: int = 252, capital: float = 100_000.0,

@@ -6,13 +6,23 @@ Each oracle query names the fixture views it needs; ``with_views`` emits them
 
 from __future__ import annotations
 
-from ..sources.fixtures import GRID_LONG, GRID_SHORT, PERIODS, SEGMENTS, SIGNAL_MODELS
+from ..sources.fixtures import DAYS, FADE, FIRST_DAY, GRID_LONG, GRID_SHORT, ORGANISATIONS, PERIODS, REPEATED, SEGMENTS, SIGNAL_MODELS
 
 _SEG_LIST = ", ".join(f"'{s}'" for s in SEGMENTS)
 _MODELS = ", ".join(f"('{m}', {k})" for m, k in SIGNAL_MODELS)
 _PERIODS = ", ".join(f"('{n}', DATE '{s}', DATE '{e}')" for n, s, e in PERIODS)
 _PARAMS = ", ".join(f"({s}, {lg})" for s in GRID_SHORT for lg in GRID_LONG if s < lg)
 
+_ORGS = ", ".join(f"('{s}', '{o}')" for s, o in ORGANISATIONS)
+_NEWS_COLS = """
+               CASE WHEN event_id % 50 = 0 THEN 'x,'
+                    ELSE concat_ws(',', CAST(value / 10 - 5 AS VARCHAR), CAST(value / 20 AS VARCHAR),
+                                   CAST(value / 30 AS VARCHAR), CAST(value / 15 AS VARCHAR),
+                                   CAST(user_id % 7 AS VARCHAR)) END AS v2tone,
+               'Org ' || CAST(user_id % 5 AS VARCHAR) AS orgs,
+               CASE WHEN event_id % 10 = 0 THEN 'srclc:xx' END AS translationinfo
+        FROM """
+
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "bars": ((), """
         SELECT c.c_mktsegment AS symbol, CAST(o.o_orderdate AS DATE) AS date,
@@ -34,15 +44,11 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                        / ((SELECT max(m) FROM (SELECT avg(o_totalprice) AS m FROM orders GROUP BY CAST(o_orderdate AS DATE)))
                           - (SELECT min(m) FROM (SELECT avg(o_totalprice) AS m FROM orders GROUP BY CAST(o_orderdate AS DATE)))), 4) AS close
         FROM (SELECT CAST(o_orderdate AS DATE) AS date, avg(o_totalprice) AS m FROM orders GROUP BY 1) d"""),
-    "news": ((), """
-        SELECT CAST(ts AS DATE) AS date,
-               CASE WHEN event_id % 50 = 0 THEN 'x,'
-                    ELSE concat_ws(',', CAST(value / 10 - 5 AS VARCHAR), CAST(value / 20 AS VARCHAR),
-                                   CAST(value / 30 AS VARCHAR), CAST(value / 15 AS VARCHAR),
-                                   CAST(user_id % 7 AS VARCHAR)) END AS v2tone,
-               'Org ' || CAST(user_id % 5 AS VARCHAR) AS orgs,
-               CASE WHEN event_id % 10 = 0 THEN 'srclc:xx' END AS translationinfo
-        FROM events"""),
+    "news": ((), "SELECT CAST(ts AS DATE) AS date," + _NEWS_COLS + "events"),
+    "company_news": ((), f"SELECT DATE '{FIRST_DAY}' + CAST((event_id * {REPEATED} + k) % {DAYS} AS INTEGER) AS date,"
+                     + _NEWS_COLS + f"(SELECT event_id, user_id, k, value * (1 + (k + 1) * CAST({FADE!r} AS DOUBLE)) AS value"
+                     f" FROM events CROSS JOIN range({REPEATED}) r(k))"),
+    "organisations": ((), f"SELECT * FROM (VALUES {_ORGS}) t(symbol, org)"),
     "posts": ((), f"""
         SELECT d.doc_id AS id,
                CASE WHEN d.doc_id % 97 = 0 THEN 'not a timestamp'

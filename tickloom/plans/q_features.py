@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 import math
 
 from pyspark.sql import functions as F
@@ -14,29 +13,21 @@ from ..operators.contracts import ENGINEERED_FEATURES, validate
 from ..sources import fixtures as fx
 from .oracle import dbl, with_views
 from .q_indicators import IND_CTES
-from .q_news import daily as news_daily
-from .q_news import tone_cte
+from .q_news import COMPANY_TONE, company_tone
 from .q_sentiment import POSTS_CTES, daily_social
 from .registry import register
 
-# The news fixture covers January 2024; it is shifted onto the bars' calendar.
-NEWS_SHIFT_DAYS = (dt.date(2024, 1, 1) - dt.date(1996, 1, 1)).days
 TWO_PI = dbl(2 * math.pi)
 
 NEWS7 = fe.NEWS_COLS
 
 
-def shifted_tone(spark, sf):
-    t = news_daily(spark, sf)
-    return t.withColumn("fecha", F.date_sub("fecha", NEWS_SHIFT_DAYS))
-
-
 def indicator_table(spark, sf):
     return ind.with_indicators(fx.bars(spark, sf))
 
 
 def train_table(spark, sf):
-    return fe.training_features(indicator_table(spark, sf), fx.vix(spark, sf), shifted_tone(spark, sf))
+    return fe.training_features(indicator_table(spark, sf), fx.vix(spark, sf), company_tone(spark, sf))
 
 
 def score_table(spark, sf):
@@ -52,16 +43,16 @@ CYC_SQL = f"""sin({TWO_PI} * month / 12) AS month_sin, cos({TWO_PI} * month / 12
               sin({TWO_PI} * day_of_week / 7) AS day_sin, cos({TWO_PI} * day_of_week / 7) AS day_cos,
               sentimiento_promedio * volume AS sentiment_volume_interaction, VIX * RSI / 100 AS vix_rsi_interaction"""
 
+# Columns of the training table, in order.
 TRAIN_COLS = (["symbol", "date", "open", "high", "low", "close", "volume", "RSI", "daily_return", "SMA_10",
                "SMA_50", "volatilidad_10d", "target_direction", "VIX"] + NEWS7
               + ["day_of_week", "month", "quarter", "year", "day_of_month", "week_of_year",
                  "month_sin", "month_cos", "day_sin", "day_cos", "sentiment_volume_interaction",
                  "vix_rsi_interaction"])
 
-TRAIN_CTES = [tone_cte()] + IND_CTES + [
-    ("tone_s", f"SELECT fecha - {NEWS_SHIFT_DAYS} AS date, {', '.join(NEWS7)} FROM tone"),
+TRAIN_CTES = [COMPANY_TONE] + IND_CTES + [
     ("ft0", f"""SELECT i.*, v.close AS VIX, {', '.join('t.' + c for c in NEWS7)}, {CAL_SQL}
-               FROM ind i LEFT JOIN vix v ON i.date = v.date LEFT JOIN tone_s t ON i.date = t.date"""),
+               FROM ind i LEFT JOIN vix v ON i.date = v.date LEFT JOIN tone_s t ON i.symbol = t.symbol AND i.date = t.date"""),
     ("ft1", f"SELECT *, {CYC_SQL} FROM ft0"),
     ("feat", "SELECT * FROM ft1 WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in TRAIN_COLS)),
 ]
@@ -82,7 +73,7 @@ def out_sql(cols, src):
 
 
 def train_sql(body):
-    return with_views(["bars", "vix", "news"], body, TRAIN_CTES)
+    return with_views(["bars", "vix", "company_news", "organisations"], body, TRAIN_CTES)
 
 
 @register("e9_training_features", train_sql(out_sql(TRAIN_COLS, "feat")))
@@ -105,12 +96,11 @@ def q_e1(spark, sf):
     return fe.join_vix(fx.bars(spark, sf), fx.vix(spark, sf)).select("symbol", "date", "close", "VIX")
 
 
-@register("e2_join_news_tone", with_views(["bars", "news"], f"""
+@register("e2_join_news_tone", with_views(["bars", "company_news", "organisations"], """
     SELECT b.symbol, b.date, t.volumen_noticias, t.sentimiento_promedio, t.volatilidad_sentimiento
-    FROM bars b LEFT JOIN (SELECT fecha - {NEWS_SHIFT_DAYS} AS date, * EXCLUDE (fecha) FROM tone) t ON b.date = t.date""",
-        [tone_cte()]))
+    FROM bars b LEFT JOIN tone_s t ON b.symbol = t.symbol AND b.date = t.date""", [COMPANY_TONE]))
 def q_e2(spark, sf):
-    j = fe.join_news(fx.bars(spark, sf), shifted_tone(spark, sf))
+    j = fe.join_news(fx.bars(spark, sf), company_tone(spark, sf))
     return j.select("symbol", "date", "volumen_noticias", "sentimiento_promedio", "volatilidad_sentimiento")
 
 
@@ -164,6 +154,7 @@ def q_e6_e8(spark, sf):
                           "month_sin", "month_cos", "day_sin", "day_cos", "vix_rsi_interaction"])
 
 
+# Filled columns that are compared, and the columns E16 asks for.
 FILL_COLS = ["RSI", "daily_return", "SMA_10", "SMA_50", "volatilidad_10d", "VIX", "sentimiento_promedio",
              "volumen_noticias", "volatilidad_sentimiento", "sentiment_score", "puntuacion_positiva"]
 SCORE_OUT = ["symbol", "date"] + FILL_COLS + ["target_direction"]

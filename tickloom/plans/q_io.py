@@ -14,6 +14,8 @@ from .oracle import with_views
 from .q_sentiment import POSTS_CTES, clean_posts
 from .registry import register
 
+FILES_PER_FOLDER = 8
+
 BARS_SCHEMA = T.StructType([T.StructField(n, t) for n, t in [
     ("symbol", T.StringType()), ("date", T.DateType()), ("close", T.DoubleType()), ("high", T.DoubleType()),
     ("low", T.DoubleType()), ("open", T.DoubleType()), ("volume", T.LongType())]])
@@ -30,7 +32,7 @@ def q_a1(spark, sf):
     SELECT CAST(id + 100000000000000000 AS VARCHAR) AS tweet_id, symbol FROM posts"""))
 def q_a2(spark, sf):
     """Ids beyond 2^53 survive a CSV round trip only when declared as strings."""
-    p = fx.posts(spark, sf).select((F.col("id") + 10 ** 17).cast("string").alias("tweet_id"), "symbol")
+    p = fx.raw_posts(spark, sf).select((F.col("id") + 10 ** 17).cast("string").alias("tweet_id"), "symbol")
     path = scratch_path(spark, "ids_csv")
     io.write_csv(p, path)
     schema = T.StructType([T.StructField("tweet_id", T.StringType()), T.StructField("symbol", T.StringType())])
@@ -49,7 +51,7 @@ def q_a3(spark, sf):
                        T.StructField("close", T.DoubleType()), T.StructField("volume", T.LongType())])
     s2 = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("high", T.DoubleType()),
                        T.StructField("date", T.DateType()), T.StructField("close", T.DoubleType())])
-    u = io.read_csv(spark, p1, s1).unionByName(io.read_csv(spark, p2, s2), allowMissingColumns=True)
+    u = io.read_csv_union(spark, [(p1, s1), (p2, s2)])
     return u.select("symbol", "date", "close", "volume", "high")
 
 
@@ -66,7 +68,7 @@ def q_a4(spark, sf):
            (SELECT count(*) FROM posts WHERE try_strptime(ts_text, '%Y-%m-%d %H:%M:%S') IS NULL) AS dropped
     FROM posts WHERE try_strptime(ts_text, '%Y-%m-%d %H:%M:%S') IS NOT NULL GROUP BY 1"""))
 def q_a5(spark, sf):
-    raw = fx.posts(spark, sf).select(F.col("id").cast("string").alias("ID_Tweet"), F.col("ts_text").alias("Fecha_UTC"),
+    raw = fx.raw_posts(spark, sf).select(F.col("id").cast("string").alias("ID_Tweet"), F.col("ts_text").alias("Fecha_UTC"),
                                      F.col("text").alias("Contenido_Texto"))
     path = scratch_path(spark, "posts_by_day")
     dropped = io.partition_by_day(raw, path, "Fecha_UTC", "yyyy-MM-dd HH:mm:ss")
@@ -82,7 +84,7 @@ def q_a5(spark, sf):
            coalesce(CAST(retweets AS VARCHAR), '0') AS Retweets, coalesce(CAST(favoritos AS VARCHAR), '0') AS Favoritos
     FROM posts"""))
 def q_a6(spark, sf):
-    p = fx.posts(spark, sf).select(
+    p = fx.raw_posts(spark, sf).select(
         F.col("id"), F.col("ts_text").alias("published_time"),
         F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("text")).alias("text"),
         F.col("retweets").alias("reposts"), F.col("favoritos").alias("likes"))
@@ -100,7 +102,7 @@ def q_a7(spark, sf):
     out = None
     for s, e in (("1997-03-14", "1997-03-14"), ("1998-01-01", "1998-02-01")):
         part = b.where(io.in_range("date", s, e)).select(
-            "symbol", "date", "close", F.concat(F.col("symbol"), F.lit(f"_{s}_{e}")).alias("range_name"))
+            "symbol", "date", "close", io.range_name(F.col("symbol"), s, e).alias("range_name"))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -124,13 +126,18 @@ def q_a9(spark, sf):
     """Posts written one folder per symbol named social_raw_TICKER_start_end
     (the ticker contains '_'); the parameters are recovered from each row's
     input file path."""
-    c = clean_posts(spark, sf)
+    c = clean_posts(spark, sf, labelled=False)
     rng = c.groupBy("symbol").agg(F.min("fecha_limpia").alias("s"), F.max("fecha_limpia").alias("e"))
-    named = c.join(rng, "symbol").withColumn(
+    # one range for each symbol of the universe: a map in a scalar subquery, so the posts are not joined
+    ranges = rng.select(F.map_from_entries(F.collect_list(F.struct("symbol", F.struct("s", "e"))))).scalar()
+    own = F.try_element_at(ranges, F.col("symbol"))
+    named = c.withColumn(
         "file_name", F.concat_ws("_", F.lit("social"), F.lit("raw"), F.concat(F.col("symbol"), F.lit("_X")),
-                                 F.date_format("s", "yyyyMMdd"), F.date_format("e", "yyyyMMdd")))
+                                 F.date_format(own["s"], "yyyyMMdd"), F.date_format(own["e"], "yyyyMMdd")))
     path = scratch_path(spark, "raw_named")
-    named.select("tweet_id", "file_name").write.mode("overwrite").partitionBy("file_name").parquet(path)
+    salt = F.pmod(F.xxhash64("tweet_id"), F.lit(FILES_PER_FOLDER))
+    (named.select("tweet_id", "file_name").repartition("file_name", salt).write.mode("overwrite")
+     .partitionBy("file_name").parquet(path))
     back = spark.read.parquet(path).withColumn(
         "p", io.params_from_name(F.regexp_replace(io.source_file_dir(1), "^file_name=", "")))
     return back.groupBy("p.ticker", "p.start_date", "p.end_date", "p.safe_name").agg(F.count(F.lit(1)).alias("n"))

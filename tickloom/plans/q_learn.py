@@ -5,32 +5,37 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.exprs import rnd as R
+from ..operators import backtest as bt
 from ..operators import features as fe
 from ..operators import learnset as ls
 from ..operators import models as md
 from ..session import materialize, scratch_path
 from ..sources import fixtures as fx
 from .oracle import dbl, with_views
+from .q_backtest import metrics_ctes, ob_ctes
 from .q_explore import master
-from .q_features import SCORE_CTES, score_table
+from .q_features import SCORE_CTES, TRAIN_CTES, score_table, train_table
 from .registry import register
 
 SCALE_COLS = ["close", "RSI", "VIX", "volume", "daily_return"]
-SEQ_COLS = ["close", "RSI"]
+SEQ_COLS = fe.SCORING_FEATURES
+SHOWN = ["close", "RSI", "VIX", "vix_rsi_interaction"]      # sequence features whose every step is compared
 
 
 def split_table(spark, sf):
-    return ls.chrono_split(score_table(spark, sf))
+    """Models learn from the engineered features (E9): incomplete rows are
+    dropped, nothing is filled with later values."""
+    return ls.chrono_split(train_table(spark, sf))
 
 
 SPLIT_CTE = ("sp", f"""
     SELECT *, CASE WHEN row_number() OVER (PARTITION BY symbol ORDER BY date)
                         <= floor(count(*) OVER (PARTITION BY symbol) * {dbl(0.8)}) THEN 'train' ELSE 'test' END AS split
-    FROM scored""")
+    FROM feat""")
 
 
 def learn_sql(body, extra=None):
-    return with_views(["bars", "vix", "posts"], body, SCORE_CTES + [SPLIT_CTE] + (extra or []))
+    return with_views(["bars", "vix", "company_news", "organisations"], body, TRAIN_CTES + [SPLIT_CTE] + (extra or []))
 
 
 @register("h1_chronological_split", learn_sql("SELECT symbol, date, split FROM sp"))
@@ -71,47 +76,64 @@ def q_h3(spark, sf):
 
 W5 = "PARTITION BY symbol, split ORDER BY date ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING"
 SEQ5 = ("seq5", f"""
-    SELECT * FROM (SELECT symbol, split, date, target_direction AS label, CAST(count(*) OVER ({W5}) AS INTEGER) AS seq_len,
-                          first_value(date) OVER ({W5}) AS seq_first_date, last_value(date) OVER ({W5}) AS seq_last_date,
-                          sum(close) OVER ({W5}) AS seq_close_sum FROM sp) WHERE seq_len = 5""")
+    SELECT * FROM (SELECT symbol, split, date, target_direction AS label, CAST(count(*) OVER ({W5}) AS INTEGER) AS seq_len
+                   FROM sp) WHERE seq_len = 5""")
 
 
 def seq5(spark, sf):
-    return ls.train_sequences(split_table(spark, sf), SEQ_COLS, 5)
+    """Training sequences over all features, standardised with the train statistics."""
+    return ls.train_sequences(ls.standardise(split_table(spark, sf), SEQ_COLS), SEQ_COLS, 5)
 
 
-def _seq_summary(s):
-    return s.select("symbol", "split", "date", "label", F.size("seq").alias("seq_len"),
-                    F.col("seq")[0]["date"].alias("seq_first_date"), F.element_at("seq", -1)["date"].alias("seq_last_date"),
-                    R(F.aggregate("seq", F.lit(0.0), lambda a, x: a + x["x"][0]), 4).alias("seq_close_sum"))
+def steps(seqs, keys):
+    """Every step of every sequence in order, with the SHOWN features."""
+    e = seqs.select(*keys, F.posexplode("seq").alias("step", "x"))
+    return e.select(*keys, F.col("step").cast("int").alias("step"), F.col("x.date").alias("step_date"),
+                    *[R(F.col("x.x")[SEQ_COLS.index(c)], 6).alias(c) for c in SHOWN])
 
 
-@register("h5_train_sequences", learn_sql("""
-    SELECT symbol, split, date, label, seq_len, seq_first_date, seq_last_date, round(seq_close_sum, 4) AS seq_close_sum
-    FROM seq5""", [SEQ5]))
+def _standard_sql(cols, source, fit_filter):
+    stats = ", ".join(f"avg({c}) AS mu_{c}, CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS sd_{c}" for c in cols)
+    values = ", ".join(f"(s.{c} - t.mu_{c}) / t.sd_{c} AS {c}" for c in cols)
+    return (f"SELECT s.* EXCLUDE ({', '.join(cols)}), {values} FROM {source} s "
+            f"LEFT JOIN (SELECT symbol, {stats} FROM {source} {fit_filter} GROUP BY symbol) t USING (symbol)")
+
+
+STD_CTE = ("std", _standard_sql(SHOWN, "sp", "WHERE split = 'train'"))
+_SHOWN_SQL = ", ".join(f"round({c}, 6) AS {c}" for c in SHOWN)
+
+
+@register("h5_train_sequences", learn_sql(f"""
+    SELECT a.symbol, a.split, a.date, a.label, CAST(b.rn - (a.rn - 5) AS INTEGER) AS step, b.date AS step_date, {_SHOWN_SQL}
+    FROM (SELECT symbol, split, date, target_direction AS label, row_number() OVER (PARTITION BY symbol, split ORDER BY date) AS rn FROM std) a
+    JOIN (SELECT *, row_number() OVER (PARTITION BY symbol, split ORDER BY date) AS rn FROM std) b
+      ON a.symbol = b.symbol AND a.split = b.split AND b.rn BETWEEN a.rn - 5 AND a.rn - 1 WHERE a.rn > 5""", [STD_CTE]))
 def q_h5(spark, sf):
-    return _seq_summary(seq5(spark, sf))
+    return steps(seq5(spark, sf), ["symbol", "split", "date", "label"])
 
 
 W10 = "PARTITION BY symbol ORDER BY date ROWS BETWEEN 9 PRECEDING AND CURRENT ROW"
 WRUN = "PARTITION BY symbol ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 SEQ10 = ("seq10", f"""
-    SELECT symbol, date, count(*) OVER ({W10}) AS cnt, first_value(date) OVER ({W10}) AS d0,
-           first_value(date) OVER ({WRUN}) AS dfirst, sum(close) OVER ({W10}) AS sc, sum(RSI) OVER ({W10}) AS sr,
+    SELECT symbol, date, count(*) OVER ({W10}) AS cnt, sum(close) OVER ({W10}) AS sc, sum(RSI) OVER ({W10}) AS sr,
            first_value(close) OVER ({WRUN}) AS c0, first_value(RSI) OVER ({WRUN}) AS r0 FROM scored""")
 
 
-def seq10(spark, sf):
-    return ls.score_sequences(score_table(spark, sf), SEQ_COLS, 10)
+def seq10(spark, sf, scaled=False):
+    t = score_table(spark, sf)
+    if scaled:              # the scoring path refits the scaler on the rows it scores
+        t = ls.standardise(t, SEQ_COLS, fit_on=None)
+    return ls.score_sequences(t, SEQ_COLS, 10)
 
 
-@register("h6_score_sequences", with_views(["bars", "vix", "posts"], """
-    SELECT symbol, date, 10 AS seq_len, CASE WHEN cnt < 10 THEN dfirst ELSE d0 END AS seq_first_date,
-           round(sc + (10 - cnt) * c0, 4) AS seq_close_sum FROM seq10""", SCORE_CTES + [SEQ10]))
+@register("h6_score_sequences", with_views(["bars", "vix", "posts"], f"""
+    SELECT a.symbol, a.date, CAST(p.k AS INTEGER) AS step, b.date AS step_date, {_SHOWN_SQL}
+    FROM (SELECT symbol, date, row_number() OVER (PARTITION BY symbol ORDER BY date) AS rn FROM std) a
+    CROSS JOIN range(10) p(k)
+    JOIN (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date) AS rn FROM std) b
+      ON a.symbol = b.symbol AND b.rn = greatest(1, a.rn - 9 + p.k)""", SCORE_CTES + [("std", _standard_sql(SHOWN, "scored", ""))]))
 def q_h6(spark, sf):
-    s = seq10(spark, sf)
-    return s.select("symbol", "date", F.size("seq").alias("seq_len"), F.col("seq")[0]["date"].alias("seq_first_date"),
-                    R(F.aggregate("seq", F.lit(0.0), lambda a, x: a + x["x"][0]), 4).alias("seq_close_sum"))
+    return steps(seq10(spark, sf, scaled=True), ["symbol", "date"])
 
 
 @register("h7_validation_tail", learn_sql("""
@@ -142,69 +164,167 @@ FEATURES = fe.SCORING_FEATURES
 TRADITIONAL = [c for c in FEATURES if c not in fe.SOCIAL_COLS]
 
 
-ROWS_PER_FIT_PARTITION = 250_000
+FIT_PARTITIONS = 8
+_STORED: dict[tuple, str] = {}
 
 
 def learn_frame(spark, sf):
-    """Split + class weights, materialised once in the shared checkpoint
-    folder (tree fitting makes many passes over it), with a partition count
-    sized from its row count: per-task overhead dominates tiny partitions,
-    while a large learning set still spreads over the cluster."""
-    df = materialize(spark, ls.class_weights(split_table(spark, sf)))
-    want = max(1, -(-df.count() // ROWS_PER_FIT_PARTITION))
-    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
+    """Split + class weights, placed by a hash of the key and sorted in each of
+    FIT_PARTITIONS partitions (tree fitting samples by partition, so the model
+    depends on this placement, not on how the rows were made), and stored once
+    in the shared checkpoint folder: fitting makes many passes over it."""
+    df = ls.class_weights(split_table(spark, sf)).repartition(FIT_PARTITIONS, "symbol", "date")
+    return materialize(spark, df.sortWithinPartitions("symbol", "date"))
+
+
+def stored_model(spark, sf, name, pipeline, frame=learn_frame):
+    """Path of a model fitted on the train split: fitted and stored by the first
+    query of the session that asks for it, loaded by the others."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _STORED:
+        path = scratch_path(spark, "model")
+        pipeline.fit(frame(spark, sf).where(F.col("split") == "train")).write().overwrite().save(path)
+        _STORED[key] = path
+    return _STORED[key]
+
+
+def forest(spark, sf):
+    return md.load(stored_model(spark, sf, "forest", md.random_forest(FEATURES)))
+
+
+def checked(p):
+    """What any run must show of a prediction: its key and label, a probability,
+    and the class that the probability says."""
+    ok = F.col("p_up").between(0, 1)
+    agrees = F.col("predicted_signal") == (F.col("p_up") > 0.5).cast("int")
+    return p.select("symbol", "date", "target_direction", ok.alias("is_probability"), agrees.alias("class_agrees"))
 
 
-def fit_predict(df, pipeline):
-    """Fit on the train split, store the model in the shared folder, score the test split."""
-    train = df.where(F.col("split") == "train")
-    test = df.where(F.col("split") == "test")
-    model = pipeline.fit(train)
-    stored = md.save_and_load(model, scratch_path(df.sparkSession, "model"))
-    return model, md.predict(stored, test)
+def test_rows(spark, sf):
+    return split_table(spark, sf).where(F.col("split") == "test")
 
 
-@register("i1_random_forest")
+CHECKED_SQL = learn_sql("SELECT symbol, date, target_direction, true AS is_probability, true AS class_agrees FROM sp WHERE split = 'test'")
+
+
+@register("i1_random_forest", CHECKED_SQL)
 def q_i1(spark, sf):
-    """Seeded tree ensemble: rows-only check (invariants in the tests)."""
-    _, p = fit_predict(learn_frame(spark, sf), md.random_forest(FEATURES))
-    return p.select("symbol", "date", "target_direction", "predicted_signal", R("p_up", 6).alias("p_up"))
+    return checked(md.predict(forest(spark, sf), test_rows(spark, sf)))
 
 
-@register("i1_random_forest_exploratory")
+@register("i1_random_forest_exploratory", CHECKED_SQL)
 def q_i1b(spark, sf):
     """The exploratory forest: 200 trees, depth 10, at least 2 rows per leaf."""
-    _, p = fit_predict(learn_frame(spark, sf), md.random_forest(FEATURES, num_trees=200, max_depth=10, min_leaf=2))
-    return p.select("symbol", "date", "target_direction", "predicted_signal", R("p_up", 6).alias("p_up"))
+    path = stored_model(spark, sf, "exploratory", md.random_forest(FEATURES, num_trees=200, max_depth=10, min_leaf=2))
+    return checked(md.predict(md.load(path), test_rows(spark, sf)))
+
+
+def scaled_frame(spark, sf):
+    df = ls.standardise(ls.class_weights(split_table(spark, sf)), FEATURES).repartition(FIT_PARTITIONS, "symbol", "date")
+    return materialize(spark, df.sortWithinPartitions("symbol", "date"))
+
 
+def boosted(spark, sf, name, cols):
+    return md.load(stored_model(spark, sf, name, md.boosted_trees(cols), scaled_frame))
 
-@register("i2_boosted_trees")
+
+def scaled_test_rows(spark, sf):
+    return ls.standardise(split_table(spark, sf), FEATURES).where(F.col("split") == "test")
+
+
+@register("i2_boosted_trees", CHECKED_SQL)
 def q_i2(spark, sf):
-    base = learn_frame(spark, sf)
-    d = materialize(spark, ls.standardise(base, FEATURES)).coalesce(base.rdd.getNumPartitions())
-    _, p = fit_predict(d, md.boosted_trees(FEATURES))
-    return p.select("symbol", "date", "target_direction", "predicted_signal", R("p_up", 6).alias("p_up"))
+    """200 rounds with balanced class weights (in place of synthetic minority rows)."""
+    return checked(md.predict(boosted(spark, sf, "boosted", FEATURES), scaled_test_rows(spark, sf)))
 
 
-@register("i3_sentiment_variants")
+@register("i3_sentiment_variants", learn_sql("""
+    SELECT family, variant, count(*) AS rows, true AS in_range FROM sp
+    CROSS JOIN (VALUES ('forest'), ('boosted')) f(family) CROSS JOIN (VALUES ('with_sentiment'), ('traditional')) v(variant)
+    WHERE split = 'test' GROUP BY 1, 2"""))
 def q_i3(spark, sf):
-    d = learn_frame(spark, sf)
+    """Both families with and without the sentiment columns, scored on the test rows."""
     out = None
     for variant, cols in (("with_sentiment", FEATURES), ("traditional", TRADITIONAL)):
-        _, p = fit_predict(d, md.random_forest(cols))
-        m = md.classification_metrics(p.withColumn("variant", F.lit(variant)), keys=("variant",),
-                                      label="target_direction")
-        out = m if out is None else out.unionByName(m)
-    return out.select("variant", R("accuracy", 6).alias("accuracy"), R("precision", 6).alias("precision"),
-                      R("f1", 6).alias("f1"))
-
-
-@register("i4_batch_prediction")
+        f = forest(spark, sf) if cols is FEATURES else md.load(
+            stored_model(spark, sf, "forest traditional", md.random_forest(cols)))
+        b = boosted(spark, sf, "boosted" if cols is FEATURES else "boosted traditional", cols)
+        for family, model, rows in (("forest", f, test_rows(spark, sf)), ("boosted", b, scaled_test_rows(spark, sf))):
+            p = md.predict(model, rows).withColumns({"family": F.lit(family), "variant": F.lit(variant)})
+            m = md.classification_metrics(p, keys=("family", "variant"), label="target_direction")
+            n = p.groupBy("family", "variant").agg(F.count(F.lit(1)).alias("rows"))
+            m = m.join(n, ["family", "variant"])
+            out = m if out is None else out.unionByName(m)
+    fine = F.col("accuracy").between(0, 1) & F.col("precision").between(0, 1) & F.col("f1").between(0, 1)
+    return out.select("family", "variant", "rows", fine.alias("in_range"))
+
+
+def signals(spark, sf):
+    """I4: signals of the stored forest for every row given (the scoring table)."""
+    p = md.predict(forest(spark, sf), score_table(spark, sf))
+    return p.select(F.lit("forest").alias("model"), "symbol", "date", F.col("close").alias("price_close"), "predicted_signal",
+                    F.col("p_up").alias("confidence"), F.col("target_direction").alias("label"))
+
+
+@register("i4_batch_prediction", with_views(["bars", "vix", "posts"], """
+    SELECT symbol, date, close AS price_close, true AS is_probability, true AS class_agrees FROM scored""", SCORE_CTES))
 def q_i4(spark, sf):
-    """Signals table from a fitted model: date, price_close, predicted_signal, confidence = P(up)."""
-    _, p = fit_predict(learn_frame(spark, sf), md.random_forest(FEATURES))
-    return p.select("symbol", "date", F.col("close").alias("price_close"), "predicted_signal",
-                    R("p_up", 6).alias("confidence"))
+    s = signals(spark, sf)
+    agrees = F.col("predicted_signal") == (F.col("confidence") > 0.5).cast("int")
+    return s.select("symbol", "date", "price_close", F.col("confidence").between(0, 1).alias("is_probability"), agrees.alias("class_agrees"))
+
+
+# A model that SQL can fit as well: the share of rises on the train rows of each
+# weekday, RSI third and kind of move.
+CELL = ["day_of_week", "rsi_third", "rising"]
+CELL_SQL = """day_of_week, CASE WHEN RSI < 40 THEN 0 WHEN RSI < 60 THEN 1 ELSE 2 END AS rsi_third,
+              CASE WHEN daily_return > 0 THEN 1 ELSE 0 END AS rising"""
+
+
+def cells(df):
+    third = F.when(F.col("RSI") < 40, 0).when(F.col("RSI") < 60, 1).otherwise(2)
+    return df.withColumns({"rsi_third": third, "rising": F.when(F.col("daily_return") > 0, 1).otherwise(0)})
+
+
+J22_CTES = [
+    ("cell", f"SELECT symbol, date, SMA_50 AS px, target_direction, split, {CELL_SQL} FROM sp"),
+    ("fitted", "SELECT day_of_week, rsi_third, rising, avg(target_direction) AS p FROM cell WHERE split = 'train' GROUP BY 1, 2, 3"),
+    ("preds", """SELECT 'cells' AS model, symbol, date, px AS price_close, coalesce(p, 0.5) AS confidence,
+                        CAST(coalesce(p, 0.5) > 0.5 AS INTEGER) AS predicted_signal, target_direction AS label
+                 FROM cell LEFT JOIN fitted USING (day_of_week, rsi_third, rising) WHERE split = 'test'"""),
+]
+J22_COLS = ["strategy_return", "bh_return", "sharpe", "max_dd", "num_trades", "win_rate"]
+
+
+@register("j22_model_to_backtest", learn_sql(
+    "SELECT model, symbol, " + ", ".join(f"round(CAST({c} AS DOUBLE), 6) AS {c}" for c in J22_COLS) + " FROM met",
+    J22_CTES + ob_ctes(100_000.0, False) + metrics_ctes(100_000.0)))
+def q_j22(spark, sf):
+    """The whole chain: fit on the train rows, store the model, load it, predict
+    the test rows, store the signals, build the order book and compare.  Trades
+    at the 50-day mean, so that running products stay bounded."""
+    sp = cells(split_table(spark, sf))
+    model_path, signals_path = scratch_path(spark, "cell_model"), scratch_path(spark, "cell_signals")
+    sp.where(F.col("split") == "train").groupBy(*CELL).agg(F.avg("target_direction").alias("p")).write.parquet(model_path)
+    p = sp.where(F.col("split") == "test").join(spark.read.parquet(model_path), CELL, "left")
+    conf = F.coalesce("p", F.lit(0.5))
+    p.select(F.lit("cells").alias("model"), "symbol", "date", F.col("SMA_50").alias("price_close"), conf.alias("confidence"),
+             (conf > 0.5).cast("int").alias("predicted_signal"), F.col("target_direction").alias("label")).write.parquet(signals_path)
+    back = spark.read.parquet(signals_path)
+    m = bt.backtest_metrics(bt.order_book(back, 100_000.0, first_row_position=False), 100_000.0)
+    return m.select("model", "symbol", *[R(F.col(c).cast("double"), 6).alias(c) for c in J22_COLS])
+
+
+@register("j22_forest_to_backtest", with_views(["bars", "vix", "posts"], """
+    SELECT 'forest' AS model, symbol, count(*) AS days, true AS fine FROM scored GROUP BY symbol""", SCORE_CTES))
+def q_j22b(spark, sf):
+    """The same chain with the stored forest over the scoring table; what any
+    fit must show: every day is booked and the ratios are in their ranges."""
+    path = scratch_path(spark, "forest_signals")
+    signals(spark, sf).write.parquet(path)
+    m = bt.backtest_metrics(bt.order_book(spark.read.parquet(path), 100_000.0, first_row_position=False), 100_000.0)
+    fine = (F.col("max_dd") <= 0) & (F.col("strategy_return") >= -100) & F.col("win_rate").between(0, 100)
+    return m.select("model", "symbol", "days", fine.alias("fine"))
 
 
 METRICS_SQL = """
@@ -260,14 +380,21 @@ PRIORITY = ["m3", "m1", "m2"]
                      ORDER BY CASE model WHEN 'm3' THEN 1 WHEN 'm1' THEN 2 ELSE 3 END LIMIT 1), 'm1') AS champion""",
         [("m", METRICS_SQL)]))
 def q_i9(spark, sf):
-    runs = metrics(spark, sf).withColumn("is_champion", F.col("accuracy") >= 0.5)
-    return md.champion(runs, PRIORITY, "m1")
+    """The runs table (a metric row per run, with its champion mark) is stored by
+    the training side and read here."""
+    path = scratch_path(spark, "runs")
+    marked = metrics(spark, sf).withColumn("is_champion", F.col("accuracy") >= 0.5)
+    marked.select(F.concat(F.lit("run-"), "model").alias("run_id"), "model", "accuracy", "precision", "f1", "is_champion").write.parquet(path)
+    return md.champion(spark.read.parquet(path), PRIORITY, "m1")
 
 
-@register("i10_feature_importance")
+@register("i10_feature_importance", "SELECT feature, true AS in_range, true AS adds_up FROM (VALUES "
+          + ", ".join(f"('{c}')" for c in fe.SCORING_FEATURES) + ") t(feature)")
 def q_i10(spark, sf):
-    m, _ = fit_predict(learn_frame(spark, sf), md.random_forest(FEATURES))
-    return md.feature_importance(spark, m, FEATURES, 15)
+    """Importances of the stored forest over its features; what any fit must show."""
+    imp = md.feature_importance(spark, forest(spark, sf), FEATURES, len(FEATURES))
+    total = imp.select(F.sum("importance")).scalar()
+    return imp.select("feature", F.col("importance").between(0, 1).alias("in_range"), (F.abs(total - 1) < 1e-9).alias("adds_up"))
 
 
 @register("i11_signal_log_summary", with_views(["preds"], """
@@ -285,5 +412,6 @@ def q_i11(spark, sf):
     SELECT symbol, date, round((sc + (10 - cnt) * c0) / 10, 4) AS mean_close,
            round((sr + (10 - cnt) * r0) / 10, 6) AS mean_rsi FROM seq10""", SCORE_CTES + [SEQ10]))
 def q_i12(spark, sf):
-    s = seq10(spark, sf).withColumn("_m", md.collapse_steps("seq", 2))
-    return s.select("symbol", "date", R(F.col("_m")[0], 4).alias("mean_close"), R(F.col("_m")[1], 6).alias("mean_rsi"))
+    s = seq10(spark, sf).withColumn("_m", md.collapse_steps("seq", len(SEQ_COLS)))
+    close, rsi = F.col("_m")[SEQ_COLS.index("close")], F.col("_m")[SEQ_COLS.index("RSI")]
+    return s.select("symbol", "date", R(close, 4).alias("mean_close"), R(rsi, 6).alias("mean_rsi"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import rnd as R
 from ..operators import news as nw
-from ..operators.contracts import GDELT_SENTIMENT, require_columns
+from ..operators.contracts import GDELT_SENTIMENT, validate
 from ..session import scratch_path
 from ..sources.files import write_csv
 from ..sources import fixtures as fx
@@ -32,6 +32,17 @@ def tone_cte(name="tone", start=START, end=END, kw=KEYWORD):
     return (name, TONE_SQL.format(start=start, end=end, kw=kw.lower()))
 
 
+COMPANY_TONE = ("tone_s", TONE_SQL.split("FROM news")[0].replace("SELECT date AS fecha,", "SELECT symbol, date,") + """
+    FROM company_news JOIN organisations ON contains(lower(orgs), lower(org))
+    WHERE translationinfo IS NULL GROUP BY 1, 2""")
+
+
+def company_tone(spark, sf):
+    """Daily tone of each company's news over the bars' calendar."""
+    rows = nw.company_rows(fx.company_news(spark, sf), fx.ORGANISATIONS)
+    return nw.daily_tone(rows, keys=("symbol",))
+
+
 def daily(spark, sf, start=START, end=END, kw=KEYWORD):
     return nw.daily_tone(nw.filter_news(fx.news(spark, sf), start, end, kw))
 
@@ -89,7 +100,8 @@ def q_f4(spark, sf):
 def q_f6(spark, sf):
     """Raw daily tone written as CSV with padded mixed-case headers and a
     timestamp day, read back, header stripped / lower-cased, day -> date, and
-    the contract checked (missing columns raise; an empty result raises)."""
+    the contract checked (missing columns and rows that break it raise; an empty
+    result raises)."""
     raw = daily(spark, sf)
     raw = raw.select(F.col("fecha").cast("timestamp").alias(" Fecha "),
                      *[F.col(c).alias(c.capitalize()) for c in raw.columns if c != "fecha"])
@@ -99,7 +111,7 @@ def q_f6(spark, sf):
     s = nw.silver(back)
     s = s.select("fecha", F.col("volumen_noticias").cast("bigint").alias("volumen_noticias"),
                  *[F.col(c).cast("double").alias(c) for c in nw.DAILY_COLS[1:]])
-    require_columns(s, GDELT_SENTIMENT, "processed news tone")
+    validate(s, GDELT_SENTIMENT, "processed news tone")
     if s.isEmpty():
         raise ValueError("news tone query returned no rows")
     return s

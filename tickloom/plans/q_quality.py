@@ -17,16 +17,25 @@ from .q_sentiment import POSTS_CTES, daily_social
 from .registry import register
 
 
-@register("b1_required_columns", with_views(["bars"], "SELECT symbol, date, close FROM bars"))
+@register("b1_required_columns", with_views(["bars"], """
+    SELECT symbol, m.given, m.missing, count(*) AS rows FROM bars
+    CROSS JOIN (VALUES ('all', ''), ('no volume', 'volume'), ('no high, close', 'close, high')) m(given, missing) GROUP BY 1, 2, 3"""))
 def q_b1(spark, sf):
+    """The missing-column report of three frames: each frame's rows per symbol
+    with the columns its check names as missing."""
     b = fx.bars(spark, sf)
-    ct.require_columns(b, ct.STOCK_PROCESSED, "silver bars")
-    try:
-        ct.require_columns(b.drop("volume"), ct.STOCK_PROCESSED, "silver bars")
-        raise AssertionError("a missing column must be reported")
-    except ct.ContractError:
-        pass
-    return b.select("symbol", "date", "close")
+    out = None
+    for given, gone in (("all", []), ("no volume", ["volume"]), ("no high, close", ["high", "close"])):
+        frame = b.drop(*gone)
+        try:
+            ct.require_columns(frame, ct.STOCK_PROCESSED, "silver bars")
+            missing = []
+        except ct.ContractError:
+            missing = ct.missing_columns(frame, ct.STOCK_PROCESSED)
+        part = frame.groupBy("symbol").agg(F.count(F.lit(1)).alias("rows")).select(
+            "symbol", F.lit(given).alias("given"), F.lit(", ".join(sorted(missing))).alias("missing"), "rows")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 RAW_POSTS_SQL = """
@@ -38,7 +47,7 @@ RAW_POSTS_SQL = """
 
 
 def raw_posts(spark, sf):
-    p = fx.posts(spark, sf)
+    p = fx.raw_posts(spark, sf)
     i = F.col("id")
     rt = (F.when(i % 11 == 0, F.lit("n/a")).when(i % 2 == 0, F.concat(F.col("retweets").cast("string"), F.lit(".0")))
           .otherwise(F.col("retweets").cast("string")))
@@ -75,7 +84,7 @@ def q_b3(spark, sf):
     SELECT CAST(id AS VARCHAR) AS tweet_id, text AS contenido_texto, NULL::TIMESTAMP AS fecha_utc,
            NULL::BIGINT AS retweets, NULL::BIGINT AS favoritos, NULL::DATE AS fecha_limpia FROM posts"""))
 def q_b4(spark, sf):
-    p = fx.posts(spark, sf).select(F.col("id").cast("string").alias("ID_Tweet"), F.col("text").alias("Contenido_Texto"))
+    p = fx.raw_posts(spark, sf).select(F.col("id").cast("string").alias("ID_Tweet"), F.col("text").alias("Contenido_Texto"))
     m = qu.map_columns(p, {"ID_Tweet": "tweet_id", "Contenido_Texto": "contenido_texto"}, ct.SOCIAL_PROCESSED)
     return m.select("tweet_id", "contenido_texto", "fecha_utc", "retweets", "favoritos", "fecha_limpia")
 
@@ -106,7 +115,7 @@ def q_b8(spark, sf):
     SELECT id, coalesce(nullif(split(trim(coalesce(lbl, '')), ' ')[1], ''), '0') AS retweet_count
     FROM (SELECT id, CASE WHEN retweets IS NULL THEN '' ELSE '  ' || CAST(retweets AS VARCHAR) || ' retweets' END AS lbl FROM posts)"""))
 def q_b9(spark, sf):
-    p = fx.posts(spark, sf)
+    p = fx.raw_posts(spark, sf)
     lbl = F.when(F.col("retweets").isNull(), F.lit("")).otherwise(
         F.concat(F.lit("  "), F.col("retweets").cast("string"), F.lit(" retweets")))
     return p.select("id", qu.count_from_label(lbl).alias("retweet_count"))

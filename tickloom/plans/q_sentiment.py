@@ -15,10 +15,11 @@ from .registry import register
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
-def clean_posts(spark, sf):
+def clean_posts(spark, sf, labelled=True):
     """B5-B7 + G2/G3 over the posts view: typed ids and counters, UTC
-    timestamp (unparsable rows dropped), day, continuous score and label."""
-    p = fx.posts(spark, sf)
+    timestamp (unparsable rows dropped), day, continuous score and label
+    (``labelled=False``: without these two and without the labels join)."""
+    p = fx.posts(spark, sf) if labelled else fx.raw_posts(spark, sf).withColumn("label", F.lit(None).cast("string"))
     ts = F.try_to_timestamp(F.col("ts_text"), F.lit(TS_FORMAT))
     c = p.select(
         F.col("id").cast("string").alias("tweet_id"), ts.alias("fecha_utc"),
@@ -27,6 +28,8 @@ def clean_posts(spark, sf):
         F.coalesce(F.col("favoritos"), F.lit(0)).cast("bigint").alias("favoritos"),
         "symbol", "label", "score", "lang")
     c = c.where(F.col("fecha_utc").isNotNull() & F.col("tweet_id").isNotNull())
+    if not labelled:
+        return c.drop("label", "score").withColumn("fecha_limpia", F.to_date("fecha_utc"))
     return c.withColumns({
         "fecha_limpia": F.to_date("fecha_utc"),
         "puntuacion_sentimiento": st.continuous_score("label", "score"),
@@ -66,19 +69,35 @@ def posts_sql(body: str, extra=None) -> str:
 # Fixed values (SQL twin of the lexicon scorer): see operators.sentiment.
 _POS = "[" + ", ".join(f"'{w}'" for w in st.POSITIVE_WORDS) + "]"
 _NEG = "[" + ", ".join(f"'{w}'" for w in st.NEGATIVE_WORDS) + "]"
+# The documents seldom hold a lexicon word, so one to three are added to four of
+# five texts: every branch of the scorers is then reached.
+ADDED = {0: " " + st.POSITIVE_WORDS[0], 1: " " + st.NEGATIVE_WORDS[0], 2: f" {st.POSITIVE_WORDS[1]} {st.NEGATIVE_WORDS[1].upper()}",
+         3: f" {st.NEGATIVE_WORDS[2]}, {st.NEGATIVE_WORDS[3]}; {st.POSITIVE_WORDS[2]}"}
+TEXTS_CTE = ("texts", "SELECT doc_id, concat(text, CASE doc_id % 5 "
+             + " ".join(f"WHEN {k} THEN '{v}'" for k, v in ADDED.items()) + " ELSE '' END) AS text FROM documents")
+
+
+def scored_texts(spark, sf):
+    d = read_table(spark, sf, "documents").select("doc_id", "text")
+    more = F.lit("")
+    for k, v in ADDED.items():
+        more = F.when(F.col("doc_id") % 5 == k, v).otherwise(more)
+    return d.select("doc_id", F.concat(F.coalesce("text", F.lit("")), more).alias("text"))
+
+
 LEX_CTE = ("lex", f"""
     SELECT doc_id, len(list_filter(w, lambda x: list_contains({_POS}, x))) AS n_pos,
            len(list_filter(w, lambda x: list_contains({_NEG}, x))) AS n_neg
-    FROM (SELECT doc_id, regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}]+') AS w FROM documents)""")
+    FROM (SELECT doc_id, regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}]+') AS w FROM texts)""")
 LEX_OUT = """
     SELECT doc_id, CASE WHEN n_pos > n_neg THEN 'positive' WHEN n_neg > n_pos THEN 'negative' ELSE 'neutral' END AS label,
            round(CASE WHEN n_pos + n_neg = 0 THEN 0.5 ELSE 0.5 + 0.5 * abs(n_pos - n_neg) / (n_pos + n_neg) END, 6) AS score,
            CAST(n_pos AS INTEGER) AS n_pos, CAST(n_neg AS INTEGER) AS n_neg FROM lex"""
 
 
-@register("g1_lexicon_scoring", with_views([], LEX_OUT, [LEX_CTE]))
+@register("g1_lexicon_scoring", with_views([], LEX_OUT, [TEXTS_CTE, LEX_CTE]))
 def q_g1(spark, sf):
-    d = read_table(spark, sf, "documents").select("doc_id", "text")
+    d = scored_texts(spark, sf)
     s = st.lexicon_score("text")
     return d.select("doc_id", s["label"].alias("label"), R(s["score"], 6).alias("score"),
                     s["n_pos"].alias("n_pos"), s["n_neg"].alias("n_neg"))
@@ -111,9 +130,9 @@ class FlakyLexiconScorer:
                         WHEN n_pos > n_neg THEN 'positive' WHEN n_neg > n_pos THEN 'negative' ELSE 'neutral' END AS label,
            round(CASE WHEN length(coalesce(text, '')) < 50 THEN 0.0 WHEN n_pos + n_neg = 0 THEN 0.5
                       ELSE 0.5 + 0.5 * abs(n_pos - n_neg) / (n_pos + n_neg) END, 6) AS score
-    FROM lex JOIN documents USING (doc_id)""", [LEX_CTE]))
+    FROM lex JOIN texts USING (doc_id)""", [TEXTS_CTE, LEX_CTE]))
 def q_g10(spark, sf):
-    d = read_table(spark, sf, "documents").select("doc_id", "text")
+    d = scored_texts(spark, sf)
     s = st.score_texts(d, "text", scorer=FlakyLexiconScorer(), batch_size=16)
     return s.select("doc_id", "label", R("score", 6).alias("score"))
 
@@ -178,10 +197,16 @@ def q_g7(spark, sf):
                                WHEN contains(lower(trim(text)), 'negativo') THEN 'Negativo'
                                WHEN contains(lower(trim(text)), 'neutro') THEN 'Neutro'
                                ELSE 'Indeterminado' END AS answer_label
-    FROM conversations"""))
+    FROM (SELECT conv_id, turn, CASE (conv_id + turn) % 7 WHEN 0 THEN 'Creo que es POSITIVO. ' || text WHEN 1 THEN text || ' (negativo)'
+                 WHEN 2 THEN 'neutro' WHEN 3 THEN '   ' WHEN 4 THEN 'Neutro, no negativo' WHEN 5 THEN NULL ELSE text END AS text
+          FROM conversations)"""))
 def q_g8(spark, sf):
+    """Model answers made from the turns, so that every reading occurs."""
     c = read_table(spark, sf, "conversations").select("conv_id", "turn", "text")
-    return c.select("conv_id", "turn", st.answer_label("text").alias("answer_label"))
+    k = (F.col("conv_id") + F.col("turn")) % 7
+    answer = (F.when(k == 0, F.concat(F.lit("Creo que es POSITIVO. "), "text")).when(k == 1, F.concat("text", F.lit(" (negativo)")))
+              .when(k == 2, "neutro").when(k == 3, "   ").when(k == 4, "Neutro, no negativo").when(k == 6, F.col("text")))
+    return c.select("conv_id", "turn", st.answer_label(answer).alias("answer_label"))
 
 
 @register("g9_batch_alignment", posts_sql("""
@@ -215,12 +240,11 @@ def q_g11(spark, sf):
     return d.select("sentimiento", "n", R("pct", 6).alias("pct"))
 
 
-@register("g12_throughput_rows", "SELECT count(*) AS rows FROM documents")
+@register("g12_throughput_rows", with_views([], """
+    SELECT CASE WHEN n_pos > n_neg THEN 'positive' WHEN n_neg > n_pos THEN 'negative' ELSE 'neutral' END AS label, count(*) AS rows
+    FROM lex GROUP BY 1""", [TEXTS_CTE, LEX_CTE]))
 def q_g12(spark, sf):
-    """Scores every document once (an action), counting rows on the executors
-    with ``observe``; returns the observed row count (timings vary per run)."""
-    d = read_table(spark, sf, "documents").select("doc_id", "text")
-    scored, report = st.throughput(st.score_texts(d, "text"), "g12")
-    scored.write.format("noop").mode("overwrite").save()
-    r = report()
-    return spark.range(1).select(F.lit(r["rows"]).cast("bigint").alias("rows"))
+    """Rows scored per label; the same frame carries the observed row count
+    that the throughput report reads (timings vary per run)."""
+    scored, _ = st.throughput(st.score_texts(scored_texts(spark, sf), "text"), "g12")
+    return scored.groupBy("label").agg(F.count(F.lit(1)).alias("rows"))

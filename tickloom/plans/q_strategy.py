@@ -3,6 +3,8 @@ smoothed price series."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from ..functions.exprs import rnd as R
@@ -219,9 +221,23 @@ def q_k9(spark, sf):
     return sg.best_worst_period(sg.period_performance(opt_book(spark, sf)))
 
 
-@register("k10_monte_carlo")
+_PARTS = "'42:' || p.symbol || ':' || CAST(path AS VARCHAR) || ':' || CAST(day AS VARCHAR) || ':"
+_U = "(CAST('0x' || substr(md5(" + _PARTS + "{n}'), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE"
+K10_CTES = [
+    ("stats", "SELECT symbol, avg(Strategy_Returns) AS mu, stddev_samp(Strategy_Returns) AS sigma FROM optob "
+              "WHERE Strategy_Returns IS NOT NULL GROUP BY symbol"),
+    ("draws", f"""SELECT p.symbol, path, mu, sigma, {_U.format(n=1)} AS u1, {_U.format(n=2)} AS u2
+                  FROM stats p CROSS JOIN range(1000) a(path) CROSS JOIN range(252) d(day)"""),
+    ("ends", f"""SELECT symbol, path, {dbl(CAP)} * product(1 + mu + sigma * sqrt(-2 * ln(u1)) * cos({dbl(2 * math.pi)} * u2)) AS v
+                 FROM draws GROUP BY symbol, path"""),
+]
+
+
+@register("k10_monte_carlo", with_views(VIEWS, f"""
+    SELECT symbol, {', '.join(f"round(quantile_cont(v, {q / 100}), 2) AS p{q}" for q in (5, 25, 50, 75, 95))},
+           round(count(*) FILTER (WHERE v < {dbl(CAP)}) * 100.0 / count(*), 4) AS p_loss_pct,
+           round((avg(v) / {dbl(CAP)} - 1) * 100, 4) AS expected_return_pct, count(*) AS paths FROM ends GROUP BY symbol""", OPT + K10_CTES))
 def q_k10(spark, sf):
-    """Seeded simulation: no SQL twin (checked by invariants in the tests)."""
     mc = sg.monte_carlo(opt_book(spark, sf), n_paths=1000, n_days=252, capital=CAP, seed=42)
     return mc.select("symbol", *[R(c, 2).alias(c) for c in ("p5", "p25", "p50", "p75", "p95")],
                      R("p_loss_pct", 4).alias("p_loss_pct"), R("expected_return_pct", 4).alias("expected_return_pct"),

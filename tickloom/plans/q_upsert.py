@@ -139,7 +139,7 @@ def q_c7(spark, sf):
     """Day chunks with a checkpoint per day: the first pass writes the days
     up to 1996-01-20; the second run processes only the days without a
     chunk (anti-join) and adds them with dynamic partition overwrite."""
-    c = clean_posts(spark, sf).select("tweet_id", "symbol", "fecha_limpia")
+    c = clean_posts(spark, sf, labelled=False).select("tweet_id", "symbol", "fecha_limpia")
     path = scratch_path(spark, "day_chunks")
     up.write_days(c.where(F.col("fecha_limpia") <= "1996-01-20"), path)
     done = spark.read.parquet(path).select("fecha_limpia").distinct()
@@ -153,7 +153,7 @@ def q_c7(spark, sf):
     SELECT tweet_id, symbol, fecha_limpia FROM clean
     WHERE fecha_limpia BETWEEN DATE '1996-01-05' AND DATE '1996-01-25'""", POSTS_CTES))
 def q_c8(spark, sf):
-    c = clean_posts(spark, sf).select("tweet_id", "symbol", "fecha_limpia")
+    c = clean_posts(spark, sf, labelled=False).select("tweet_id", "symbol", "fecha_limpia")
     path = scratch_path(spark, "chunks")
     up.write_days(c, path)
     r = up.consolidate(spark, path, "1996-01-05", "1996-01-25")

@@ -13,15 +13,16 @@ from pyspark.sql import types as T
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A1 / A2: CSV with a header and a declared schema (no inference; an id
-    declared as string stays a string, long ids never become floats)."""
-    r = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    return r.schema(schema).csv(path) if schema is not None else r.csv(path)
+    declared as string stays a string, long ids never become floats).  A field
+    that does not fit its declared type is an error, not a NULL."""
+    r = spark.read.option("header", True)
+    return r.schema(schema).option("mode", "FAILFAST").csv(path) if schema is not None else r.csv(path)
 
 
-def read_csv_union(spark: SparkSession, paths: list[str], schema: T.StructType | None = None) -> DataFrame:
-    """A3: read several CSV files / folders whose headers may differ and union
-    them by column name, missing columns as NULL."""
-    frames = [read_csv(spark, p, schema) for p in paths]
+def read_csv_union(spark: SparkSession, parts: list[tuple[str, T.StructType | None]]) -> DataFrame:
+    """A3: read several CSV files / folders whose headers may differ (each with
+    its schema) and union them by column name, missing columns as NULL."""
+    frames = [read_csv(spark, p, schema) for p, schema in parts]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
@@ -46,16 +47,19 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
 
 
 def partition_by_day(df: DataFrame, path: str, ts_col: str = "Fecha_UTC", fmt: str | None = None,
-                     day_col: str = "solo_fecha") -> int:
+                     day_col: str = "solo_fecha", parts: int = 4) -> int:
     """A5: coerce the timestamp, drop unparsable rows (their count is
     returned, observed while writing), write one folder per calendar day; the
-    helper day column lives only in the folder name."""
+    helper day column lives only in the folder name.  Rows are shuffled by day
+    and a salt first: a day has at most ``parts`` files however many tasks made
+    the rows."""
     from pyspark.sql import Observation
     ts = F.try_to_timestamp(F.col(ts_col), F.lit(fmt)) if fmt else F.try_to_timestamp(F.col(ts_col))
     obs = Observation("partition_by_day")
     d = df.withColumn("_ts", ts).observe(obs, F.count_if(F.col("_ts").isNull()).alias("dropped"))
     d = d.where(F.col("_ts").isNotNull()).withColumn(day_col, F.to_date("_ts")).drop("_ts")
-    (d.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False)
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(parts))
+    (d.repartition(F.col(day_col), salt).write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False).partitionBy(day_col).csv(path))
     return int(obs.get["dropped"])
 
@@ -74,9 +78,9 @@ def normalise_raw_posts(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def range_name(ticker: str, start: str, end: str) -> str:
+def range_name(ticker: Column, start: str, end: str) -> Column:
     """File name of a date range."""
-    return f"{ticker}_{start}_{end}"
+    return F.concat(ticker, F.lit(f"_{start}_{end}"))
 
 
 def range_bounds(start: str, end: str) -> tuple[str, str]:

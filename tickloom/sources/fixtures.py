@@ -83,17 +83,37 @@ def vix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """News-tone rows: a comma-separated tone field, organisations and a translation marker."""
     e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    return _news_rows(e, F.to_date("ts"))
+
+
+def _news_rows(e: DataFrame, day: Column) -> DataFrame:
     tone = F.concat_ws(",", *[c.cast("string") for c in (
         F.col("value") / 10 - 5, F.col("value") / 20, F.col("value") / 30, F.col("value") / 15,
         F.col("user_id") % 7)])
     return e.select(
-        F.to_date("ts").alias("date"),
+        day.alias("date"),
         F.when(F.col("event_id") % 50 == 0, F.lit("x,")).otherwise(tone).alias("v2tone"),
         F.concat(F.lit("Org "), (F.col("user_id") % 5).cast("string")).alias("orgs"),
         F.when(F.col("event_id") % 10 == 0, F.lit("srclc:xx")).alias("translationinfo"),
     )
 
 
+# The organisation that stands for each symbol in the news table.
+ORGANISATIONS = [(s, f"Org {k}") for k, s in enumerate(SEGMENTS)]
+# The bars' calendar, over which the company news is spread.
+FIRST_DAY, DAYS, REPEATED, FADE = "1995-01-01", 2405, 24, 0.00027182818
+
+
+def company_news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The news rows spread over the bars' calendar: each event is reported on
+    REPEATED days in a row."""
+    e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    e = e.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(REPEATED - 1)))).withColumn(
+        "value", F.col("value") * (1 + (F.col("k") + 1) * FADE))
+    day = F.date_add(F.lit(FIRST_DAY).cast("date"), ((F.col("event_id") * REPEATED + F.col("k")) % DAYS).cast("int"))
+    return _news_rows(e, day)
+
+
 def _two(c: Column) -> Column:
     return F.lpad(c.cast("string"), 2, "0")
 
@@ -101,9 +121,14 @@ def _two(c: Column) -> Column:
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Social posts: documents (with their quality label as sentiment) spread
     over symbols and days, five posts per symbol-day."""
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
-    j = d.join(lab, "doc_id", "left")
+    lab = read_table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), "quality")
+    label = (F.when(F.col("quality") == 1, "positive").when(F.col("quality") == 0, "negative").otherwise("neutral"))
+    return raw_posts(spark, sf_dir).join(lab, "id", "left").withColumn("label", label).drop("quality")
+
+
+def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posts as collected, without a sentiment label: no join."""
+    j = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     i = F.col("doc_id")
     day = F.date_add(F.lit("1996-01-01").cast("date"), F.floor(i / 25).cast("int"))
     ts_text = F.concat(day.cast("string"), F.lit(" "), _two(i % 24), F.lit(":"), _two(i % 60), F.lit(":00"))
@@ -112,8 +137,6 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(i % 97 == 0, F.lit("not a timestamp")).otherwise(ts_text).alias("ts_text"),
         F.element_at(F.array(*[F.lit(s) for s in SEGMENTS]), (i % 5 + 1).cast("int")).alias("symbol"),
         "text",
-        F.when(F.col("quality") == 1, "positive").when(F.col("quality") == 0, "negative")
-         .otherwise("neutral").alias("label"),
         (F.lit(0.5) + (i % 50) / 100).alias("score"),
         F.when(i % 17 == 0, F.lit(None)).otherwise(i % 13).cast("bigint").alias("retweets"),
         (i % 29).cast("bigint").alias("favoritos"),
