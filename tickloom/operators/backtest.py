@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import is_true, running, safe_div, series_window
@@ -115,10 +115,19 @@ def trade_stats(pairs: DataFrame, keys=KEYS) -> DataFrame:
 
 
 def backtest_metrics(book: DataFrame, capital: float, price: str = "price_close", keys=KEYS) -> DataFrame:
-    """J7-J14 for every series in one aggregate, joined with the trade stats
-    (both sides are one row per series)."""
-    b = book.withColumns({"_dd_bh": drawdown("Buy_Hold_Equity", keys),
-                          "_dd_st": drawdown("Strategy_Equity", keys)})
+    """J7-J14 for every series in one aggregate.  Trades are paired in the same
+    window as the drawdowns: each second event closes the trade that the event
+    before it opened."""
+    w = series_window(keys)
+    event = F.col("Buy_Signal") | F.col("Sell_Signal")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    b = book.withColumns({"_dd_bh": drawdown("Buy_Hold_Equity", keys), "_dd_st": drawdown("Strategy_Equity", keys),
+                          "_events": F.count(F.when(event, 1)).over(running(w)),
+                          "_opened": F.last(F.when(event, F.col(price)), ignorenulls=True).over(before)})
+    b = b.withColumn("_closes", is_true(event) & (F.col("_events") % 2 == 0))
+    r = F.when(F.col("_closes"), safe_div(F.col(price) - F.col("_opened"), F.col("_opened")))
+    b = b.withColumn("_trade", r)
+    trade = F.col("_trade")
     m = b.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("days"),
         ((F.max_by("Strategy_Equity", "date") / capital - 1) * 100).alias("strategy_return"),
@@ -130,12 +139,13 @@ def backtest_metrics(book: DataFrame, capital: float, price: str = "price_close"
         (F.min("_dd_st") * 100).alias("max_dd"),
         (F.min("_dd_bh") * 100).alias("max_dd_bh"),
         F.count_if(F.col("Buy_Signal")).alias("num_trades"),
+        F.count_if("_closes").alias("n_pairs"),
+        F.coalesce(safe_div(F.count_if(trade > 0) * 100.0, F.count_if("_closes")), F.lit(0.0)).alias("win_rate"),
+        F.coalesce(F.avg(F.when(trade > 0, trade)) * 100, F.lit(0.0)).alias("avg_win"),
+        F.coalesce(F.avg(F.when(trade < 0, trade)) * 100, F.lit(0.0)).alias("avg_loss"),
     )
-    m = m.withColumns({"calmar": calmar(F.col("strategy_return"), F.col("max_dd")),
-                       "calmar_bh": calmar(F.col("bh_return"), F.col("max_dd_bh"))})
-    t = trade_stats(trade_pairs(book, price, keys), keys)
-    out = m.join(t, list(keys), "left")
-    return out.fillna(0.0, subset=["win_rate", "avg_win", "avg_loss"]).fillna(0, subset=["n_pairs"])
+    return m.withColumns({"calmar": calmar(F.col("strategy_return"), F.col("max_dd")),
+                          "calmar_bh": calmar(F.col("bh_return"), F.col("max_dd_bh"))})
 
 
 def order_book_summary(book: DataFrame, keys=KEYS) -> DataFrame:

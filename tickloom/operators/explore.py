@@ -31,11 +31,13 @@ def _stack(df: DataFrame, keys, names: list[str], value: str, label: str = "feat
 
 def corr_matrix(df: DataFrame, cols: list[str], keys=("symbol",)) -> DataFrame:
     """L3: Pearson correlation of every pair (pairwise non-null rows), one
-    aggregate, long form (f1, f2, corr); NaN (constant column) -> NULL."""
-    pairs = [(a, b) for a in cols for b in cols]
+    aggregate, long form (f1, f2, corr); NaN (constant column) -> NULL.  A pair
+    is computed once and mirrored in the long form."""
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     wide = df.groupBy(*keys).agg(*[pair_corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
-    long = _stack(wide, keys, [f"{a}|{b}" for a, b in pairs], "corr", "pair")
-    return long.select(*keys, F.split("pair", "\\|")[0].alias("f1"), F.split("pair", "\\|")[1].alias("f2"), "corr")
+    cells = [(a, b, f"{a}|{b}") for a, b in pairs] + [(b, a, f"{a}|{b}") for a, b in pairs if a != b]
+    rows = ", ".join(f"'{a}', '{b}', `{name}`" for a, b, name in cells)
+    return wide.select(*keys, F.expr(f"stack({len(cells)}, {rows}) AS (f1, f2, corr)"))
 
 
 def zscores_last(df: DataFrame, cols: list[str], n: int = 252, keys=("symbol",)) -> DataFrame:
@@ -59,9 +61,8 @@ def top_bottom(corrs: DataFrame, n: int = 10, keys=("symbol",)) -> DataFrame:
     from pyspark.sql import Window
     w = Window.partitionBy(*keys).orderBy(rnd("corr", RANK_DIGITS).desc_nulls_last(), F.col("feature"))
     r = corrs.withColumns({"rank": F.row_number().over(w), "_n": F.count(F.lit(1)).over(Window.partitionBy(*keys))})
-    top = r.where(F.col("rank") <= n).withColumn("side", F.lit("top"))
-    bottom = r.where(F.col("rank") > F.col("_n") - n).withColumn("side", F.lit("bottom"))
-    return top.unionByName(bottom).drop("_n")
+    sides = F.array_compact(F.array(F.when(F.col("rank") <= n, "top"), F.when(F.col("rank") > F.col("_n") - n, "bottom")))
+    return r.select("*", F.explode(sides).alias("side")).drop("_n")
 
 
 def histogram(df: DataFrame, c: str, bins: int = 50, keys=("symbol",), density: bool = True) -> DataFrame:

@@ -19,8 +19,9 @@ RUNTIME_DEFAULTS = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "tickloom") -> SparkSession:
-    """Local/test session. On a cluster the session comes from spark-submit."""
+                  app_name: str = "tickloom", checkpoint_dir: str | None = None) -> SparkSession:
+    """Local/test session.  On a cluster the session comes from spark-submit,
+    with ``spark.checkpoint.dir`` set to a shared folder."""
     cpus = os.environ.get("BENCH_CPUS", "8")
     builder = (
         SparkSession.builder.master(master or f"local[{cpus}]")
@@ -31,6 +32,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     for k, v in RUNTIME_DEFAULTS.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
