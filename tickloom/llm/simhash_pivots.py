@@ -118,33 +118,6 @@ def coordinates(fp: Column, refs: list[int]) -> list[Column]:
 
 # ---- links ------------------------------------------------------------------
 
-def near_pairs(fp: np.ndarray, key: np.ndarray, k: int, refs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the pairs of rows with equal ``key`` (sorted) within ``k``
-    bits: first the pivot table, then the fingerprints."""
-    table = np.bitwise_count(fp[None, :] ^ refs[:, None]).astype(np.int8)
-    size = np.unique(key, return_counts=True)[1]
-    left = np.repeat(np.cumsum(size), size) - np.arange(len(key)) - 1   # later rows of the same bucket
-    found_a, found_b = [], []
-    live = np.flatnonzero(left >= 1)
-    step = 1
-    while len(live):
-        a, b = live, live + step
-        for row in table:
-            near = np.abs(row[a] - row[b]) <= k
-            if not near.all():
-                a, b = a[near], b[near]
-            if not len(a):
-                break
-        if len(a):
-            ok = np.bitwise_count(fp[a] ^ fp[b]) <= k
-            found_a.append(a[ok])
-            found_b.append(b[ok])
-        step += 1
-        live = live[left[live] >= step]
-    none = np.zeros(0, np.int64)
-    return (np.concatenate(found_a), np.concatenate(found_b)) if found_a else (none, none)
-
-
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The smallest position reachable from each of ``n`` positions by the links (a, b)."""
     root = np.arange(n)
@@ -161,28 +134,50 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = new
 
 
+def join_near(root: np.ndarray, rows: np.ndarray, fp: np.ndarray, key: np.ndarray, k: int, refs: np.ndarray) -> np.ndarray:
+    """``root`` after the links within ``k`` bits among the positions ``rows``
+    that have the same ``key`` (sorted): first the pivot table, then the
+    fingerprints.  Pairs that are joined already are passed over, so neither
+    time nor memory goes with the number of links in a dense bucket."""
+    prints = fp[rows]
+    table = np.bitwise_count(prints[None, :] ^ refs[:, None]).astype(np.int8)
+    size = np.unique(key, return_counts=True)[1]
+    left = np.repeat(np.cumsum(size), size) - np.arange(len(key)) - 1   # later rows of the same bucket
+    live = np.flatnonzero(left >= 1)
+    step = 1
+    while len(live):
+        apart = root[rows[live]] != root[rows[live + step]]
+        a, b = live[apart], live[apart] + step
+        for row in table:
+            near = np.abs(row[a] - row[b]) <= k
+            if not near.all():
+                a, b = a[near], b[near]
+            if not len(a):
+                break
+        ok = np.bitwise_count(prints[a] ^ prints[b]) <= k
+        if ok.any():
+            root = forest(len(root), root[rows[a[ok]]], root[rows[b[ok]]])[root]
+        step += 1
+        live = live[left[live] >= step]
+    return root
+
+
 def bucket_links(fp: np.ndarray, key: np.ndarray, k: int, refs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Spanning links of whole buckets.  A bucket above SPLIT rows is divided
     first, by the coordinates of finer bands: again no linked pair is lost,
     since ``k`` bits leave all but ``k`` of these bands untouched."""
     counts = np.unique(key, return_inverse=True, return_counts=True)
     big = counts[2][counts[1]] > SPLIT
-    parts = [near_pairs(fp[~big], key[~big], k, refs)]
-    at = [np.flatnonzero(~big)]
-    if big.any():
-        where = np.flatnonzero(big)
-        fine = bands(3 * k + 6)
-        for left_out in itertools.combinations(range(len(fine)), k):
-            mask = np.uint64(sum(((1 << (b - a)) - 1) << a for j, (a, b) in enumerate(fine) if j not in left_out))
-            order = np.lexsort((fp[where] & mask, key[where]))
-            rows = where[order]
-            pair = np.stack((key[rows], (fp[rows] & mask).view(np.int64)), axis=1)
-            new = np.concatenate(([True], (pair[1:] != pair[:-1]).any(axis=1))).cumsum()
-            parts.append(near_pairs(fp[rows], new, k, refs))
-            at.append(rows)
-    a = np.concatenate([w[p[0]] for p, w in zip(parts, at)])
-    b = np.concatenate([w[p[1]] for p, w in zip(parts, at)])
-    root = forest(len(fp), a, b)
+    rows = np.flatnonzero(~big)
+    root = join_near(np.arange(len(fp)), rows, fp, key[rows], k, refs)
+    where = np.flatnonzero(big)
+    fine = bands(3 * k + 6)
+    for left_out in itertools.combinations(range(len(fine)), k) if len(where) else ():
+        mask = np.uint64(sum(((1 << (b - a)) - 1) << a for j, (a, b) in enumerate(fine) if j not in left_out))
+        rows = where[np.lexsort((fp[where] & mask, key[where]))]
+        pair = np.stack((key[rows], (fp[rows] & mask).view(np.int64)), axis=1)
+        finer = np.concatenate(([True], (pair[1:] != pair[:-1]).any(axis=1))).cumsum()
+        root = join_near(root, rows, fp, finer, k, refs)
     own = np.flatnonzero(root != np.arange(len(fp)))
     return fp[root[own]], fp[own]
 
