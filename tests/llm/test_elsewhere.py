@@ -1,0 +1,24 @@
+"""The operators work on executors that do not have the package on their path."""
+
+import os
+import subprocess
+import sys
+
+REPO = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+CODE = """
+import sys
+sys.path.insert(0, sys.argv[1])
+import __spark_entry__ as entry
+from tickloom.session import build_session
+spark = build_session(master="local[4]", shuffle_partitions=4)
+for name, query in entry.queries().items():
+    if name.startswith("op"):
+        assert query(spark, "/root/testdata/sf0.001").count() > 0, name
+print("fine")
+"""
+
+
+def test_from_another_folder(tmp_path):
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", CODE, REPO], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert out.stdout.strip().endswith("fine"), out.stderr[-3000:]

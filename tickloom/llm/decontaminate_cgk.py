@@ -319,7 +319,7 @@ def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, doc_id:
                           + [T.StructField(c, T.LongType()) for c in ("distance", "n_words", "first", "end")])
     found = spark.createDataFrame([], schema)
     for index in indexes(items, item_id, item_text):
-        found = found.unionByName(scan(spark, src, index, schema))
+        found = found.unionByName(scan(src, index, schema))
     return found.withColumn("similarity", 1 - F.col("distance") / F.col("n_words"))
 
 
@@ -335,15 +335,14 @@ def indexes(items: DataFrame, item_id: str, item_text: str) -> Iterator[Index]:
             yield Index(ids, parts)
 
 
-def scan(spark: SparkSession, src: DataFrame, index: Index, schema: T.StructType) -> DataFrame:
-    shared = spark.sparkContext.broadcast(index)
+def scan(src: DataFrame, index: Index, schema: T.StructType) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = None
         for b in batches:
-            find = find or Scan(shared.value)
+            find = find or Scan(index)      # travels with the function, at most ITEM_BLOCK passages
             size = np.cumsum(np.concatenate(([0], pa.compute.utf8_length(b.column(1)).to_numpy()))) // (6 * WORDS_AT_ONCE)
             cuts = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), b.num_rows]
             for lo, hi in zip(cuts, cuts[1:]):
