@@ -91,6 +91,19 @@ def test_packing_takes_every_document(stages):
         assert [o for o, _ in sorted(places)] == ends[:-1].tolist() and ends[-1] <= 4096
 
 
+def test_clashing_column_names_come_through(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "some clean text of words", "en", "s", 24), (2, "other words stand here", "en", "s", 22)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    names = ["row", "row_", "score", "clean", "fp", "key", "component_id", "__row", "a.b", "length", "__text"]
+    docs = docs.selectExpr("*", *[f"doc_id * 10 + {i} AS `{n}`" for i, n in enumerate(names)])
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "no such item in these documents")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for _, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and sorted(map(tuple, out.collect())) == sorted(map(tuple, docs.collect()))
+    assert cp.STAGES[-1][1](spark, docs, str(tmp_path)).count() == 2
+
+
 def test_odd_documents_pass_through(spark, tmp_path):
     rows = [(1, None, "en", "s", None), (2, "", None, None, 0), (None, "some text", "en", "s", 9), (3, "x " * 50000, "en", "s", 1),
             (4, "token = 0123456789abcdef0123456789", "en", "s", 1), (5, "twin text here", "en", "s", 1), (5, "twin text here", "en", "s", 1)]

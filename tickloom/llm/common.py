@@ -16,6 +16,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def same(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``df`` with just ``columns``, whatever characters their names have."""
+    return df.select(*[F.col(f"`{c}`") for c in columns])
+
+
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts the lineage
     and survives the loss of executors."""
@@ -47,7 +60,8 @@ def map_texts(df: DataFrame, keep: list[str], text: str, out: T.StructType,
     ``make`` runs once for each task and returns a function from a list of texts
     to the list of output columns.  Texts reach Python in Arrow batches.
     """
-    src = df.select(*[F.col(c) for c in keep], F.coalesce(F.col(text), F.lit("")).alias("__text"))
+    src = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)],
+                    F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))      # plain names for the way to Python
     names = [*keep, *[f.name for f in out.fields]]
     from pyspark.sql.pandas.types import to_arrow_type
     kinds = [to_arrow_type(f.dataType) for f in out.fields]
@@ -62,5 +76,6 @@ def map_texts(df: DataFrame, keep: list[str], text: str, out: T.StructType,
                 new = [pa.array(c, type=k) for c, k in zip(cols, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *new], names=names)
 
-    schema = T.StructType([src.schema[c] for c in keep] + list(out.fields))
+    given = [T.StructField(c, f.dataType, f.nullable) for c, f in zip(keep, src.schema.fields)]
+    schema = T.StructType(given + list(out.fields))
     return in_small_batches(src).mapInArrow(run, schema)

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import in_small_batches, table, written
+from .common import fresh, in_small_batches, same, table, written
 
 SAMPLED = 3          # steps that make one hash
 EDITS = 0.1          # share of edited words at which the target recall holds
@@ -360,10 +360,10 @@ def scan(src: DataFrame, index: Index, schema: T.StructType) -> DataFrame:
 
 def keep_clean(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no item of ``items`` is found, unchanged."""
-    tagged = docs.withColumn("__row", F.monotonically_increasing_id())
-    tagged = written(spark, tagged, "decontaminate-docs")
-    hit = contaminated(spark, tagged, items, doc_id="__row").select("__row").distinct()
-    return tagged.join(hit, "__row", "left_anti").select(*docs.columns)
+    row = fresh(docs, "row")
+    tagged = written(spark, docs.withColumn(row, F.monotonically_increasing_id()), "decontaminate-docs")
+    hit = contaminated(spark, tagged, items, doc_id=row).select(row).distinct()
+    return same(tagged.join(hit, row, "left_anti"), docs.columns)
 
 
 def op1_decontaminate_cgk(spark: SparkSession, sf_dir: str) -> DataFrame:

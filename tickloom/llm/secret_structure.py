@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_texts, table
+from .common import fresh, map_texts, table
 
 # Base formats.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -234,16 +234,16 @@ def redacted(text: str) -> str:
 def redact(docs: DataFrame, text: str = "text", length: str = "n_chars") -> DataFrame:
     """``docs`` with secrets replaced in ``text`` (null stays null) and, where it
     changed, ``length`` recounted."""
-    keep = docs.columns
+    keep, clean = docs.columns, fresh(docs, "clean")
 
     def make():
         return lambda texts: [list(map(redacted, texts))]
-    done = map_texts(docs, keep, text, T.StructType([T.StructField("__clean", T.StringType())]), make)
-    changed = F.col(text).isNotNull() & (F.col("__clean") != F.col(text))
-    cols = {text: F.when(F.col(text).isNotNull(), F.col("__clean"))}
+    done = map_texts(docs, keep, text, T.StructType([T.StructField(clean, T.StringType())]), make)
+    changed = F.col(text).isNotNull() & (F.col(clean) != F.col(text))
+    cols = {text: F.when(F.col(text).isNotNull(), F.col(clean))}
     if length in keep:
-        cols[length] = F.when(changed, F.char_length("__clean").cast(docs.schema[length].dataType)).otherwise(F.col(length))
-    return done.select(*[cols.get(c, F.col(c)).alias(c) for c in keep])
+        cols[length] = F.when(changed, F.char_length(clean).cast(docs.schema[length].dataType)).otherwise(F.col(length))
+    return done.select(*[cols.get(c, F.col(f"`{c}`")).alias(c) for c in keep])
 
 
 def op5_secret_structure(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_texts, written
+from .common import fresh, map_texts, same, table, written
 from .components import connected_components
 
 SEED = 42
@@ -244,17 +244,18 @@ def keep_one(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text:
              shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The row with the smallest doc_id of each component (of repeated rows with
     that id one; of components without any id, one row for each fingerprint)."""
-    tagged = written(spark, docs.withColumn("__row", F.monotonically_increasing_id()), "simhash-docs")
-    prints = written(spark, fingerprints(tagged, [doc_id, "__row"], text, shingle), "simhash-prints")
+    row = fresh(docs, "row")
+    tagged = written(spark, docs.withColumn(row, F.monotonically_increasing_id()), "simhash-docs")
+    prints = fingerprints(tagged, [doc_id, row], text, shingle).withColumnRenamed(row, "__row")
+    prints = written(spark, prints, "simhash-prints")
     found = prints.join(components(spark, prints, doc_id, max_bits), "fp")
     least = found.where(F.col(doc_id).eqNullSafe(F.col("component_id")))
     named = least.where(F.col(doc_id).isNotNull()).groupBy(doc_id).agg(F.min("__row").alias("__row"))
     nameless = least.where(F.col(doc_id).isNull()).groupBy("fp").agg(F.min("__row").alias("__row"))
-    rows = named.select("__row").unionByName(nameless.select("__row"))
-    return tagged.join(rows, "__row", "left_semi").select(*docs.columns)
+    rows = named.select(F.col("__row").alias(row)).unionByName(nameless.select(F.col("__row").alias(row)))
+    return same(tagged.join(rows, row, "left_semi"), docs.columns)
 
 
 def op10_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .common import table
     found = simhash_components(spark, table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
