@@ -59,26 +59,22 @@ def daily_tone(news: DataFrame, digits: int = 3, keys=()) -> DataFrame:
         rd(F.avg("selfref")).alias("uso_primera_persona"))
 
 
-NEWS_SQL = """
-SELECT date AS fecha, count(1) AS volumen_noticias,
-       round(avg(try_cast(get(split(v2tone, ','), 0) AS double)) * 1000) / 1000 AS sentimiento_promedio,
-       round(avg(try_cast(get(split(v2tone, ','), 1) AS double)) * 1000) / 1000 AS puntuacion_positiva,
-       round(avg(try_cast(get(split(v2tone, ','), 2) AS double)) * 1000) / 1000 AS puntuacion_negativa,
-       round(avg(try_cast(get(split(v2tone, ','), 3) AS double)) * 1000) / 1000 AS polaridad_promedio,
-       round(stddev_samp(try_cast(get(split(v2tone, ','), 0) AS double)) * 1000) / 1000 AS volatilidad_sentimiento,
-       round(avg(try_cast(get(split(v2tone, ','), 4) AS double)) * 1000) / 1000 AS uso_primera_persona
-FROM news
-WHERE date BETWEEN :start_date AND :end_date
-  AND lower(orgs) LIKE :keyword
-  AND translationinfo IS NULL
-GROUP BY fecha
-"""
+def news_sql(digits: int = 3) -> str:
+    """the daily aggregate as SQL text, from the same field table."""
+    def rd(x):
+        return f"round({x} * {10 ** digits}) / {10 ** digits}"
+    part = {n: f"try_cast(get(split(v2tone, ','), {i}) AS double)" for n, i in TONE_FIELDS.items()}
+    means = dict(zip(["sentimiento_promedio", "puntuacion_positiva", "puntuacion_negativa", "polaridad_promedio"], part))
+    cols = [f"{rd(f'avg({part[f]})')} AS {name}" for name, f in means.items()]
+    cols += [f"{rd(f'stddev_samp({part['tone']})')} AS volatilidad_sentimiento", f"{rd(f'avg({part['selfref']})')} AS uso_primera_persona"]
+    return ("SELECT date AS fecha, count(1) AS volumen_noticias, " + ", ".join(cols) + " FROM {news}"
+            " WHERE date BETWEEN :start_date AND :end_date AND lower(orgs) LIKE :keyword AND translationinfo IS NULL GROUP BY fecha")
 
 
 def daily_tone_sql(spark: SparkSession, news: DataFrame, start: str, end: str, keyword: str) -> DataFrame:
     """F2 with bound parameters: the same query as SQL text with named args."""
     import datetime as dt
-    return spark.sql(NEWS_SQL.replace("FROM news", "FROM {news}"), news=news,
+    return spark.sql(news_sql(), news=news,
                      args={"start_date": dt.date.fromisoformat(start), "end_date": dt.date.fromisoformat(end),
                            "keyword": f"%{keyword.lower()}%"})
 

@@ -93,7 +93,9 @@ def profile(df: DataFrame, keys=("symbol",), date: str = "date") -> DataFrame:
 
 
 def describe(df: DataFrame, c: str, keys=("symbol",)) -> DataFrame:
-    """Count, mean, std, min, 25/50/75 % (linear interpolation), max."""
+    """Count, mean, std, min, 25/50/75 % (linear interpolation), max.  The
+    percentiles are exact: they hold a count for each distinct value of a group,
+    so the groups should be series (a value a day), not raw rows."""
     q = F.percentile(F.col(c), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
     d = df.groupBy(*keys).agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
                               F.min(c).alias("min"), q.alias("_q"), F.max(c).alias("max"))

@@ -134,6 +134,7 @@ def q_k6(spark, sf):
     return sg.sharpe_pivot(g)
 
 
+# Labels and order of the compared metrics.
 K7_METRICS = [("Retorno Total (%)", "strategy_return", "bh_return"), ("Sharpe Ratio", "sharpe", "sharpe_bh"),
               ("Max Drawdown (%)", "max_dd", "max_dd_bh")]
 
