@@ -42,8 +42,8 @@ from pyspark.sql import types as T
 from .common import fresh, in_small_batches, same, table, written
 
 SAMPLED = 3          # steps that make one hash
-EDITS = 0.1          # share of edited words at which the target recall holds
-RECALL = 0.95
+EDITS = 0.2          # share of edited words at which the target recall holds: the largest that is accepted
+RECALL = 0.9
 MOST_REPEATS = 24
 DISTANCE = 0.2       # share of an item's words that may be edited
 LEAST_WORDS = 5
@@ -116,13 +116,19 @@ class Walk:
 
     def go(self, words: np.ndarray, at: np.ndarray, start: int, stop: int, random_words: dict[int, np.ndarray]) -> np.ndarray:
         """Positions after steps start..stop-1 of walks now at ``at``; the last word is never left."""
+        byte = at * 8                            # of the random words; only the byte with the step's bit is read
         for j in range(start, stop):
             block = j >> 6
             if block not in random_words:
-                random_words[block] = self.bits(words, block)
-                random_words[block][-1] = 0
-            at = at + (random_words[block][at] >> np.uint64(j & 63) & np.uint64(1)).astype(at.dtype)
-        return at
+                fresh_bits = self.bits(words, block).astype("<u8")
+                fresh_bits[-1] = 0
+                random_words[block] = fresh_bits.view(np.uint8)
+            move = random_words[block][(j & 63) >> 3:].take(byte)
+            move >>= j & 7
+            move &= 1
+            move <<= 3
+            byte += move
+        return byte >> 3
 
 
 def classes(lengths: np.ndarray) -> list[int]:
@@ -156,7 +162,8 @@ class Index:
                 break
 
     def table(self, walk: Walk, c: int) -> tuple:
-        """(words sampled first, key of all sampled words, passage, offset), sorted by key."""
+        """(slots of the words sampled first, these words, key of all sampled
+        words, passage, offset); the last three sorted by key."""
         rows, offset, words, begin = [], [], [], []
         at = 0
         for i in self.members[c]:
@@ -177,7 +184,9 @@ class Index:
             first = np.unique(got) if first is None else first
             key = got if key is None else mix(key ^ got) + got
         order = np.argsort(key, kind="stable")
-        return first, key[order], np.array(rows, np.int64)[order], np.array(offset, np.int64)[order]
+        slots = np.zeros(1 << int(16 * len(first)).bit_length(), bool)       # most words that are first of no passage end here
+        slots[first & np.uint64(len(slots) - 1)] = True
+        return slots, first, key[order], np.array(rows, np.int64)[order], np.array(offset, np.int64)[order]
 
     def edited(self) -> list[tuple[int, np.ndarray]]:
         """Passages with EDITS of their words replaced, dropped or added, in foreign surroundings."""
@@ -211,7 +220,7 @@ class Index:
         hash of repetition ``r`` is that of a passage.  Walks whose first sampled
         word is first of no passage end there."""
         walk, random_words = Walk(r), {}
-        for c, (first, keys, rows, offset) in enumerate(self.tables[r]):
+        for c, (slots, first, keys, rows, offset) in enumerate(self.tables[r]):
             start = np.arange(0, len(words), self.stride[c], dtype=np.int64)
             pos, key, done = start, None, 0
             for s in walk.steps(self.low[c]):
@@ -219,7 +228,8 @@ class Index:
                 done = s
                 got = words[pos]
                 if key is None:
-                    near = first[np.minimum(np.searchsorted(first, got), len(first) - 1)] == got
+                    near = np.flatnonzero(slots[(got & np.uint64(len(slots) - 1)).view(np.int64)])
+                    near = near[first[np.minimum(np.searchsorted(first, got[near]), len(first) - 1)] == got[near]]
                     start, pos, key = start[near], pos[near], got[near]
                 else:
                     key = mix(key ^ got) + got
