@@ -1,3 +1,4 @@
+import functools
 import hashlib
 import random
 import re
@@ -11,6 +12,7 @@ def luhn(d):
     return sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(d))) % 10 == 0
 
 
+@functools.cache
 def slow_base(text):
     """The base formats, by plain patterns."""
     text = text or ""
