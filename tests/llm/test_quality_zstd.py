@@ -63,3 +63,12 @@ def test_logistic_recovers_weights():
     p = 1 / (1 + np.exp(-(1.5 * x[:, 0] - x[:, 1] + 0.5)))
     w = logistic.fit(x, (rnd.random(20000) < p).astype(float))
     assert np.abs(w - [1.5, -1, 0.5]).max() < 0.1
+
+
+def test_score_does_not_depend_on_the_sample_of_each_class(spark):
+    # texts say nothing, so a score is the share of good labels, 6 in 7, whatever the sample
+    docs = spark.range(4200).selectExpr("id as doc_id", "'some words that say nothing' as text")
+    labels = spark.range(4200).selectExpr("id as doc_id", "cast(id % 7 > 0 as int) as quality")
+    for sample in (300, 6000):
+        score = qz.scores(docs.limit(1), qz.fit(spark, docs, labels, sample=sample)).first().score
+        assert abs(score - 6 / 7) < 0.03, (sample, score)

@@ -43,6 +43,16 @@ def train_rows(doc_id: str, folds: int, held: int):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % folds != held
 
 
+def class_weights(marked: DataFrame, label: str, sample: int) -> dict[int, float]:
+    """What a row counts for in a fit that takes at most ``sample`` rows of each
+    class of ``marked``: the sample then has the class shares of the whole table,
+    and as much weight as it has rows (1 each where every row is taken)."""
+    n = {r[label]: r["count"] for r in marked.groupBy(label).count().collect()}      # one row a class
+    taken = {y: min(k, sample) for y, k in n.items()}
+    share = sum(taken.values()) / max(1, sum(n.values()))
+    return {y: k / taken[y] * share for y, k in n.items()}
+
+
 ROWS_AT_ONCE = 1000       # of texts handed to Python: bounds what a task holds beside its own work
 
 

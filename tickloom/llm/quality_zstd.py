@@ -8,7 +8,9 @@ probability by logistic regression on labelled texts that no dictionary saw.
 
 Fitting takes a bounded sample: SAMPLE labelled rows of each class, the ones
 with the smallest hash of their id; half give PARTS passages of PART characters
-each to the dictionaries, half calibrate.  Scoring covers every row.
+each to the dictionaries, half calibrate.  The calibration weighs each class by
+its number of rows in the whole table, so a score means the same at every size.
+Scoring covers every row.
 
 Defined cases: null and empty texts have difference zero and get the calibrated
 score of that; a null label or id takes no part in fitting; with no label of a
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import logistic
-from .common import map_texts, table, train_rows
+from .common import class_weights, map_texts, table, train_rows
 
 SAMPLE = 6000          # labelled rows of each class
 PARTS, PART = 3, 2000  # passages of a sampled text, characters of each
@@ -84,20 +86,22 @@ def features(sizes: tuple[int, int, int]) -> list[float]:
     return [d, d * much, much]
 
 
-def labelled(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, sample: int) -> DataFrame:
-    """(y, part, text): a bounded sample of the rows that may be learnt from."""
+def labelled(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, sample: int) -> tuple[DataFrame, dict[int, float]]:
+    """(y, h, text): a bounded sample of the rows that may be learnt from; and what
+    a row of each class counts for."""
     marked = (labels.where(F.col(label).isin(0, 1) & train_rows(doc_id, FOLDS, HELD) & F.col(doc_id).isNotNull())
               .select(F.col(doc_id), F.col(label).cast("int").alias("y"), F.xxhash64(doc_id).alias("h")))
     chosen = marked.where("y = 1").orderBy("h", doc_id).limit(sample).unionByName(
         marked.where("y = 0").orderBy("h", doc_id).limit(sample))
-    return docs.select(F.col(doc_id), F.coalesce(F.col(text), F.lit("")).alias("text")).join(
+    rows = docs.select(F.col(doc_id), F.coalesce(F.col(text), F.lit("")).alias("text")).join(
         F.broadcast(chosen), doc_id).select("y", "h", "text")      # at most 2 * sample narrow rows
+    return rows, class_weights(marked, "y", sample)
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
         label: str = "quality", sample: int = SAMPLE) -> tuple[bytes, bytes, np.ndarray]:
     """Both dictionaries and the calibration."""
-    rows = labelled(docs, labels, doc_id, text, label, sample)
+    rows, weight = labelled(docs, labels, doc_id, text, label, sample)
     first = F.pmod(F.shiftright("h", 1), F.lit(2)) == 0
     starts = [F.pmod(F.xxhash64("h", F.lit(i)), F.greatest(F.lit(1), F.char_length("text") - PART)) + 1 for i in range(PARTS)]
     parts = rows.where(first).select("y", F.array(*[F.substring("text", s.cast("int"), F.lit(PART)) for s in starts]).alias("parts"))
@@ -109,7 +113,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, doc_id: str = "
     if not seen:
         return good, bad, np.zeros(4)
     x = np.array([features(s[1:]) for s in seen])
-    return good, bad, logistic.fit(x, np.array([s[0] for s in seen], float))
+    return good, bad, logistic.fit(x, np.array([s[0] for s in seen], float), np.array([weight[s[0]] for s in seen]))
 
 
 def sizes(df: DataFrame, keep: list[str], text: str, good: bytes, bad: bytes) -> DataFrame:
