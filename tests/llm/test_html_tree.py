@@ -86,3 +86,17 @@ def test_long_page():
     model = ht.Model({})
     page = "<body><article>" + "<p>word, " * 60000 + "</article>"
     assert ht.extract(page, model).count("\n") == 59999
+
+
+def test_long_attribute_values():
+    model = ht.Model({})
+    para = "Some longer text, with marks. " * 6
+    inner = "</p></article><p>no</p><div class='ad'>" * 2000
+    for q, value in (('"', inner), ("'", inner.replace("'", '"'))):
+        page = f"<body><article><p>one</p><p data-x={q}{value}{q} title = {q}a>b{q}>{para}</p><p>two</p></article></body>"
+        assert ht.extract(page, model) == f"one\n{para.strip()}\ntwo"
+    # a quote opens a value only after an equals sign; an open one ends at the first end mark
+    assert ht.extract("<article><p title=O'Brien>it's</p><p title='x>end</p></article>", model) == "it's\nend"
+    assert ht.Tree("<p title='class=ad' data-class=ad id=x>").names[1] == {"x"}
+    for page in ("<a b=\"><a c='" * 30000 + ">", "<a b='\"><a c=\"'>" * 30000 + "<a b='>", "<a b=\"'><a c='\" " * 30000 + "=\">"):
+        ht.Tree(page)

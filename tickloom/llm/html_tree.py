@@ -59,8 +59,10 @@ related recommended share sharing social footer foot header masthead contentinfo
 subscribe newsletter signup login search form widget toolbar skip copyright legal disclaimer tags meta""".split())
 GOOD_WORDS = frozenset("""article articlebody content body entry main post story text page prose hentry""".split())
 
-TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]{0,9999}+"|'[^']{0,9999}+')*+|[^>]*+)>""")
-NAMES = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+VALUE = re.compile(r"""=\s*+(?:(["'])|[^\s>"'][^\s>]*+)|>""")          # of an attribute, quoted or not; or the tag's end
+NAMES = re.compile(r"""([^\s=/]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|(\S*+)))?""")
+NAMED = frozenset("class id role itemprop".split())
 WORDS = re.compile(r"[a-z]+")
 SENTENCE = re.compile(r"[.,;:!?]")
 
@@ -74,8 +76,28 @@ class Tree:
         self.runs: list[tuple[int, str | None]] = []
         self.stack = [0]
         self.open: Counter = Counter()
+        self.lost: set[int] = set()          # opening quotes from which no tag end was found
         self.parse(page)
 
+    def tag_end(self, page: str, at: int) -> int:
+        """Position of the ``>`` that ends the tag whose attributes begin at ``at``,
+        not one within a quoted value; where a quote stays open to the page's end,
+        of the first ``>``.  Linear: no quote is followed in vain twice."""
+        first, tried = at, []
+        while m := VALUE.search(page, at):
+            if m[0] == ">":
+                return m.start()
+            at = m.end()
+            if m[1]:
+                if at in self.lost:
+                    break
+                tried.append(at)
+                at = page.find(m[1], at) + 1
+                if not at:
+                    break
+        self.lost.update(tried)
+        return page.find(">", first)
+
     def parse(self, page: str) -> None:
         at, last = 0, page.rfind(">")
         while at < len(page):
@@ -84,7 +106,8 @@ class Tree:
                 left = len(page)
             m = TAG.match(page, left) if left < last else None
             if m:
-                stop = m.end()
+                end = self.tag_end(page, m.end())
+                attributes, stop = page[m.end():end], end + 1
             elif page.startswith("<!--", left):
                 stop = page.find("-->", left + 4) + 3
             elif page.startswith(("<!", "<?"), left):
@@ -101,7 +124,7 @@ class Tree:
             if tag and m[1]:
                 self.close(tag)
             elif tag:
-                self.start(tag, m[3])
+                self.start(tag, attributes)
                 if tag in RAW and self.stack[-1] == len(self.tag) - 1:
                     end = re.compile(rf"</{tag}[\s/>]", re.I).search(page, at)
                     at = end.start() if end else len(page)
@@ -111,7 +134,7 @@ class Tree:
             self.pop_until({"p"}, {"table", "td", "th", "button"})
         if tag in ENDS:
             self.pop_until(*ENDS[tag])
-        found = " ".join(a or b or c for a, b, c in NAMES.findall(attributes)) if "=" in attributes else ""
+        found = " ".join(a or b or c for k, a, b, c in NAMES.findall(attributes) if k.lower() in NAMED) if "=" in attributes else ""
         self.tag.append(tag)
         self.names.append(frozenset(WORDS.findall(found.lower())) if found else frozenset())
         self.parent.append(self.stack[-1])
