@@ -100,3 +100,15 @@ def test_long_attribute_values():
     assert ht.Tree("<p title='class=ad' data-class=ad id=x>").names[1] == {"x"}
     for page in ("<a b=\"><a c='" * 30000 + ">", "<a b='\"><a c=\"'>" * 30000 + "<a b='>", "<a b=\"'><a c='\" " * 30000 + "=\">"):
         ht.Tree(page)
+
+
+def test_class_words_do_not_cut_off_an_article(spark):
+    para = "Some longer text, with marks. " * 6
+    article = f"<article><h2 class='section-header'>Head</h2><p>{para}</p><p class=legal>Law.</p><p>x<math><mi>y</mi></math></p><div class=ad>buy</div></article>"
+    want = f"Head\n{para.strip()}\nLaw.\nxy"
+    for model in (ht.Model({}), ht.fit(spark, spark.read.parquet(PAGES))):
+        for names in ("layout no-sidebar", "has-navbar", "with-header", "x"):
+            page = f"<body><div class='{names}'><div id='menu-wrap'>{article}</div><div class=sidebar><p>{para}</p></div></div></body>"
+            assert ht.extract(page, model) == want, names
+    seen = ht.counts([f"<body><div class=no-sidebar>{article}</div></body>"])
+    assert seen["word=poor", "0"] == 1 and seen["word=poor", "1"] == 2       # its potential is learnt

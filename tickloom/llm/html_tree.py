@@ -40,13 +40,14 @@ SAMPLE = 4000
 # Groups of tags.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style".split())
-UNSEEN = frozenset("head title script style noscript template iframe object svg math textarea select option button".split())
+UNSEEN = frozenset("head title script style noscript template iframe object svg textarea select option button".split())
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer
 form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul
 caption head title""".split())
 BOILERPLATE = frozenset("nav header footer aside form menu dialog fieldset".split()) | UNSEEN
 MARKERS = frozenset("article main".split())
 WHOLE = frozenset("html body article main".split())
+TEXT = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote figcaption caption table thead tbody tfoot tr td th".split())
 OUTER = frozenset("#page html body".split())
 # What an opening tag ends, up to the nearest of its holders.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
@@ -181,14 +182,36 @@ class Tree:
         del self.stack[k:]
 
 
+def marks(tree: Tree) -> list[bool]:
+    """Elements that mark an article."""
+    return [tag in MARKERS or "articlebody" in names for tag, names in zip(tree.tag, tree.names)]
+
+
+def inside_of(tree: Tree, mark: list[bool]) -> list[bool]:
+    """Elements that are a mark or lie within one."""
+    inside = mark[:]
+    for i in range(1, len(inside)):
+        inside[i] = inside[i] or inside[tree.parent[i]]
+    return inside
+
+
+def poor_words(names: frozenset[str]) -> bool:
+    return bool(names & POOR_WORDS) and not names & GOOD_WORDS
+
+
 def cut_off(tree: Tree) -> list[bool]:
     """Elements that are boilerplate by their markup, with all they hold.  They
-    take no part in the model: they are never content and send no message."""
-    out = [False] * len(tree.tag)
+    take no part in the model: they are never content and send no message.  A
+    word of class, id or role cuts off no element that holds a marked article, and
+    no heading, paragraph or table in one; there it is a seen value like others."""
+    out, mark = [False] * len(tree.tag), marks(tree)
+    holds, inside = mark[:], inside_of(tree, mark)
+    for i in range(len(out) - 1, 0, -1):
+        holds[tree.parent[i]] |= holds[i]
     for i in range(1, len(out)):
-        tag, names = tree.tag[i], tree.names[i]
-        poor = names & POOR_WORDS and not names & GOOD_WORDS and tag not in WHOLE
-        out[i] = out[tree.parent[i]] or tag in BOILERPLATE or bool(poor)
+        tag = tree.tag[i]
+        free = tag in WHOLE or holds[i] or inside[i] and tag in TEXT
+        out[i] = out[tree.parent[i]] or tag in BOILERPLATE or not free and poor_words(tree.names[i])
     return out
 
 
@@ -221,7 +244,7 @@ def observed(tree: Tree) -> list[tuple[str, ...]]:
     out = []
     for i in range(n):
         tag, names = tree.tag[i], tree.names[i]
-        word = ["word=" + ("mixed" if names & POOR_WORDS else "good")] if names & GOOD_WORDS else []
+        word = ["word=" + ("mixed" if names & POOR_WORDS else "good")] if names & GOOD_WORDS else ["word=poor"] if poor_words(names) else []
         if tag in OUTER:
             seen = ["tag=" + tag]
         elif tag not in BLOCK:
@@ -241,17 +264,12 @@ def observed(tree: Tree) -> list[tuple[str, ...]]:
 
 def labels(tree: Tree) -> list[int] | None:
     """States of a page that marks its article; None where it does not."""
-    inside, poor = [False] * len(tree.tag), cut_off(tree)
-    marked = False
-    for i in range(1, len(inside)):
-        mark = tree.tag[i] in MARKERS or "articlebody" in tree.names[i]
-        marked |= mark
-        inside[i] = inside[tree.parent[i]] or mark
-    return [int(a and not b) for a, b in zip(inside, poor)] if marked else None
+    mark = marks(tree)
+    return [int(a and not b) for a, b in zip(inside_of(tree, mark), cut_off(tree))] if any(mark) else None
 
 
 # Shares among (not content, content) that stand for what labelled pages do not show.
-PRIOR = {"word=good": (0.01, 0.2), "tag=article": (0.005, 0.2), "tag=main": (0.01, 0.2), "tag=p": (0.05, 0.3), "tag=h1": (0.04, 0.1),
+PRIOR = {"word=good": (0.01, 0.2), "word=poor": (0.2, 0.02), "tag=article": (0.005, 0.2), "tag=main": (0.01, 0.2), "tag=p": (0.05, 0.3), "tag=h1": (0.04, 0.1),
          "tag=blockquote": (0.01, 0.05), "tag=pre": (0.01, 0.05), "tag=body": (0.3, 0.03), "tag=html": (0.3, 0.01), "linked=3": (0.3, 0.02),
          "linked=0": (0.2, 0.5), "paragraphs=0": (0.05, 0.2), "paragraphs=1": (0.02, 0.2), "size=1": (0.1, 0.3), "size=2": (0.05, 0.3),
          "marks=0": (0.4, 0.1), "marks=2": (0.1, 0.4)}
