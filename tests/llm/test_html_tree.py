@@ -112,3 +112,26 @@ def test_class_words_do_not_cut_off_an_article(spark):
             assert ht.extract(page, model) == want, names
     seen = ht.counts([f"<body><div class=no-sidebar>{article}</div></body>"])
     assert seen["word=poor", "0"] == 1 and seen["word=poor", "1"] == 2       # its potential is learnt
+
+
+def log_weight(tree, model, forced, state):
+    """Log of the sum over all assignments that give element ``forced`` the state ``state``."""
+    total = [[0.0, sum(model.node.get(v, 0.0) for v in seen)] for seen in ht.observed(tree)]
+    total[0][1] = total[forced][1 - state] = -math.inf
+    for i in range(len(total) - 1, 0, -1):
+        for up in (0, 1):
+            a, b = (math.log(model.edge[up][s]) + total[i][s] for s in (0, 1))
+            total[tree.parent[i]][up] += max(a, b) + math.log1p(math.exp(-abs(a - b)))
+    return total[0][0]
+
+
+def test_long_article_with_weak_blocks_at_its_start():
+    model = ht.Model(ht.counts(["<body><nav>x</nav><article>" + "<p>some text, and more.</p>" * 30 + "</article><div>" + "<a href=x>y</a>" * 9 + "</div></body>"]))
+    links = "<section>" + "<a href=x>some link text of a list</a> " * 6 + "</section>"
+    para = "<p>" + "Some longer text, with marks, here. " * 9 + "</p>"
+    tree = ht.Tree("<body><div>" + links * 60 + "<h2>Head</h2>" + para * 600 + "</div></body>")
+    got = model.marginals(tree)
+    for i in (1, 2, 3, tree.tag.index("h2"), len(got) - 1):      # body, the box of all blocks, a weak block, the heading, the last paragraph
+        want = log_weight(tree, model, i, 1) - log_weight(tree, model, i, 0)
+        assert abs(got[i] - 1 / (1 + math.exp(min(-want, 700)))) < 1e-6, (tree.tag[i], got[i], want)
+    assert got[2] > 0.99

@@ -296,6 +296,11 @@ def counts(pages: list[str | None]) -> Counter:
     return found
 
 
+def log_sum(a: float, b: float) -> float:
+    """log(exp(a) + exp(b)); ``a`` is finite."""
+    return max(a, b) + math.log1p(math.exp(-abs(a - b)))
+
+
 class Model:
     """Node and edge potentials."""
 
@@ -317,20 +322,19 @@ class Model:
         """P(content) of each element by messages up and down the tree."""
         seen, poor = observed(tree), cut_off(tree)
         n = len(seen)
-        node = [math.exp(sum(self.node.get(v, 0.0) for v in s)) for s in seen]      # odds
-        node[0] = 0.0                        # the page itself holds no content
-        (e00, e01), (e10, e11) = self.edge
-        up = [1.0] * n                       # message to the parent, as odds
-        below = node[:]                      # own potential and messages from the children
+        below = [sum(self.node.get(v, 0.0) for v in s) for s in seen]      # log odds: own potential and messages from the children
+        below[0] = -math.inf                 # the page itself holds no content
+        (e00, e01), (e10, e11) = [[math.log(x) for x in row] for row in self.edge]
+        up = [0.0] * n                       # message to the parent, as log odds
         for i in range(n - 1, 0, -1):
             if not poor[i]:
-                up[i] = (e10 + e11 * below[i]) / (e00 + e01 * below[i])
-                below[tree.parent[i]] = min(below[tree.parent[i]] * up[i], 1e30)
+                up[i] = log_sum(e10, e11 + below[i]) - log_sum(e00, e01 + below[i])
+                below[tree.parent[i]] += up[i]
         belief = below[:]
         for i in range(1, n):
-            rest = belief[tree.parent[i]] / up[i]         # the parent without this child's message
-            belief[i] = 0.0 if poor[i] else min(below[i] * (e01 + e11 * rest) / (e00 + e10 * rest), 1e30)
-        return [b / (1 + b) for b in belief]
+            rest = belief[tree.parent[i]] - up[i]         # the parent without this child's message
+            belief[i] = -math.inf if poor[i] else below[i] + log_sum(e01, e11 + rest) - log_sum(e00, e10 + rest)
+        return [1 / (1 + math.exp(-b)) if b > -700 else 0.0 for b in belief]
 
 
 def extract(page: str, model: Model) -> str:
