@@ -72,3 +72,14 @@ def test_score_does_not_depend_on_the_sample_of_each_class(spark):
     for sample in (300, 6000):
         score = qz.scores(docs.limit(1), qz.fit(spark, docs, labels, sample=sample)).first().score
         assert abs(score - 6 / 7) < 0.03, (sample, score)
+
+
+def test_copies_of_an_id_count_once(spark):
+    docs = spark.range(5100).selectExpr("if(id < 5000, 1, id) as doc_id", "concat('text ', id % 2) as text")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (5005, 0), (5006, 1)], "doc_id long, quality int")
+    docs = docs.unionByName(spark.createDataFrame([(2, "b"), (2, "a")], docs.schema))
+    more = labels.unionByName(spark.createDataFrame([(i, i % 2) for i in range(2, 60)], labels.schema))
+    rows, weight = qz.labelled(docs, more, "doc_id", "text", "quality", 100)
+    kept = rows.collect()
+    assert len(kept) == len({(r.y, r.h) for r in kept}) <= 4
+    assert {r.text for r in kept} <= {"text 0", "text 1", "a"} and weight == {0: 1.0, 1: 1.0}

@@ -6,8 +6,9 @@ dictionary again, so the whole of a long text is judged); the difference of the
 two compressed sizes, divided by the size of the text, is calibrated to a
 probability by logistic regression on labelled texts that no dictionary saw.
 
-Fitting takes a bounded sample: SAMPLE labelled rows of each class, the ones
-with the smallest hash of their id; half give PARTS passages of PART characters
+Fitting takes a bounded sample: SAMPLE labelled ids of each class, the ones
+with the smallest hash (a repeated id counts once, with the smallest of its
+texts); half give PARTS passages of PART characters
 each to the dictionaries, half calibrate.  The calibration weighs each class by
 its number of rows in the whole table, so a score means the same at every size.
 Scoring covers every row.
@@ -90,11 +91,12 @@ def labelled(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label:
     """(y, h, text): a bounded sample of the rows that may be learnt from; and what
     a row of each class counts for."""
     marked = (labels.where(F.col(label).isin(0, 1) & train_rows(doc_id, FOLDS, HELD) & F.col(doc_id).isNotNull())
-              .select(F.col(doc_id), F.col(label).cast("int").alias("y"), F.xxhash64(doc_id).alias("h")))
+              .select(F.col(doc_id), F.col(label).cast("int").alias("y"), F.xxhash64(doc_id).alias("h")).distinct())
     chosen = marked.where("y = 1").orderBy("h", doc_id).limit(sample).unionByName(
         marked.where("y = 0").orderBy("h", doc_id).limit(sample))
     rows = docs.select(F.col(doc_id), F.coalesce(F.col(text), F.lit("")).alias("text")).join(
-        F.broadcast(chosen), doc_id).select("y", "h", "text")      # at most 2 * sample narrow rows
+        F.broadcast(chosen), doc_id)      # at most 2 * sample narrow rows
+    rows = rows.groupBy(doc_id, "y", "h").agg(F.min("text").alias("text")).select("y", "h", "text")     # copies of an id count once
     return rows, class_weights(marked, "y", sample)
 
 
