@@ -6,8 +6,8 @@ All work on rows is Spark's: texts are tokenised where they lie, pieces are
 ranked within their length, and a row finds its sequence from (length, rank).
 Only the histogram (at most ``capacity`` rows) reaches the driver, and only
 the packing plan goes back: runs (length, first rank, count, first sequence,
-offset).  The plan's size depends on ``capacity`` alone: MAX_PATTERNS patterns
-of at most four runs, and a few runs for each length from the residual.
+offset).  The plan's size depends on ``capacity`` alone: at most 34 patterns of
+four runs for each length, and a few runs for each length from the residual.
 
 Defined cases: null and empty texts are the end-of-text id alone; repeated rows
 are packed each; ties in length are ranked by (doc_id, piece, checksum), and
@@ -21,6 +21,8 @@ import bisect
 import os
 import re
 import struct
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -36,7 +38,7 @@ CAPACITY = 4096
 END_ID = 1
 SLACK = 16            # a pattern may leave so many tokens of a sequence free
 ROUNDS = 600          # of the least-squares iteration
-WORDS_HELD = 200_000  # words, and stretches, whose ids a task remembers
+WORDS_HELD = 300_000  # stretches and words of a generation whose ids a Python worker remembers
 
 
 def default_tokenizer() -> str:
@@ -64,14 +66,33 @@ def byte_letters() -> dict[int, str]:
     return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0x80, 0x180)}
 
 
+class Remembered(dict):
+    """What ``find`` gives for a key, remembered in two generations: when ``held``
+    keys were new or asked for again, those not asked for since the last such
+    moment are let go."""
+
+    def __init__(self, find, held: int):
+        self.find, self.held, self.old = find, held, {}
+
+    def __missing__(self, key):
+        if len(self) >= self.held:
+            self.old = dict(self)
+            self.clear()
+        value = self.old.get(key)
+        if value is None:
+            value = self.find(key)
+        self[key] = value
+        return value
+
+
 class WordIds:
     """Token ids of whole texts as little-endian 32-bit bytes.
 
     The vocabulary's split pattern never crosses white space and its merges
-    never cross words, so the ids of a word, and of a stretch between white
-    space, are found once and remembered (WORDS_HELD of each at most).  Texts
-    with characters outside PLAIN, or with the marks of special tokens, go to
-    the tokenizer whole.
+    never cross words, so the ids of a stretch between white space are found
+    once and remembered; of its words, those that are not a stretch by
+    themselves.  Texts with characters outside PLAIN, or with the marks of
+    special tokens, go to the tokenizer whole.
     """
 
     def __init__(self, path: str):
@@ -79,44 +100,45 @@ class WordIds:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.plain, self.split, self.letters = re.compile(PLAIN), re.compile(SPLIT), byte_letters()
-        self.model = self.tokenizer.model
-        self.words: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
+        self.plain, self.letters, self.model = re.compile(PLAIN), byte_letters(), self.tokenizer.model
+        self.split = re.compile(SPLIT).findall
+        self.known = Remembered(self.stretch, WORDS_HELD)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            found = self.model.tokenize(word if word.isascii() else word.translate(self.letters))
-            ids = self.words[word] = struct.pack(f"<{len(found)}I", *[t.id for t in found])
-        return ids
+    def stretch(self, s: str) -> bytes:
+        parts = self.split(s)
+        if len(parts) > 1:
+            return b"".join([self.known[p] for p in parts])
+        found = self.model.tokenize(s if s.isascii() else s.translate(self.letters))
+        return struct.pack(f"<{len(found)}I", *[t.id for t in found])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        stretches = [t.lower().split() if "<|" not in t and self.plain.fullmatch(t) else None for t in texts]
-        for held in (self.words, self.known):
-            if len(held) > WORDS_HELD:
-                held.clear()
-        known, word, split = self.known, self.word, self.split.findall
-        for s in set().union(*[x for x in stretches if x]).difference(known):
-            parts = split(s)
-            known[s] = word(s) if len(parts) == 1 else b"".join([word(p) for p in parts])
-        out = [b"".join([known[s] for s in x]) if x is not None else None for x in stretches]
-        odd = [i for i, x in enumerate(out) if x is None]
-        for i, ids in zip(odd, self.whole([texts[i] for i in odd])):
-            out[i] = ids
+        ids = self.known.__getitem__
+        plain = [(t.isascii() and t.isprintable() or self.plain.fullmatch(t)) and "<|" not in t for t in texts]
+        out = [b"".join(map(ids, t.lower().split())) if p else b"" for t, p in zip(texts, plain)]
+        odd = [i for i, p in enumerate(plain) if not p]
+        for i, found in zip(odd, self.whole([texts[i] for i in odd])):
+            out[i] = found
         return out
 
 
+def word_ids(path: str) -> WordIds:
+    """The one WordIds of this Python worker, which serves many tasks."""
+    held = sys.modules.setdefault("tickloom_word_ids", types.ModuleType("tickloom_word_ids"))
+    if path not in vars(held):
+        vars(held)[path] = WordIds(path)
+    return vars(held)[path]
+
+
 def pieces(docs: DataFrame, doc_id: str, text: str, tokenizer: str, capacity: int) -> DataFrame:
     """(doc_id, piece, length, ids_crc32): a row for each piece of a document."""
     end = np.array([END_ID], "<u4").tobytes()
 
     def make():
-        ids_of = WordIds(tokenizer)
+        ids_of = word_ids(tokenizer)
 
         def work(texts: list[str]) -> list[list]:
             lengths, sums = [], []
