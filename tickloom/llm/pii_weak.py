@@ -194,6 +194,13 @@ def features() -> Column:
     return array_to_vector(F.array(*cells))
 
 
+def odds(weights: list[float], start: float) -> Column:
+    """The classifier's log odds as a column over ``features``.  Scoring with the
+    fitted model itself would send its summary, and with it the session, to the tasks."""
+    cells = vector_to_array("features")
+    return F.lit(start) + sum((F.lit(w) * cells[i] for i, w in enumerate(weights)), F.lit(0.0))
+
+
 def accepted(found: DataFrame) -> list[int]:
     """The keys (kind * 2**PATTERN_BITS + pattern) that the final classifier takes for
     personal data, of all that occur."""
@@ -208,7 +215,7 @@ def accepted(found: DataFrame) -> list[int]:
             F.struct(F.lit(0.0).alias("label"), (F.col("n") * (1 - F.col("p"))).alias("w")))).alias("x")).select("features", "x.label", "x.w")
         total = rows.agg(F.sum("w")).first()[0]
         model = LogisticRegression(weightCol="w", regParam=1e-3, maxIter=50).fit(rows.withColumn("w", F.col("w") / total + 1e-9))
-        sure = model.transform(soft).where(vector_to_array("probability")[1] >= SURE)
+        sure = soft.where(odds(model.coefficients.toArray().tolist(), model.intercept) >= math.log(SURE / (1 - SURE)))
         return [r.kind << PATTERN_BITS | r.pattern for r in sure.select("kind", "pattern").collect()]
     finally:
         patterns.unpersist()
