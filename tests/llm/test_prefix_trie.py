@@ -107,3 +107,13 @@ def test_whole_table(spark):
     rows = [tuple(r) for r in df.select("conv_id", "turn", "role", "text").collect()]
     got = sorted((tuple(r) for r in pt.op12_prefix_trie(spark, "/root/testdata/sf0.001").collect()), key=key)
     assert got == sorted(brute(rows), key=key)
+
+
+def test_sql_twin(spark):
+    import duckdb
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    rows = made(random.Random(11), 60, 9, 3) + [(c, 0, "user", "gone") for c in (-5, 901, 902, 903)] + [(None, 0, "user", "x")]
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    columns = "conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256"
+    assert sorted(con.execute(f"SELECT {columns} FROM ({pt.OP12_SQL})").fetchall(), key=key) == sorted(brute(rows), key=key)

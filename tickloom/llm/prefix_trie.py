@@ -279,3 +279,39 @@ def trie(spark: SparkSession, turns: DataFrame, conv_id: str = "conv_id", turn:
 
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie(spark, table(spark, sf_dir, "conversations"))
+
+
+def trie_sql(family: int = FAMILY, most_shared: int = MOST_SHARED) -> str:
+    """The same trie in DuckDB SQL: every prefix of every conversation, and every pair of a node and what is above it."""
+    crc = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+      lambda a, b: list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"""
+    return f"""
+    WITH t AS (
+      SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS t,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS p
+      FROM conversations WHERE conv_id IS NOT NULL),
+    n AS MATERIALIZED (SELECT c, c - c % {family} AS base, count(*) AS n, {crc} % {most_shared} AS h FROM t GROUP BY c),
+    turns AS (
+      SELECT n.c, t.p AS d, t.r, t.t FROM n JOIN t ON t.c = n.base AND t.p <= n.h
+      UNION ALL SELECT n.c, least(n.h, coalesce(b.n, 0)) + t.p - n.h, t.r, t.t FROM n JOIN t ON t.c = n.c AND t.p > n.h LEFT JOIN n b ON b.c = n.base),
+    paths AS MATERIALIZED (
+      SELECT n.c, coalesce(list(struct_pack(r := r, t := t) ORDER BY d) FILTER (d IS NOT NULL), []) AS path
+      FROM n LEFT JOIN turns USING (c) GROUP BY n.c),
+    prefixes AS MATERIALIZED (
+      SELECT c, d, len(path) = d AS ends, CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(path[d].t, '[^\\x20\\x09-\\x0D]+')) END AS w,
+             sha256(array_to_string(list_transform(path[1:d], lambda x: concat(len(x.r), ':', x.r, len(x.t), ':', x.t)), '')) AS k
+      FROM (SELECT c, path, unnest(range(0, len(path) + 1)) AS d FROM paths)),
+    linked AS (SELECT *, lag(k) OVER (PARTITION BY c ORDER BY d) AS up FROM prefixes),
+    nodes AS MATERIALIZED (
+      SELECT k, any_value(d) AS d, any_value(up) AS up, any_value(w) AS w, min(c) AS m, count(*) AS n,
+             sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS e FROM linked GROUP BY k),
+    children AS MATERIALIZED (SELECT up AS k, count(*) AS n_children FROM nodes WHERE up IS NOT NULL GROUP BY up),
+    below AS (
+      SELECT a.k, CAST(sum((u.n - 1) * u.w) AS BIGINT) AS saved, count(*) FILTER (h.k IS NULL) AS leaves
+      FROM nodes u JOIN prefixes a ON a.c = u.m AND a.d <= u.d LEFT JOIN children h ON h.k = u.k GROUP BY a.k)
+    SELECT x.m AS conv_id, x.d AS depth, p.m AS parent_conv_id, x.n AS n_convs, coalesce(n_children, 0) AS n_children, leaves AS n_leaves,
+           saved AS saved_tokens, x.e AS ends_sha256
+    FROM nodes x JOIN below USING (k) LEFT JOIN children USING (k) LEFT JOIN nodes p ON p.k = x.up"""
+
+
+OP12_SQL = trie_sql()

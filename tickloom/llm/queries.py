@@ -9,7 +9,7 @@ from .decontaminate_cgk import op1_decontaminate_cgk
 from .html_tree import op8_html_tree
 from .packing import op6_pattern_packing
 from .pii_weak import op2_pii_weak
-from .prefix_trie import op12_prefix_trie
+from .prefix_trie import OP12_SQL, op12_prefix_trie
 from .quality_zstd import op9_quality_zstd
 from .secret_structure import op5_secret_structure
 from .simhash_pivots import op10_simhash_pivots
@@ -35,4 +35,5 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op4_topk_nra": OP4_SQL,
     "op11_centroid_eenns": OP11_SQL,
+    "op12_prefix_trie": OP12_SQL,
 }
