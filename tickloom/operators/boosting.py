@@ -7,6 +7,9 @@ sums reach the driver, which picks the splits.  Gradients and hessians are integ
 (multiples of 1 / UNIT), so the sums, and with them the trees, are the same however
 Spark partitions the rows or adds them up.
 
+Where one block could hold all rows (ROWS, some megabytes of bins) the sums of one task
+are the whole sums, so that task goes on from level to level by itself.
+
 A task needs the margins of its rows so far.  They follow from the trees and the block
 alone, so any executor can work them out again; a Python worker remembers the margins
 of the blocks it has seen and only adds the trees that are new to it.
@@ -23,7 +26,7 @@ import math
 import sys
 import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,13 +37,16 @@ from pyspark.sql import types as T
 from ..session import scratch_path
 
 UNIT = 1 << 24
-ROWS = 1 << 15        # of a block
+ROWS = 1 << 16        # of a block; so few rows in all are boosted by one task, which then has all sums at hand
+TASK_ROWS = 1 << 20   # that a task adds up where there are more tasks than processors
 ACCURACY = 100_000    # of the quantile sketch: ranks are exact to rows / ACCURACY
 FLAT = 32             # partitions whose sums go straight to the driver; more are added up in a tree
 
-# A tree is four arrays over its nodes, numbered 1, 2, 3, ...; the children of i are 2i and 2i + 1.
-# feature -1 marks a leaf.
-Tree = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]     # feature, bin, value, gain
+MODEL = "tree int, node int, feature string, threshold double, value double, gain double, cover double"
+
+# Trees are arrays by tree and node.  Nodes are numbered 1, 2, 3, ...; the children of i are 2i and
+# 2i + 1.  Feature -1 marks a leaf.
+Trees = tuple[np.ndarray, np.ndarray, np.ndarray]                # feature, bin, value
 
 
 def bin_edges(df: DataFrame, cols: list[str], bins: int) -> list[list[float]]:
@@ -86,9 +92,8 @@ def blocks(spark: SparkSession, df: DataFrame, cols: list[str], label: str, edge
     return spark.read.parquet(path)
 
 
-def walk(tree: Tree, bins: np.ndarray, depth: int) -> np.ndarray:
-    """The node that each row reaches."""
-    feature, cut = tree[:2]
+def walk(feature: np.ndarray, cut: np.ndarray, bins: np.ndarray, depth: int) -> np.ndarray:
+    """The node of a tree that each row reaches."""
     node, rows = np.ones(len(bins), np.int64), np.arange(len(bins))
     for _ in range(depth):
         f = feature[node]
@@ -102,33 +107,33 @@ def gradients(margin: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.rint((p - y) * UNIT), np.rint(p * (1 - p) * UNIT)
 
 
-def margins(fit: str, block: str, bins: np.ndarray, trees: list[Tree], depth: int) -> np.ndarray:
+def margins(fit: str, block: str, bins: np.ndarray, trees: Trees, depth: int) -> np.ndarray:
     """Of a block's rows after ``trees``; what this Python worker knows of them is not worked out again."""
     held = vars(sys.modules.setdefault("tickloom_margins", types.ModuleType("tickloom_margins")))
     if held.get("fit") != fit:
         held.update(fit=fit, known={})
     n, margin = held["known"].get(block, (0, np.zeros(len(bins))))
-    for tree in trees[n:]:
-        margin = margin + tree[2][walk(tree, bins, depth)]
-    held["known"][block] = (len(trees), margin)
+    for feature, cut, value in zip(*(x[n:] for x in trees)):
+        margin = margin + value[walk(feature, cut, bins, depth)]
+    held["known"][block] = (len(trees[0]), margin)
     return margin
 
 
-def level_sums(rows: Iterator[tuple], fit: str, n_features: int, n_bins: int, trees: list[Tree], now: Tree, level: int, depth: int) -> np.ndarray:
-    """(2, nodes of the level, features, bins): the gradients and hessians of the rows."""
+def level_sums(rows: Iterator[tuple], fit: str, n_features: int, n_bins: int, trees: Trees, level: int, depth: int) -> np.ndarray:
+    """(2, nodes of the level, features, bins): the gradients and hessians of the rows by the last tree's nodes."""
     first = 1 << level
-    total = np.zeros((2, first, n_features, n_bins), np.int64)
+    size = first * n_features * n_bins
+    total = np.zeros((2, size), np.int64)
+    done, now = tuple(x[:-1] for x in trees), (trees[0][-1], trees[1][-1])
     for block, bins, labels in rows:
         y = np.frombuffer(labels, np.uint8)
         bins = np.frombuffer(bins, np.uint8).reshape(len(y), n_features)
-        node = walk(now, bins, level) - first
-        live = node >= 0
-        stats = gradients(margins(fit, block, bins, trees, depth), y)
-        for j in range(n_features):
-            at = node[live] * n_bins + bins[live, j]
-            for s in range(2):
-                total[s, :, j] += np.bincount(at, stats[s][live], first * n_bins).reshape(first, n_bins).astype(np.int64)
-    return total
+        node = walk(*now, bins, level) - first
+        live = np.flatnonzero(node >= 0)
+        at = ((node[live, None] * n_features + np.arange(n_features)) * n_bins + bins[live]).ravel()
+        for s, x in enumerate(gradients(margins(fit, block, bins, done, depth), y)):
+            total[s] += np.bincount(at, np.repeat(x[live], n_features), size).astype(np.int64)
+    return total.reshape(2, first, n_features, n_bins)
 
 
 def best_splits(total: np.ndarray, l2: float, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -144,48 +149,63 @@ def best_splits(total: np.ndarray, l2: float, least: float) -> tuple[np.ndarray,
     return flat[np.arange(len(flat)), at], at // gain.shape[2], at % gain.shape[2], sums
 
 
+def boost(sums: Callable[[Trees, int], np.ndarray], rounds: int, depth: int, step: float, l2: float, least: float) -> tuple[np.ndarray, ...]:
+    """(feature, bin, value, gain, hessian) by tree and node.  ``sums(trees, level)`` gives the histograms of a level of the last tree."""
+    size = 2 << depth
+    feature, cut = np.full((rounds, size), -1, np.int16), np.zeros((rounds, size), np.uint8)
+    value, gains, cover = (np.zeros((rounds, size)) for _ in range(3))
+    for t in range(rounds):
+        for level in range(depth):
+            total = sums((feature[:t + 1], cut[:t + 1], value[:t + 1]), level)
+            gain, best, at, both = best_splits(total, l2, least)
+            grew = False
+            for i, node in enumerate(range(1 << level, 2 << level)):
+                if level == 0 or feature[t, node >> 1] >= 0:
+                    value[t, node], cover[t, node] = -step * both[i, 0] / (both[i, 1] + l2), both[i, 1]
+                    if gain[i] > 1e-9:
+                        feature[t, node], cut[t, node], gains[t, node], grew = best[i], at[i], gain[i], True
+                        left = total[:, i, best[i], :at[i] + 1].sum(axis=1) / UNIT
+                        for child, (g, h) in ((2 * node, left), (2 * node + 1, both[i] - left)):
+                            value[t, child], cover[t, child] = -step * g / (h + l2), h
+            if not grew:
+                break
+    return feature, cut, value, gains, cover
+
+
 def fit(spark: SparkSession, df: DataFrame, cols: list[str], label: str = "target_direction", rounds: int = 200, depth: int = 6,
         step: float = 0.01, bins: int = 64, l2: float = 1.0, least: float = 1.0) -> DataFrame:
-    """The fitted trees as a table (tree, node, feature, threshold, value, gain), a row for each node; of leaves,
-    feature is null.  ``least`` is the least hessian of a child.  A table without rows gives no trees."""
+    """The fitted trees as a table (tree, node, feature, threshold, value, gain, cover), a row for each node; of leaves,
+    feature is null; cover is the hessian of the rows that reach the node.  ``least`` is the least hessian of a child.  A table without rows gives no trees."""
     edges = bin_edges(df, cols, bins)
     stored = blocks(spark, df, cols, label, edges)
-    n = stored.count()
-    held = stored.repartition(max(1, min(n, 4 * spark.sparkContext.defaultParallelism))).rdd.map(tuple).persist() if n else None
-    name, n_features, trees = uuid.uuid4().hex, len(cols), []
-    try:
-        for _ in range(rounds if n else 0):
-            size = 2 << depth
-            now: Tree = (np.full(size, -1, np.int64), np.zeros(size, np.int64), np.zeros(size), np.zeros(size))
-            for level in range(depth):
-                def run(rows, level=level, now=now, trees=tuple(trees)):
-                    yield level_sums(rows, name, n_features, bins, list(trees), now, level, depth)
-                sums = held.mapPartitions(run)
-                total = sum(sums.collect()) if held.getNumPartitions() <= FLAT else sums.treeReduce(np.add)
-                gain, feature, cut, both = best_splits(total, l2, least)
-                first, grew = 1 << level, False
-                for i in range(first):
-                    node = first + i
-                    if level == 0 or now[0][node >> 1] >= 0:
-                        now[2][node] = -step * both[i, 0] / (both[i, 1] + l2)
-                        if gain[i] > 1e-9:
-                            now[0][node], now[1][node], now[3][node], grew = feature[i], cut[i], gain[i], True
-                            left = total[:, i, feature[i], :cut[i] + 1].sum(axis=1) / UNIT
-                            for child, (g, h) in ((2 * node, left), (2 * node + 1, both[i] - left)):
-                                now[2][child] = -step * g / (h + l2)
-                if not grew:
-                    break
-            trees.append(now)
-    finally:
-        if held is not None:
+    n, total = stored.select(F.count(F.lit(1)), F.coalesce(F.sum(F.length("labels")), F.lit(0))).first()
+    name, n_features = uuid.uuid4().hex, len(cols)
+    if total <= ROWS:
+        def alone(rows):
+            held = list(rows)                                            # at most ROWS rows in all
+            yield boost(lambda trees, level: level_sums(held, name, n_features, bins, trees, level, depth), rounds, depth, step, l2, least)
+        found = stored.coalesce(1).rdd.map(tuple).mapPartitions(alone).collect()[0] if n else boost(None, 0, depth, step, l2, least)
+    else:
+        tasks = min(n, max(spark.sparkContext.defaultParallelism, -(-total // TASK_ROWS)))
+        held = stored.repartition(tasks).rdd.map(tuple).persist()
+
+        def together(trees, level):
+            def run(rows):
+                yield level_sums(rows, name, n_features, bins, trees, level, depth)
+            sums = held.mapPartitions(run)
+            return sum(sums.collect()) if tasks <= FLAT else sums.treeReduce(np.add)
+        try:
+            found = boost(together, rounds, depth, step, l2, least)
+        finally:
             held.unpersist()
     rows = []
-    for t, (feature, cut, value, gain) in enumerate(trees):
+    for t, (feature, cut, value, gain, cover) in enumerate(zip(*found)):
         for node in range(1, len(feature)):
             if node == 1 or feature[node >> 1] >= 0:
                 f = int(feature[node])
-                rows.append((t, node, cols[f] if f >= 0 else None, edges[f][cut[node]] if f >= 0 else None, float(value[node]), float(gain[node])))
-    return spark.createDataFrame(rows, "tree int, node int, feature string, threshold double, value double, gain double")
+                split = (cols[f], edges[f][cut[node]]) if f >= 0 else (None, None)
+                rows.append((t, node, *split, float(value[node]), float(gain[node]), float(cover[node])))
+    return spark.createDataFrame(rows, MODEL)
 
 
 def store(trees: DataFrame, path: str) -> str:
