@@ -58,7 +58,8 @@ def _row(cols: list[str]) -> Column:
 def train_sequences(df: DataFrame, cols: list[str], length: int = 5, label: str = "target_direction",
                     keys=("symbol",)) -> DataFrame:
     """H5: rows i-L .. i-1 -> label of row i, built inside each split, so the
-    first L rows of every split have no sequence.  Splits with <= L rows are an error."""
+    first L rows of every split have no sequence.  Splits with <= L rows are an error.
+    ``df`` is read twice (once for that check): give a stored table."""
     sizes = df.groupBy(*keys, "split").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= length)
     if not sizes.isEmpty():
         raise ValueError(f"a split has no more rows than the sequence length {length}")

@@ -6,7 +6,7 @@ Each oracle query names the fixture views it needs; ``with_views`` emits them
 
 from __future__ import annotations
 
-from ..sources.fixtures import DAYS, FADE, FIRST_DAY, GRID_LONG, GRID_SHORT, ORGANISATIONS, PERIODS, REPEATED, SEGMENTS, SIGNAL_MODELS
+from ..sources.fixtures import DAYS, FIRST_DAY, GRID_LONG, GRID_SHORT, ORGANISATIONS, PERIODS, SEGMENTS, SIGNAL_MODELS
 
 _SEG_LIST = ", ".join(f"'{s}'" for s in SEGMENTS)
 _MODELS = ", ".join(f"('{m}', {k})" for m, k in SIGNAL_MODELS)
@@ -45,9 +45,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                           - (SELECT min(m) FROM (SELECT avg(o_totalprice) AS m FROM orders GROUP BY CAST(o_orderdate AS DATE)))), 4) AS close
         FROM (SELECT CAST(o_orderdate AS DATE) AS date, avg(o_totalprice) AS m FROM orders GROUP BY 1) d"""),
     "news": ((), "SELECT CAST(ts AS DATE) AS date," + _NEWS_COLS + "events"),
-    "company_news": ((), f"SELECT DATE '{FIRST_DAY}' + CAST((event_id * {REPEATED} + k) % {DAYS} AS INTEGER) AS date,"
-                     + _NEWS_COLS + f"(SELECT event_id, user_id, k, value * (1 + (k + 1) * CAST({FADE!r} AS DOUBLE)) AS value"
-                     f" FROM events CROSS JOIN range({REPEATED}) r(k))"),
+    "company_news": ((), f"SELECT DATE '{FIRST_DAY}' + CAST(event_id % {DAYS} AS INTEGER) AS date," + _NEWS_COLS + "events"),
     "organisations": ((), f"SELECT * FROM (VALUES {_ORGS}) t(symbol, org)"),
     "posts": ((), f"""
         SELECT d.doc_id AS id,

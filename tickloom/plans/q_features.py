@@ -10,6 +10,7 @@ from ..functions.exprs import rnd
 from ..operators import features as fe
 from ..operators import indicators as ind
 from ..operators.contracts import ENGINEERED_FEATURES, validate
+from ..session import materialize
 from ..sources import fixtures as fx
 from .oracle import dbl, with_views
 from .q_indicators import IND_CTES
@@ -85,7 +86,7 @@ def q_e9(spark, sf):
 @register("e9_contract_checked", train_sql(out_sql(["symbol", "date", "close", "VIX"], "feat")))
 def q_e9c(spark, sf):
     """E9 followed by the B1/B2 contract (strict) of the engineered-features row model."""
-    t = train_table(spark, sf).withColumn("sentiment_score", F.lit(None).cast("double"))
+    t = materialize(spark, train_table(spark, sf).withColumn("sentiment_score", F.lit(None).cast("double")))
     validate(t, ENGINEERED_FEATURES, "engineered_features")
     return out_spark(t, ["symbol", "date", "close", "VIX"])
 

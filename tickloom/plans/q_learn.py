@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.exprs import rnd as R
+from ..operators import attribution as at
 from ..operators import backtest as bt
+from ..operators import boosting as bo
 from ..operators import features as fe
 from ..operators import learnset as ls
 from ..operators import models as md
+from ..operators import oversample as ov
+from ..operators import sequence_model as sq
 from ..session import materialize, scratch_path
 from ..sources import fixtures as fx
 from .oracle import dbl, with_views
@@ -81,8 +85,10 @@ SEQ5 = ("seq5", f"""
 
 
 def seq5(spark, sf):
-    """Training sequences over all features, standardised with the train statistics."""
-    return ls.train_sequences(ls.standardise(split_table(spark, sf), SEQ_COLS), SEQ_COLS, 5)
+    """Training sequences over all features, standardised with the train statistics.
+    The feature table is stored once; the statistics, the check of the splits and the sequences read that."""
+    whole = materialize(spark, split_table(spark, sf).select("symbol", "date", "split", "target_direction", *SEQ_COLS))
+    return ls.train_sequences(ls.standardise(whole, SEQ_COLS), SEQ_COLS, 5)
 
 
 def steps(seqs, keys):
@@ -164,47 +170,73 @@ FEATURES = fe.SCORING_FEATURES
 TRADITIONAL = [c for c in FEATURES if c not in fe.SOCIAL_COLS]
 
 
-FIT_PARTITIONS = 8
+FIT_ROWS = 100_000          # of a partition that a fit reads
 _STORED: dict[tuple, str] = {}
 
 
+def placed(spark, df):
+    """``df`` stored in the shared checkpoint folder, as fitting makes many passes over it, in partitions of about
+    FIT_ROWS rows: placed by a hash of the key and sorted (tree fitting samples by partition, so the model
+    depends on this placement, not on how the rows were made)."""
+    once = materialize(spark, df)
+    n = max(8, -(-once.count() // FIT_ROWS))
+    return materialize(spark, once.repartition(n, "symbol", "date").sortWithinPartitions("symbol", "date"))
+
+
 def learn_frame(spark, sf):
-    """Split + class weights, placed by a hash of the key and sorted in each of
-    FIT_PARTITIONS partitions (tree fitting samples by partition, so the model
-    depends on this placement, not on how the rows were made), and stored once
-    in the shared checkpoint folder: fitting makes many passes over it."""
-    df = ls.class_weights(split_table(spark, sf)).repartition(FIT_PARTITIONS, "symbol", "date")
-    return materialize(spark, df.sortWithinPartitions("symbol", "date"))
+    """Split + class weights (H1, H3)."""
+    return placed(spark, ls.class_weights(materialize(spark, split_table(spark, sf))))
 
 
-def stored_model(spark, sf, name, pipeline, frame=learn_frame):
-    """Path of a model fitted on the train split: fitted and stored by the first
-    query of the session that asks for it, loaded by the others."""
+def stored_once(spark, sf, name, make):
+    """Path of a table or model: made and stored by the first query of the session that asks for it, read by the others."""
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _STORED:
         path = scratch_path(spark, "model")
-        pipeline.fit(frame(spark, sf).where(F.col("split") == "train")).write().overwrite().save(path)
+        make(path)
         _STORED[key] = path
     return _STORED[key]
 
 
+def stored_forest(spark, sf, name, pipeline):
+    def make(path):
+        train = learn_frame(spark, sf).where(F.col("split") == "train")
+        pipeline.fit(train).write().overwrite().save(path)
+    return stored_once(spark, sf, name, make)
+
+
+def forest_path(spark, sf):
+    return stored_forest(spark, sf, "forest", md.random_forest(FEATURES))
+
+
 def forest(spark, sf):
-    return md.load(stored_model(spark, sf, "forest", md.random_forest(FEATURES)))
+    return md.load(forest_path(spark, sf))
+
+
+def beats_constant(p):
+    """Whether the mean log loss of the scored rows is below that of the best constant score: no wrong fit does that."""
+    up = F.col("target_direction") == 1
+    inside = F.least(F.greatest("p_up", F.lit(1e-12)), F.lit(1 - 1e-12))
+    share = F.avg(up.cast("int"))
+    constant = -(share * F.log(share) + (1 - share) * F.log(1 - share))
+    return p.select(F.avg(-F.when(up, F.log(inside)).otherwise(F.log(1 - inside))) < constant).scalar()
 
 
 def checked(p):
-    """What any run must show of a prediction: its key and label, a probability,
-    and the class that the probability says."""
+    """What any right fit must show: a key and label, a probability, the class that the probability says, and
+    scores of unseen rows that are better than any constant."""
     ok = F.col("p_up").between(0, 1)
     agrees = F.col("predicted_signal") == (F.col("p_up") > 0.5).cast("int")
-    return p.select("symbol", "date", "target_direction", ok.alias("is_probability"), agrees.alias("class_agrees"))
+    return p.select("symbol", "date", "target_direction", ok.alias("is_probability"), agrees.alias("class_agrees"),
+                    beats_constant(p).alias("beats_constant"))
 
 
 def test_rows(spark, sf):
-    return split_table(spark, sf).where(F.col("split") == "test")
+    return materialize(spark, split_table(spark, sf).where(F.col("split") == "test"))
 
 
-CHECKED_SQL = learn_sql("SELECT symbol, date, target_direction, true AS is_probability, true AS class_agrees FROM sp WHERE split = 'test'")
+CHECKED_SQL = learn_sql("""SELECT symbol, date, target_direction, true AS is_probability, true AS class_agrees, true AS beats_constant
+    FROM sp WHERE split = 'test'""")
 
 
 @register("i1_random_forest", CHECKED_SQL)
@@ -215,48 +247,205 @@ def q_i1(spark, sf):
 @register("i1_random_forest_exploratory", CHECKED_SQL)
 def q_i1b(spark, sf):
     """The exploratory forest: 200 trees, depth 10, at least 2 rows per leaf."""
-    path = stored_model(spark, sf, "exploratory", md.random_forest(FEATURES, num_trees=200, max_depth=10, min_leaf=2))
+    path = stored_forest(spark, sf, "exploratory", md.random_forest(FEATURES, num_trees=200, max_depth=10, min_leaf=2))
     return checked(md.predict(md.load(path), test_rows(spark, sf)))
 
 
 def scaled_frame(spark, sf):
-    df = ls.standardise(ls.class_weights(split_table(spark, sf)), FEATURES).repartition(FIT_PARTITIONS, "symbol", "date")
-    return materialize(spark, df.sortWithinPartitions("symbol", "date"))
+    """H2 of the split table, stored once a session: features by the train statistics."""
+    def make(path):
+        whole = materialize(spark, split_table(spark, sf).select("symbol", "date", "split", "target_direction", *FEATURES))
+        ls.standardise(whole, FEATURES).write.parquet(path)
+    return spark.read.parquet(stored_once(spark, sf, "scaled", make))
 
 
-def boosted(spark, sf, name, cols):
-    return md.load(stored_model(spark, sf, name, md.boosted_trees(cols), scaled_frame))
+def scaled_test_rows(spark, sf):
+    return scaled_frame(spark, sf).where(F.col("split") == "test")
+
+
+def balanced(spark, sf, cols):
+    """The train rows and the synthetic ones that make the classes of each symbol equal (H4)."""
+    train = scaled_frame(spark, sf).where(F.col("split") == "train")
+    synthetic = ov.oversample(spark, train, cols)
+    return train.select("symbol", "target_direction", *cols).unionByName(synthetic.select("symbol", "target_direction", *cols))
+
+
+# The train rows standardised, the drawn rows, their neighbours and the rows between.
+_FEATURE_LIST = ", ".join(f"CAST({c} AS DOUBLE)" for c in FEATURES)
+_MD5 = "CAST('0x' || substr(md5({}), 1, 13) AS BIGINT)"
+_DRAWN = "'42:' || symbol || ':' || target_direction || ':' || strftime(date, '%Y-%m-%d')"
+H4_CTES = [
+    ("scaled", _standard_sql(FEATURES, "sp", "WHERE split = 'train'")),
+    ("tr", f"SELECT symbol, date, target_direction, [{_FEATURE_LIST}] AS x FROM scaled WHERE split = 'train'"),
+    ("lacking", """SELECT symbol, target_direction, n, max(n) OVER (PARTITION BY symbol) - n AS lack
+                   FROM (SELECT symbol, target_direction, count(*) AS n FROM tr GROUP BY 1, 2)"""),
+    ("base", f"""SELECT tr.*, n, CAST(floor(lack / n) AS BIGINT) + CASE WHEN row_number() OVER (
+                        PARTITION BY symbol, target_direction ORDER BY {_MD5.format(_DRAWN)}, date) <= lack % n THEN 1 ELSE 0 END AS drawn
+                 FROM tr JOIN lacking USING (symbol, target_direction) WHERE lack > 0"""),
+    ("near", """SELECT b.symbol, b.target_direction, b.date, c.date AS neighbour_date, c.x AS y, row_number() OVER (
+                       PARTITION BY b.symbol, b.target_direction, b.date
+                       ORDER BY round(list_sum(list_transform(list_zip(b.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) * 1e9) / 1e9, c.date) AS place
+                FROM base b JOIN tr c ON b.symbol = c.symbol AND b.target_direction = c.target_direction AND b.date <> c.date WHERE b.drawn > 0"""),
+    ("copied", f"""SELECT *, {_MD5.format(_DRAWN + " || ':' || copy || ':n'")} % least(5, n - 1) + 1 AS place,
+                          ({_MD5.format(_DRAWN + " || ':' || copy || ':u'")} + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
+                   FROM (SELECT *, unnest(range(1, drawn + 1)) AS copy FROM base)"""),
+    ("synthetic", """SELECT c.symbol, c.target_direction, c.date, CAST(c.copy AS INTEGER) AS copy, k.neighbour_date, c.u,
+                            list_transform(list_zip(c.x, k.y), lambda z: z[1] + c.u * (z[2] - z[1])) AS x
+                     FROM copied c JOIN near k USING (symbol, target_direction, date, place)"""),
+    ("balanced", "SELECT target_direction, x FROM tr UNION ALL SELECT target_direction, x FROM synthetic"),
+]
 
 
-def scaled_test_rows(spark, sf):
-    return ls.standardise(split_table(spark, sf), FEATURES).where(F.col("split") == "test")
+@register("h4_oversampling", learn_sql(
+    "SELECT symbol, target_direction, date, copy, neighbour_date, round(u, 9) AS u, "
+    + ", ".join(f"round(x[{FEATURES.index(c) + 1}], 6) AS {c}" for c in SHOWN) + " FROM synthetic", H4_CTES))
+def q_h4(spark, sf):
+    """The synthetic rows of the smaller class of each symbol: which row, which neighbour, how far, and some features."""
+    s = ov.oversample(spark, scaled_frame(spark, sf).where(F.col("split") == "train"), FEATURES)
+    return s.select("symbol", "target_direction", "date", "copy", F.col("neighbour_day").alias("neighbour_date"), R("u", 9).alias("u"),
+                    *[R(c, 6).alias(c) for c in SHOWN])
+
+
+@register("h4_class_balance", learn_sql("""
+    SELECT symbol, target_direction, count(*) AS rows FROM (
+      SELECT symbol, target_direction FROM tr UNION ALL SELECT symbol, target_direction FROM synthetic) GROUP BY 1, 2""", H4_CTES))
+def q_h4b(spark, sf):
+    return balanced(spark, sf, FEATURES).groupBy("symbol", "target_direction").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def boosted(spark, sf, name, cols):
+    """200 rounds on the balanced rows, stored as a table of nodes."""
+    return spark.read.parquet(stored_once(spark, sf, name, lambda path: bo.store(bo.fit(spark, balanced(spark, sf, cols), cols), path)))
 
 
 @register("i2_boosted_trees", CHECKED_SQL)
 def q_i2(spark, sf):
-    """200 rounds with balanced class weights (in place of synthetic minority rows)."""
-    return checked(md.predict(boosted(spark, sf, "boosted", FEATURES), scaled_test_rows(spark, sf)))
+    return checked(bo.predict(boosted(spark, sf, "boosted", FEATURES), scaled_test_rows(spark, sf), FEATURES))
+
+
+# One round of depth 2 in SQL: bins at the quantiles, histograms of gradients, the split with the most gain.
+BINS = 16
+_NAMES = ", ".join(f"'{c}'" for c in FEATURES)
+I2_CTES = H4_CTES + [
+    ("cell", """SELECT r, CASE WHEN target_direction = 1 THEN -0.5::DOUBLE ELSE 0.5::DOUBLE END AS g, unnest(x) AS v, unnest(range(len(x))) AS f
+                FROM (SELECT *, row_number() OVER () AS r FROM balanced)"""),
+    ("edge", f"""SELECT DISTINCT f, v FROM (SELECT f, v, row_number() OVER (PARTITION BY f ORDER BY v) AS rn, count(*) OVER (PARTITION BY f) AS n FROM cell)
+                 JOIN range(1, {BINS}) q(q) ON rn = ceil(q / {BINS}.0::DOUBLE * n)"""),
+    ("bin", "SELECT r, g, f, v, (SELECT count(*) FROM edge e WHERE e.f = c.f AND e.v < c.v) AS b FROM cell c"),
+]
+
+
+def _level_sql(level: int) -> list[tuple[str, str]]:
+    """The nodes of a level (rows by node) and each one's best split."""
+    rows = ("SELECT DISTINCT r, g, 1 AS node FROM bin" if level == 0 else
+            f"SELECT n.r, n.g, 2 * n.node + CASE WHEN c.b > s.b THEN 1 ELSE 0 END AS node FROM node{level - 1} n JOIN split{level - 1} s USING (node) "
+            "JOIN bin c ON c.r = n.r AND c.f = s.f")
+    return [
+        (f"node{level}", rows),
+        (f"hist{level}", f"""SELECT node, f, b, sum(sum(g)) OVER w AS gl, sum(sum(h)) OVER w AS hl
+            FROM (SELECT n.node, c.f, c.b, n.g, 0.25::DOUBLE AS h FROM node{level} n JOIN bin c USING (r)) GROUP BY node, f, b
+            WINDOW w AS (PARTITION BY node, f ORDER BY b ROWS UNBOUNDED PRECEDING)"""),
+        (f"whole{level}", f"SELECT node, sum(g) AS g, sum(0.25::DOUBLE) AS h FROM node{level} GROUP BY node"),
+        (f"split{level}", f"""SELECT node, f, b FROM (SELECT node, f, b, row_number() OVER (PARTITION BY node ORDER BY
+              gl ** 2 / (hl + 1) + (g - gl) ** 2 / (h - hl + 1) - g ** 2 / (h + 1) DESC, f, b) AS place
+            FROM hist{level} JOIN whole{level} USING (node) WHERE hl >= 1 AND h - hl >= 1) WHERE place = 1"""),
+    ]
+
+
+_TREE_CTES = I2_CTES + _level_sql(0) + _level_sql(1) + _level_sql(2)[:1] + _level_sql(2)[2:3]
+_THRESHOLD = "(SELECT list(e.v ORDER BY e.v) FROM edge e WHERE e.f = s.f)[s.b + 1]"
+
+
+@register("i2_first_tree", learn_sql(f"""
+    SELECT CAST(node AS INTEGER) AS node, f AS feature, round(threshold, 6) AS threshold, round(-0.01::DOUBLE * g / (h + 1), 9) AS value FROM (
+      SELECT node, ([{_NAMES}])[s.f + 1] AS f, {_THRESHOLD} AS threshold, g, h FROM whole0 JOIN split0 s USING (node)
+      UNION ALL SELECT node, ([{_NAMES}])[s.f + 1], {_THRESHOLD}, g, h FROM whole1 JOIN split1 s USING (node)
+      UNION ALL SELECT node, NULL, NULL, g, h FROM whole2)""", _TREE_CTES))
+def q_i2b(spark, sf):
+    """The first tree of a booster on the balanced rows, down to depth 2: SQL fits the same tree."""
+    m = bo.fit(spark, balanced(spark, sf, FEATURES), FEATURES, rounds=1, depth=2, bins=BINS)
+    return m.select("node", "feature", R("threshold", 6).alias("threshold"), R("value", 9).alias("value"))
 
 
 @register("i3_sentiment_variants", learn_sql("""
-    SELECT family, variant, count(*) AS rows, true AS in_range FROM sp
+    SELECT family, variant, count(*) AS rows, true AS in_range, true AS beats_majority FROM sp
     CROSS JOIN (VALUES ('forest'), ('boosted')) f(family) CROSS JOIN (VALUES ('with_sentiment'), ('traditional')) v(variant)
     WHERE split = 'test' GROUP BY 1, 2"""))
 def q_i3(spark, sf):
     """Both families with and without the sentiment columns, scored on the test rows."""
-    out = None
+    out, plain, scaled = None, test_rows(spark, sf), scaled_test_rows(spark, sf)
     for variant, cols in (("with_sentiment", FEATURES), ("traditional", TRADITIONAL)):
-        f = forest(spark, sf) if cols is FEATURES else md.load(
-            stored_model(spark, sf, "forest traditional", md.random_forest(cols)))
+        f = forest(spark, sf) if cols is FEATURES else md.load(stored_forest(spark, sf, "forest traditional", md.random_forest(cols)))
         b = boosted(spark, sf, "boosted" if cols is FEATURES else "boosted traditional", cols)
-        for family, model, rows in (("forest", f, test_rows(spark, sf)), ("boosted", b, scaled_test_rows(spark, sf))):
-            p = md.predict(model, rows).withColumns({"family": F.lit(family), "variant": F.lit(variant)})
+        for family, p in (("forest", md.predict(f, plain)), ("boosted", bo.predict(b, scaled, cols))):
+            p = p.select("target_direction", "predicted_signal", F.lit(family).alias("family"), F.lit(variant).alias("variant"))
             m = md.classification_metrics(p, keys=("family", "variant"), label="target_direction")
-            n = p.groupBy("family", "variant").agg(F.count(F.lit(1)).alias("rows"))
+            up = F.avg("target_direction")
+            n = p.groupBy("family", "variant").agg(F.count(F.lit(1)).alias("rows"), F.greatest(up, 1 - up).alias("majority"))
             m = m.join(n, ["family", "variant"])
             out = m if out is None else out.unionByName(m)
     fine = F.col("accuracy").between(0, 1) & F.col("precision").between(0, 1) & F.col("f1").between(0, 1)
-    return out.select("family", "variant", "rows", fine.alias("in_range"))
+    return out.select("family", "variant", "rows", fine.alias("in_range"), (F.col("accuracy") > F.col("majority")).alias("beats_majority"))
+
+
+@register("i_tree_attributions", learn_sql("""
+    SELECT family, symbol, date, 30 AS features, true AS adds_up FROM sp CROSS JOIN (VALUES ('forest'), ('boosted')) f(family) WHERE split = 'test'"""))
+def q_attributions(spark, sf):
+    """What each feature adds to each test row's score, by the stored trees themselves; with the base value that makes
+    the score which the model gives, an independent walk of the trees."""
+    f_nodes = at.forest_nodes(spark, forest_path(spark, sf), FEATURES)
+    b_model = boosted(spark, sf, "boosted", FEATURES)
+    f_rows = md.predict(forest(spark, sf), test_rows(spark, sf)).withColumn("score", F.col("p_up"))
+    b_rows = bo.predict(b_model, scaled_test_rows(spark, sf), FEATURES).withColumn("score", F.log(F.col("p_up") / (1 - F.col("p_up"))))
+    out = None
+    for family, nodes, rows in (("forest", f_nodes, f_rows), ("boosted", at.booster_nodes(b_model), b_rows)):
+        a = at.attributions(nodes, rows.select("symbol", "date", "score", *FEATURES), FEATURES)
+        total = F.aggregate("attributions", F.col("base_value"), lambda x, y: x + y)
+        a = a.select(F.lit(family).alias("family"), "symbol", "date", F.size("attributions").alias("features"),
+                     (F.abs(total - F.col("score")) < 1e-8).alias("adds_up"))
+        out = a if out is None else out.unionByName(a)
+    return out
+
+
+# --------------------------------------------------------------- sequence classifier
+
+HIDDEN, EPOCHS = (32, 16), 8          # smaller than the operator's own sizes, so that the bench can fit it
+
+
+def sequence_net(spark, sf):
+    """(net, whether training lowered the loss), stored by the first query that asks for it."""
+    def make(path):
+        net, history = sq.fit(spark, ls.validation_tail(seq5(spark, sf)), len(SEQ_COLS), hidden=HIDDEN, epochs=EPOCHS, batch=512, rate=0.005)
+        sq.store(spark, net, f"{path}/net")
+        spark.createDataFrame(history, "epoch int, fit_loss double, val_loss double, rate double").write.parquet(f"{path}/history")
+    path = stored_once(spark, sf, "sequence", make)
+    h = spark.read.parquet(f"{path}/history").agg(F.min_by("fit_loss", "epoch").alias("first"), F.min("fit_loss").alias("least")).first()
+    return sq.load(spark, f"{path}/net"), h.least < h.first
+
+
+@register("i_sequence_classifier", with_views(["bars", "vix", "posts"], """
+    SELECT symbol, date, true AS is_probability, true AS class_agrees, true AS learnt FROM scored""", SCORE_CTES))
+def q_sequences(spark, sf):
+    """The sequence classifier fitted on H5 with the H7 tail, scoring the padded sequences of H6."""
+    net, learnt = sequence_net(spark, sf)
+    p = sq.predict(net, seq10(spark, sf, scaled=True).select("symbol", "date", "seq"))
+    agrees = F.col("predicted_signal") == (F.col("p_up") > 0.5).cast("int")
+    return p.select("symbol", "date", F.col("p_up").between(0, 1).alias("is_probability"), agrees.alias("class_agrees"), F.lit(learnt).alias("learnt"))
+
+
+@register("i12_sequence_attributions", learn_sql(f"""
+    SELECT symbol, date, {len(SEQ_COLS)} AS features, true AS adds_up FROM seq5 WHERE split = 'test'""", [SEQ5]))
+def q_i12b(spark, sf):
+    """I12 on the classifier's attributions: one value for each feature, the mean over the steps; times the steps they
+    add up to what the row's log odds differ from the background's."""
+    net, _ = sequence_net(spark, sf)
+    seqs = materialize(spark, seq5(spark, sf))
+    base = sq.background(seqs.where(F.col("split") == "train"), ["symbol", "date"], len(SEQ_COLS), 4)
+    a = sq.attributions(net, seqs.where(F.col("split") == "test"), base)
+    a = a.withColumn("mean", md.collapse_steps("attributions", len(SEQ_COLS)))
+    total = F.aggregate("mean", F.lit(0.0), lambda x, y: x + y) * F.size("attributions")
+    near = F.abs(total - (F.col("log_odds") - F.col("base_value"))) < 0.02 + 0.02 * F.abs(F.col("log_odds") - F.col("base_value"))
+    return a.select("symbol", "date", F.size("mean").alias("features"), near.alias("adds_up"))
 
 
 def signals(spark, sf):

@@ -101,17 +101,13 @@ def _news_rows(e: DataFrame, day: Column) -> DataFrame:
 # The organisation that stands for each symbol in the news table.
 ORGANISATIONS = [(s, f"Org {k}") for k, s in enumerate(SEGMENTS)]
 # The bars' calendar, over which the company news is spread.
-FIRST_DAY, DAYS, REPEATED, FADE = "1995-01-01", 2405, 24, 0.00027182818
+FIRST_DAY, DAYS = "1995-01-01", 2405
 
 
 def company_news(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The news rows spread over the bars' calendar: each event is reported on
-    REPEATED days in a row."""
+    """The news rows spread over the bars' calendar: each event once, on the day its id falls on."""
     e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
-    e = e.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(REPEATED - 1)))).withColumn(
-        "value", F.col("value") * (1 + (F.col("k") + 1) * FADE))
-    day = F.date_add(F.lit(FIRST_DAY).cast("date"), ((F.col("event_id") * REPEATED + F.col("k")) % DAYS).cast("int"))
-    return _news_rows(e, day)
+    return _news_rows(e, F.date_add(F.lit(FIRST_DAY).cast("date"), (F.col("event_id") % DAYS).cast("int")))
 
 
 def _two(c: Column) -> Column:
