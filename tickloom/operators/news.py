@@ -8,14 +8,23 @@ parameter, and the daily aggregate is a partial + final hash aggregate.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Positions inside the comma-separated tone field and the names
-# of the daily aggregates built from them.
+# Positions inside the comma-separated tone field, and what the day's row holds of
+# them: (column, aggregate, field).
 TONE_FIELDS = {"tone": 0, "pos": 1, "neg": 2, "polarity": 3, "selfref": 4}
-DAILY_COLS = ["volumen_noticias", "sentimiento_promedio", "puntuacion_positiva", "puntuacion_negativa",
-              "polaridad_promedio", "volatilidad_sentimiento", "uso_primera_persona"]
+DAILY_TONE = [
+    ("sentimiento_promedio", F.avg, "tone"),
+    ("puntuacion_positiva", F.avg, "pos"),
+    ("puntuacion_negativa", F.avg, "neg"),
+    ("polaridad_promedio", F.avg, "polarity"),
+    ("volatilidad_sentimiento", F.stddev_samp, "tone"),
+    ("uso_primera_persona", F.avg, "selfref"),
+]
+DAILY_COLS = ["volumen_noticias", *[name for name, _, _ in DAILY_TONE]]
 
 
 def tone_part(v: str | Column, i: int) -> Column:
@@ -48,35 +57,16 @@ def daily_tone(news: DataFrame, digits: int = 3, keys=()) -> DataFrame:
     def rd(c):
         m = float(10 ** digits)
         return F.round(c * m, 0) / m
-    t = news.select(*keys, "date", *[tone_part("v2tone", i).alias(n) for n, i in TONE_FIELDS.items()])
-    return t.groupBy(*keys, F.col("date").alias("fecha")).agg(
-        F.count(F.lit(1)).alias("volumen_noticias"),
-        rd(F.avg("tone")).alias("sentimiento_promedio"),
-        rd(F.avg("pos")).alias("puntuacion_positiva"),
-        rd(F.avg("neg")).alias("puntuacion_negativa"),
-        rd(F.avg("polarity")).alias("polaridad_promedio"),
-        rd(F.stddev_samp("tone")).alias("volatilidad_sentimiento"),
-        rd(F.avg("selfref")).alias("uso_primera_persona"))
-
-
-def news_sql(digits: int = 3) -> str:
-    """the daily aggregate as SQL text, from the same field table."""
-    def rd(x):
-        return f"round({x} * {10 ** digits}) / {10 ** digits}"
-    part = {n: f"try_cast(get(split(v2tone, ','), {i}) AS double)" for n, i in TONE_FIELDS.items()}
-    means = dict(zip(["sentimiento_promedio", "puntuacion_positiva", "puntuacion_negativa", "polaridad_promedio"], part))
-    cols = [f"{rd(f'avg({part[f]})')} AS {name}" for name, f in means.items()]
-    cols += [f"{rd(f'stddev_samp({part['tone']})')} AS volatilidad_sentimiento", f"{rd(f'avg({part['selfref']})')} AS uso_primera_persona"]
-    return ("SELECT date AS fecha, count(1) AS volumen_noticias, " + ", ".join(cols) + " FROM {news}"
-            " WHERE date BETWEEN :start_date AND :end_date AND lower(orgs) LIKE :keyword AND translationinfo IS NULL GROUP BY fecha")
+    t = news.select(*keys, F.col("date").alias("fecha"), *[tone_part("v2tone", i).alias(n) for n, i in TONE_FIELDS.items()])
+    return t.groupBy(*keys, "fecha").agg(F.count(F.lit(1)).alias(DAILY_COLS[0]),
+                                         *[rd(aggregate(field)).alias(name) for name, aggregate, field in DAILY_TONE])
 
 
 def daily_tone_sql(spark: SparkSession, news: DataFrame, start: str, end: str, keyword: str) -> DataFrame:
-    """F2 with bound parameters: the same query as SQL text with named args."""
-    import datetime as dt
-    return spark.sql(news_sql(), news=news,
-                     args={"start_date": dt.date.fromisoformat(start), "end_date": dt.date.fromisoformat(end),
-                           "keyword": f"%{keyword.lower()}%"})
+    """the rows chosen by SQL text with bound parameters, then the same daily aggregate."""
+    chosen = spark.sql("SELECT * FROM {news} WHERE date BETWEEN :first AND :last AND lower(orgs) LIKE :name AND translationinfo IS NULL",
+                       news=news, args={"first": dt.date.fromisoformat(start), "last": dt.date.fromisoformat(end), "name": f"%{keyword.lower()}%"})
+    return daily_tone(chosen)
 
 
 def silver(raw: DataFrame) -> DataFrame:
