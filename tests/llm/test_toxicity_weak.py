@@ -102,3 +102,57 @@ def test_score_does_not_depend_on_the_sample_of_each_class(spark):
     for most in (200, 4000):
         score = tw.scores(docs.limit(1), tw.fit(spark, docs, labels, most=most)).first().score
         assert abs(score - 1 / 9) < 0.03, (most, score)
+
+
+def test_targets_come_from_estimated_accuracies_and_correlations():
+    rnd = np.random.default_rng(4)
+    n = 4000
+    y = (rnd.random(n) < 0.3).astype(int)
+    fire = lambda hit, false: np.where(y == 1, rnd.random(n) < hit, rnd.random(n) < false).astype(np.uint8)
+    a = fire(0.8, 0.2)
+    echoes = [np.where(rnd.random(n) < 0.97, a, 1 - a).astype(np.uint8) for _ in range(3)]
+    votes = np.stack([a, *echoes, fire(0.9, 0.02), fire(0.5, 0.4)], axis=1)
+    times, known = np.ones(n), np.where(rnd.random(n) < 0.2, y, -1)
+
+    def scored(change):
+        model = tw.LabelModel(votes, known)
+        change(model)
+        return tw.logistic.predict(votes.astype(float), tw.classifier(votes, model, times))
+
+    def alike(model):                     # one accuracy for all voters
+        model.parent[:] = -1
+        model.rate = np.broadcast_to(model.rate.mean(axis=2, keepdims=True), model.rate.shape).copy()
+
+    def apart(model):                     # no correlations
+        model.parent[:] = -1
+        model.learn(votes, np.where(known >= 0, known, 0.0), (known >= 0).astype(float))
+    whole, same_rates, no_tree = scored(lambda m: None), scored(alike), scored(apart)
+    assert ((whole >= 0.3) != (same_rates >= 0.3)).mean() > 0.02 and np.abs(whole - no_tree).max() > 0.05
+    right = lambda p: ((p >= 0.5) == y).mean()
+    assert right(whole) >= max(right(same_rates), right(no_tree)) - 0.005
+    # a label anchors the model; the classifier's target of its row is the posterior all the same
+    model = tw.LabelModel(votes, known)
+    assert np.abs(model.posterior(votes)[known >= 0] - known[known >= 0]).max() > 0.1
+
+
+def test_hot_id_counts_once_and_texts_are_whole(spark):
+    rows = corpus(500) + [(7001, "clean words " * 9000 + " grubbel" * 3, 1)] * 300
+    docs, labels = frames(spark, rows)
+    sample, _ = tw.sample(spark, docs, labels.dropDuplicates(["doc_id"]), "doc_id", "text", "toxic", 6000)
+    assert sample.where("length(text) > 50000").count() <= 1
+    may = {i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert sample.count() == len(may)
+
+
+def test_lexicon_against_plain_counts(spark):
+    rows = [(y, t) for _, t, y in corpus(300, 5)] + [(1, "x" * 70 + " end")] * 5
+    df = spark.createDataFrame(rows, "y int, text string")
+    n = {c: sum(y == c for y, _ in rows) for c in (0, 1)}
+    want = []
+    for term in set().union(*[tw.terms_of(t) for _, t in rows]):
+        k, clean = (sum(y == c and term in tw.terms_of(t) for y, t in rows) for c in (1, 0))
+        odds = np.log((k + 0.5) / (n[1] + 1)) - np.log((clean + 0.5) / (n[0] + 1))
+        if k >= tw.LEAST_TEXTS and odds > 2:
+            want.append((-round(float(odds * np.log1p(k)), 9), -len(term), term, k))
+    got = [(t, k) for t, _, k in tw.candidates(df, 160)]
+    assert got == [(t, k) for _, _, t, k in sorted(want)[:3200]] and ("=" + "x" * 70, 5) in got

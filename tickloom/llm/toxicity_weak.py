@@ -7,36 +7,41 @@ and accounts for correlated voters: each voter may depend on one other voter
 besides the label (the tree with the largest conditional mutual information).
 Expectation-maximisation estimates these rates; texts with a label anchor it,
 texts without one take the posterior.  A linear classifier is then trained on
-the posterior labels, and scores every text.
+the posterior labels, of all rows alike, and scores every text.
 
 The lexicon is found in the labelled texts: the terms that speak most strongly
 for a toxic text.  Fitting takes a bounded sample: SAMPLE labelled rows of each
 class and SAMPLE rows without a label that may be learnt from, the ones with the
-smallest hash of their id, PART characters of each at most for lexicon counts
-and votes.  Label model and classifier weigh each class by its number of rows in
-the whole table, so a score means the same at every size.  Scoring covers the
-whole of every text.
+smallest hash of their id, each id once (the smallest of its texts).  Their whole
+texts are read by Spark tasks; only counts of terms, the best candidates' toxic rows, and
+counted patterns of votes reach the driver.  Label model and classifier weigh each
+class by its number of rows in the whole table, so a score means the same at every
+size.  Scoring covers the whole of every text.
 
 Defined cases: null and empty texts have no vote and get the score of that;
 null labels or ids take no part in fitting; without labels of both classes every
-score is 0; repeated rows are scored each; further columns are ignored.
+score is 0; repeated rows are scored each, and a repeated id counts once in the
+sample; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import logistic
-from .common import class_weights, fresh, map_texts, same, table, train_rows
+from .common import class_weights, fresh, in_small_batches, map_texts, same, table, train_rows, written
 
-SAMPLE = 4000        # rows of each class, and without a label
-PART = 10_000        # characters of a sampled text
+SAMPLE = 6000        # rows of each class, and without a label
 TERMS = 160          # of the lexicon, at most
 LEAST_TEXTS = 4      # toxic sample texts that a term must occur in
 BEGINNINGS = range(3, 9)   # lengths of beginnings of words
@@ -55,41 +60,66 @@ PATTERNS = [re.compile(p) for p in (
 def terms_of(text: str) -> set[str]:
     """Words (``=word``) and beginnings of words (``beg``) of a text, lower case."""
     words = set(WORD.findall(text.lower()))
-    found = {"=" + w for w in words if len(w) <= 40}
+    found = {"=" + w for w in words}
     for n in BEGINNINGS:
         found.update(w[:n] for w in words if len(w) >= n)
     return found
 
 
-def lexicon(texts: list[str], toxic: np.ndarray, most: int = TERMS) -> dict[str, float]:
-    """Terms that set toxic texts apart, with their log odds.  Terms are taken by
-    how many toxic texts they cover that terms before them did not, weighed by
+def mapped(rows: DataFrame, schema: str, work: Callable[[Iterator[tuple[int, str]]], Iterator[tuple]]) -> DataFrame:
+    """What ``work`` makes of a task's (label, whole text) rows."""
+    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = work(pair for b in batches for pair in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+        while part := list(islice(made, 4096)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part), arrow)], schema=arrow)
+    return in_small_batches(rows.select("y", "text")).mapInArrow(run, schema)
+
+
+def candidates(rows: DataFrame, most: int) -> list[tuple[str, float, int]]:
+    """(term, log odds, toxic texts) of the terms that set toxic texts apart most, over the labelled rows (y, text)."""
+    def count(pairs):
+        counts = {1: Counter(), 0: Counter()}
+        for y, text in pairs:
+            counts[y].update(terms_of(text))
+        for term in counts[1].keys() | counts[0].keys():
+            yield term, counts[1][term], counts[0][term]
+    n = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
+    n1, n0 = max(1, n.get(1, 0)), max(1, n.get(0, 0))
+    terms = mapped(rows, "term string, k long, clean long", count).groupBy("term").agg(F.sum("k").alias("k"), F.sum("clean").alias("clean"))
+    odds = F.log((F.col("k") + 0.5) / (n1 + 1)) - F.log((F.col("clean") + 0.5) / (n0 + 1))
+    good = terms.where(F.col("k") >= LEAST_TEXTS).withColumn("odds", odds).where("odds > 2")
+    ranked = good.orderBy(F.desc(F.round(F.col("odds") * F.log1p("k"), 9)), F.desc(F.length("term")), "term").limit(20 * most)
+    return [(r.term, r.odds, r.k) for r in ranked.collect()]
+
+
+def lexicon(rows: DataFrame, most: int = TERMS) -> dict[str, float]:
+    """Terms that set toxic texts apart, with their log odds, over the labelled rows (y, text).  Terms are taken
+    by how many toxic texts they cover that terms before them did not, weighed by
     their odds, so that one frequent stem does not crowd out others."""
-    counts = {1: Counter(), 0: Counter()}
-    for t, y in zip(texts, toxic):
-        counts[int(y)].update(terms_of(t))
-    n1, n0 = max(1, int(toxic.sum())), max(1, int((1 - toxic).sum()))
-    odds = {}
-    for term, k in counts[1].items():
-        if k >= LEAST_TEXTS:
-            w = np.log((k + 0.5) / (n1 + 1)) - np.log((counts[0][term] + 0.5) / (n0 + 1))
-            if w > 2:
-                odds[term] = (float(w), k)
-    where: dict[str, list[int]] = {t: [] for t in odds}
-    for i in np.flatnonzero(toxic):
-        for term in terms_of(texts[i]):
-            if term in where:
-                where[term].append(int(i))
-    ranked = sorted(odds, key=lambda t: (-odds[t][0] * np.log1p(odds[t][1]), -len(t), t))[:20 * most]
-    seen = np.zeros(len(texts))
+    ranked = candidates(rows, most)
+    place = {term: i for i, (term, _, _) in enumerate(ranked)}
+
+    def mark(pairs):
+        for _, text in pairs:
+            if found := sorted(place[t] for t in terms_of(text) if t in place):
+                yield (found,)
+    toxic = [r.at for r in mapped(rows.where("y = 1"), "at array<int>", mark).orderBy("at").collect()]     # at most a class's sample
+    where: list[list[int]] = [[] for _ in ranked]
+    for i, found in enumerate(toxic):
+        for t in found:
+            where[t].append(i)
+    seen = np.zeros(len(toxic))
     chosen: dict[str, float] = {}
-    while ranked and len(chosen) < most:
-        gain = [odds[t][0] ** 2 * (0.6 ** seen[where[t]]).sum() for t in ranked]
+    left = list(range(len(ranked)))
+    while left and len(chosen) < most:
+        gain = [ranked[t][1] ** 2 * (0.6 ** seen[where[t]]).sum() for t in left]
         best = int(np.argmax(gain))
         if gain[best] < 1.0 * LEAST_TEXTS:
             break
-        t = ranked.pop(best)
-        chosen[t] = odds[t][0]
+        t = left.pop(best)
+        chosen[ranked[t][0]] = ranked[t][1]
         seen[where[t]] += 1
     return chosen
 
@@ -213,42 +243,49 @@ class LabelModel:
                 parent[at] = source[at]
 
 
-def sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, most: int) -> tuple[list[tuple[int, str]], dict[int, float]]:
-    """(label or -1, text) of a bounded sample of the rows that may be learnt from;
-    and what a row of each class counts for (rows without a label count once)."""
+def sample(spark: SparkSession, docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str,
+           most: int) -> tuple[DataFrame, dict[int, float]]:
+    """(y: label or -1, text) of a bounded sample of the rows that may be learnt from, stored once; and what a
+    row of each class counts for (rows without a label count once)."""
     may = F.col(doc_id).isNotNull() & train_rows(doc_id, FOLDS, HELD)
     marked = labels.where(may & F.col(label).isin(0, 1)).select(doc_id, F.col(label).cast("int").alias("y"), F.xxhash64(doc_id).alias("h"))
-    rest = (docs.where(may).select(doc_id).join(labels.where(F.col(label).isNotNull()).select(doc_id), doc_id, "left_anti")
+    rest = (docs.where(may).select(doc_id).join(labels.where(F.col(label).isNotNull()).select(doc_id), doc_id, "left_anti").distinct()
             .select(doc_id, F.lit(-1).alias("y"), F.xxhash64(doc_id).alias("h")))
     chosen = [df.orderBy("h", doc_id).limit(most) for df in (marked.where("y = 1"), marked.where("y = 0"), rest)]
     narrow = chosen[0].unionByName(chosen[1]).unionByName(chosen[2])
-    short = F.substring(F.coalesce(F.col(text), F.lit("")), 1, PART)
-    rows = docs.select(doc_id, short.alias("text")).join(F.broadcast(narrow), doc_id).select("h", "y", "text")   # 3 * most narrow rows
-    found = [(r.y, r.text) for r in sorted(rows.collect(), key=lambda r: (r.h, r.y, r.text))]
-    return found, {-1: 1.0, **class_weights(marked, "y", most)}
+    named = docs.select(doc_id, F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = named.join(F.broadcast(narrow), doc_id).groupBy(doc_id, "y").agg(F.min("text").alias("text"))      # 3 * most narrow rows
+    return written(spark, rows.select("y", "text"), "toxicity-sample"), {-1: 1.0, **class_weights(marked, "y", most)}
+
+
+def vote_patterns(rows: DataFrame, terms: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(votes, label, rows) of the distinct pairs of votes and label: no more than the sample has rows."""
+    def cast(pairs):
+        voters, seen = Voters(terms), Counter()                          # most texts share their votes
+        for y, text in pairs:
+            seen[voters(text).tobytes(), y] += 1
+        for (votes, y), n in seen.items():
+            yield votes, y, n
+    found = mapped(rows, "votes binary, y int, n long", cast).groupBy("votes", "y").agg(F.sum("n").alias("n")).orderBy("votes", "y").collect()
+    return np.array([np.frombuffer(r.votes, np.uint8) for r in found]), np.array([r.y for r in found]), np.array([r.n for r in found])
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
         label: str = "toxic", most: int = SAMPLE) -> tuple[list[str], np.ndarray] | None:
     """The lexicon and the weights of the linear classifier over its votes; None
     without labels of both classes."""
-    rows, weight = sample(docs, labels, doc_id, text, label, most)
-    known = np.array([y for y, _ in rows])
-    if not {0, 1} <= set(known.tolist()):
+    rows, weight = sample(spark, docs, labels, doc_id, text, label, most)
+    if rows.where("y >= 0").select("y").distinct().count() < 2:
         return None
-    anchored = np.flatnonzero(known >= 0)
-    terms = list(lexicon([rows[i][1] for i in anchored], known[anchored]))
-    voters = Voters(terms)
-    seen: Counter = Counter()                     # most texts share their votes
-    for y, t in rows:
-        seen[voters(t).tobytes(), y] += 1
-    votes = np.array([np.frombuffer(v, np.uint8) for v, _ in seen])
-    known, times = np.array([y for _, y in seen]), np.array([n * weight[y] for (_, y), n in seen.items()])
-    model = LabelModel(votes, known, times=times)
-    soft = np.where(known >= 0, known, model.posterior(votes))
-    labelled = times[known >= 0].sum()
-    share = (times[known == 1].sum() + 1) / (labelled + 2)
-    return terms, logistic.fit(votes.astype(float), soft, times * np.where(known >= 0, 1.0, share), ridge=0.5)
+    terms = list(lexicon(rows.where("y >= 0")))
+    votes, known, n = vote_patterns(rows, terms)
+    times = n * np.array([weight[y] for y in known.tolist()])
+    return terms, classifier(votes, LabelModel(votes, known, times=times), times)
+
+
+def classifier(votes: np.ndarray, model: LabelModel, times: np.ndarray) -> np.ndarray:
+    """The linear classifier that comes closest to the label model's posteriors."""
+    return logistic.fit(votes.astype(float), model.posterior(votes), times, ridge=0.5)
 
 
 def scores(docs: DataFrame, model: tuple[list[str], np.ndarray] | None, doc_id: str = "doc_id", text: str = "text",
