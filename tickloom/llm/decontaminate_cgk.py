@@ -6,24 +6,30 @@ moves on or stays, by a random bit of (``j``, word).  Sequences at a small edit
 distance walk together again soon after each edit, so their embeddings are at a
 small Hamming distance.  Bit sampling hashes an embedding by the words at SAMPLED
 random steps; this is repeated with new walks and steps as often as the target
-recall needs.  That number is measured, not guessed: copies of the items with
-EDITS of their words edited are hashed, and repetitions are added until RECALL
-of them meet their item.
+recall needs.  That number is measured, not guessed, and for each class of lengths by
+itself: copies of the class's passages with EDITS of their words edited are hashed, and
+repetitions are added until ENOUGH of them meet their passage, which leaves RECALL on
+other copies.  A class that does not get there in MOST_REPEATS repetitions is named in
+a warning.
 
-Windows have the size of the items: items are dealt into classes of similar
+Windows have the size of the passages: these are dealt into classes of similar
 length, and a window of a class is walked over that length.  Windows start at
-every ``stride``-th word of a document, and an item enters the index once for
+every ``stride``-th word of a document, and a passage enters the index once for
 each of its first ``stride`` words as start, so that some start always meets.
 Candidates are verified by exact edit distance over words, anywhere in the
-window; a document is contaminated by an item if at most DISTANCE of the item's
-words are edited.
+window.
 
-Items are broadcast in blocks of at most ITEM_BLOCK passages, one pass over the
-documents for each block; documents are never shuffled.
+One rule holds for all lengths: an item is found in a document if a stretch of PASSAGE
+of its words, or the whole of a shorter item, is in the document with at most DISTANCE
+of the stretch's words edited (rounded down, so stretches of fewer than five words are
+found as they are).  Stretches begin at every STEP-th word of the item and end at its end.
 
-Defined cases: null or empty texts and items match nothing; items of fewer than
-LEAST_WORDS words say too little and take no part; items longer than PASSAGE
-words are looked for in passages of that size, any of which counts; repeated
+Equal benchmark texts are looked for once.  Items are broadcast in blocks of at most
+ITEM_BLOCK passages, one pass over the documents for each block; where there are more
+blocks, each one's finds are stored and its index let go before the next is made.
+Documents are never shuffled.
+
+Defined cases: null or empty texts and items match nothing; repeated
 rows of documents are reported each; repeated items are reported by each id;
 ties between places go to the first; further columns are ignored.
 """
@@ -31,6 +37,7 @@ ties between places go to the first; further columns are ignored.
 from __future__ import annotations
 
 import random
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,11 +51,12 @@ from .common import fresh, in_small_batches, same, table, written
 SAMPLED = 3          # steps that make one hash
 EDITS = 0.2          # share of edited words at which the target recall holds: the largest that is accepted
 RECALL = 0.9
-MOST_REPEATS = 24
-DISTANCE = 0.2       # share of an item's words that may be edited
-LEAST_WORDS = 5
-PASSAGE = 128
-ITEM_BLOCK = 20_000
+ENOUGH, PROBES = 0.94, 300       # share of so many copies of a class that must be met
+MOST_REPEATS = 64
+DISTANCE = 0.2       # share of a stretch's words that may be edited
+LEAST_WORDS = 5      # from here on one word may be edited; shorter stretches are looked up as they are
+PASSAGE, STEP = 64, 16
+ITEM_BLOCK = 5000
 WORDS_AT_ONCE = 100_000
 CLASS_RATIO = 2.0    # lengths of a class differ by less than this factor
 WALK = 1.6           # steps for each word of a window; two would reach its end
@@ -146,20 +154,32 @@ def classes(lengths: np.ndarray) -> list[int]:
 class Index:
     """The hashes of a block of passages, for all repetitions."""
 
-    def __init__(self, ids: list, passages: list[np.ndarray], repeats: int | None = None):
+    def __init__(self, ids: list, passages: list[np.ndarray]):
         self.ids, self.passages = ids, passages
         size = np.array([len(p) for p in passages], np.int64)
-        self.low = classes(size)
-        klass = np.searchsorted(self.low, size, side="right") - 1
+        self.short = {n: self.sequences(np.flatnonzero(size == n), n) for n in sorted(set(size[size < LEAST_WORDS].tolist()))}
+        self.low = classes(size[size >= LEAST_WORDS])
+        klass = np.where(size >= LEAST_WORDS, np.searchsorted(self.low, size, side="right") - 1, -1)
         self.members = [np.flatnonzero(klass == c) for c in range(len(self.low))]
         self.stride = [max(1, a // 4) for a in self.low]
-        self.tables: list[list[tuple]] = []
-        wanted = repeats or MOST_REPEATS
-        probe = self.edited() if repeats is None else None
-        for r in range(wanted):
-            self.tables.append([self.table(Walk(r), c) for c in range(len(self.low))])
-            if probe is not None and self.recall(probe) >= RECALL:
-                break
+        self.tables: list[dict[int, tuple]] = []             # of each repetition, by class
+        probes = {c: self.edited(c, 11) for c in range(len(self.low))}
+        found: dict[int, set[int]] = {c: set() for c in probes}
+        while probes and len(self.tables) < MOST_REPEATS:
+            walk = Walk(len(self.tables))
+            self.tables.append({c: self.table(walk, c) for c in probes})
+            for c in list(probes):
+                found[c] |= self.met(probes[c], c, len(self.tables) - 1, found[c])
+                if len(found[c]) >= ENOUGH * len(probes[c]):
+                    del probes[c]
+        for c in probes:
+            warnings.warn(f"passages of {self.low[c]} words or more: recall {len(found[c]) / len(probes[c]):.2f} after {MOST_REPEATS} repetitions")
+
+    def sequences(self, members: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(keys, passages) of stretches of ``n`` words, sorted by key."""
+        key = sequence_keys(np.stack([self.passages[i] for i in members]), n)
+        order = np.argsort(key, kind="stable")
+        return key[order], members[order]
 
     def table(self, walk: Walk, c: int) -> tuple:
         """(slots of the words sampled first, these words, key of all sampled
@@ -188,39 +208,48 @@ class Index:
         slots[first & np.uint64(len(slots) - 1)] = True
         return slots, first, key[order], np.array(rows, np.int64)[order], np.array(offset, np.int64)[order]
 
-    def edited(self) -> list[tuple[int, np.ndarray]]:
-        """Passages with EDITS of their words replaced, dropped or added, in foreign surroundings."""
-        rnd, out = random.Random(11), []
-        some = rnd.sample(range(len(self.passages)), min(400, len(self.passages)))
-        for i in some:
+    def edited(self, c: int, seed: int) -> list[tuple[int, np.ndarray]]:
+        """PROBES copies of passages of a class with EDITS of their words replaced, dropped or added, in foreign surroundings."""
+        rnd, out = random.Random(seed), []
+        some = rnd.sample(self.members[c].tolist(), min(PROBES, len(self.members[c])))
+        for k in range(PROBES):
+            i = some[k % len(some)]
             words = self.passages[i].tolist()
-            for _ in range(max(1, round(EDITS * len(words)))):
-                k, what = rnd.randrange(len(words)), rnd.randrange(3)
+            for _ in range(max(1, int(EDITS * len(words)))):
+                at, what = rnd.randrange(len(words)), rnd.randrange(3)
                 new = [rnd.getrandbits(64)] if what != 1 else []
-                words[k:k + (what != 2)] = new
+                words[at:at + (what != 2)] = new
             around = [rnd.getrandbits(64) for _ in range(400)]
             out.append((i, np.array(around[:97 + i % 64] + words + around[200:], np.uint64)))
         return out
 
-    def recall(self, probe: list[tuple[int, np.ndarray]]) -> float:
-        """Share of ``probe`` that the last or an earlier repetition found."""
-        self.found = getattr(self, "found", set())
-        r = len(self.tables) - 1
-        left = [(k, i, w) for k, (i, w) in enumerate(probe) if k not in self.found]
-        if left:
-            text = np.concatenate([w for _, _, w in left])
-            owner = np.repeat([k for k, _, _ in left], [len(w) for _, _, w in left])
-            wanted = {k: i for k, i, _ in left}
-            for passage, place in self.candidates(text, r):
-                self.found.update(int(owner[max(p, 0)]) for i, p in zip(passage, place) if wanted[int(owner[max(p, 0)])] == i)
-        return len(self.found) / max(1, len(probe))
-
-    def candidates(self, words: np.ndarray, r: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(passage, place where it would begin) of the windows of ``words`` whose
+    def met(self, probes: list[tuple[int, np.ndarray]], c: int, r: int, known: set[int]) -> set[int]:
+        """Numbers of the probes not yet ``known`` that repetition ``r`` finds."""
+        left = [(k, i, w) for k, (i, w) in enumerate(probes) if k not in known]
+        if not left:
+            return set()
+        text = np.concatenate([w for _, _, w in left])
+        owner = np.repeat([k for k, _, _ in left], [len(w) for _, _, w in left])
+        wanted = {k: i for k, i, _ in left}
+        at = [(int(owner[max(p, 0)]), int(i)) for i, p in zip(*self.candidates(text, r, {c}))]
+        return {k for k, i in at if wanted[k] == i}
+
+    def recall(self, c: int, seed: int) -> float:
+        """Share of copies made with another seed that all repetitions of a class find."""
+        probes, found = self.edited(c, seed), set()
+        for r, tables in enumerate(self.tables):
+            if c in tables:
+                found |= self.met(probes, c, r, found)
+        return len(found) / len(probes)
+
+    def candidates(self, words: np.ndarray, r: int, only: set[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(passages, places where they would begin) of the windows of ``words`` whose
         hash of repetition ``r`` is that of a passage.  Walks whose first sampled
         word is first of no passage end there."""
-        walk, random_words = Walk(r), {}
-        for c, (slots, first, keys, rows, offset) in enumerate(self.tables[r]):
+        walk, random_words, out = Walk(r), {}, [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for c, (slots, first, keys, rows, offset) in self.tables[r].items():
+            if only and c not in only:
+                continue
             start = np.arange(0, len(words), self.stride[c], dtype=np.int64)
             pos, key, done = start, None, 0
             for s in walk.steps(self.low[c]):
@@ -237,7 +266,16 @@ class Index:
             hit = np.flatnonzero(hi > lo)
             n = (hi - lo)[hit]
             entry = np.repeat(lo[hit], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            yield rows[entry], np.repeat(start[hit], n) - offset[entry]
+            out.append((rows[entry], np.repeat(start[hit], n) - offset[entry]))
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def sequence_keys(words: np.ndarray, n: int) -> np.ndarray:
+    """One key for each row of ``n`` words."""
+    key = words[:, 0].copy()
+    for k in range(1, n):
+        key = mix(key ^ words[:, k]) + words[:, k]
+    return key
 
 
 def edit_distance(item: np.ndarray, window: np.ndarray, anchored: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -276,12 +314,14 @@ class Scan:
         if not len(h):
             return []
         edge = np.searchsorted(which, np.arange(len(texts) + 1))
-        found = {(int(i), int(p)) for r in range(len(self.index.tables)) for i, p in
-                 {*zip(*(np.concatenate(x).tolist() for x in zip(*self.index.candidates(h, r))))}}
+        found = {pair for r in range(len(self.index.tables)) for pair in zip(*(x.tolist() for x in self.index.candidates(h, r)))}
         by_size: dict[int, list[tuple[int, int]]] = {}
         for i, p in sorted(found):
             by_size.setdefault(len(self.index.passages[i]), []).append((i, p))
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        for i, p in self.as_they_are(h, which):
+            key, row = (int(which[p]), i), (0, int(first[p]), int(end[p + len(self.index.passages[i]) - 1]))
+            best[key] = min(row, best.get(key, row))
         for n, pairs in by_size.items():
             most = int(DISTANCE * n)
             for at in range(0, len(pairs), 4096):
@@ -305,18 +345,33 @@ class Scan:
                     best[d, i] = min(row, best.get((d, i), row))
         return [(*key, *row) for key, row in sorted(best.items())]
 
+    def as_they_are(self, h: np.ndarray, which: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(passage, place) of the passages of fewer than LEAST_WORDS words: the first place of each key in a text is enough."""
+        for n, (keys, members) in self.index.short.items():
+            if len(h) < n:
+                continue
+            rows = np.lib.stride_tricks.sliding_window_view(h, n)
+            at = np.flatnonzero(which[:len(rows)] == which[n - 1:])
+            key = sequence_keys(rows[at], n)
+            lo, hi = np.searchsorted(keys, key, side="left"), np.searchsorted(keys, key, side="right")
+            on = np.flatnonzero(hi > lo)
+            _, one = np.unique(np.stack((which[at[on]].astype(np.uint64), key[on])), axis=1, return_index=True)
+            for j in on[one].tolist():
+                for i in members[lo[j]:hi[j]].tolist():
+                    if (self.index.passages[i] == h[at[j]:at[j] + n]).all():
+                        yield i, int(at[j])
+
 
 def passages(ids: list, texts: list[str | None]) -> tuple[list, list[np.ndarray]]:
-    """The passages of items, by item id."""
+    """The stretches of items that are looked for, by item id."""
     h, which, _, _ = Words()([t or "" for t in texts])
     out_ids, out = [], []
     for k, item in enumerate(ids):
         words = h[np.searchsorted(which, k):np.searchsorted(which, k + 1)]
-        parts = max(1, -(-len(words) // PASSAGE))
-        for p in np.array_split(words, parts):
-            if len(p) >= LEAST_WORDS:
-                out_ids.append(item)
-                out.append(p)
+        last = max(0, len(words) - PASSAGE)
+        for a in sorted({*range(0, last, STEP), last}) if len(words) else ():
+            out_ids.append(item)
+            out.append(words[a:a + PASSAGE])
     return out_ids, out
 
 
@@ -325,24 +380,30 @@ def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, doc_id:
     """(doc_id, item_id, distance, n_words, similarity, first, end): the items
     found in each document, with the place (characters) of the closest find."""
     src = docs.select(F.col(doc_id), F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    schema = T.StructType([src.schema[doc_id], T.StructField(item_id, items.schema[item_id].dataType)]
+    schema = T.StructType([T.StructField("__doc", src.schema[doc_id].dataType), T.StructField("__item", T.StringType())]
                           + [T.StructField(c, T.LongType()) for c in ("distance", "n_words", "first", "end")])
-    found = spark.createDataFrame([], schema)
-    for index in indexes(items, item_id, item_text):
-        found = found.unionByName(scan(src, index, schema))
-    return found.withColumn("similarity", 1 - F.col("distance") / F.col("n_words"))
-
-
-def indexes(items: DataFrame, item_id: str, item_text: str) -> Iterator[Index]:
-    """An index for each block of items."""
-    words = F.size(F.split(F.coalesce(F.col(item_text), F.lit("")), r"\s+"))
-    total = items.agg(F.sum(F.ceil(words / PASSAGE)).alias("n")).first().n or 0
+    found = None
+    for index, alone in indexes(items, item_text):
+        part = scan(src, index, schema)
+        part = part if alone else written(spark, part, "decontaminate-found")
+        found = part if found is None else found.unionByName(part)
+    found = found if found is not None else spark.createDataFrame([], schema)
+    owners = items.select(F.sha2(F.col(item_text), 256).alias("__item"), F.col(item_id).alias("__owner"))
+    named = found.join(owners, "__item").withColumn("similarity", 1 - F.col("distance") / F.col("n_words"))
+    return named.select(F.col("__doc").alias(doc_id), F.col("__owner").alias(item_id), "distance", "n_words", "first", "end", "similarity")
+
+
+def indexes(items: DataFrame, item_text: str) -> Iterator[tuple[Index, bool]]:
+    """An index for each block of distinct item texts, known by their digests, and whether it is the only one."""
+    texts = items.where(F.col(item_text).isNotNull()).select(F.sha2(F.col(item_text), 256).alias("key"), F.col(item_text).alias("text")).distinct()
+    words = F.size(F.split("text", r"\W+|_"))
+    total = texts.agg(F.sum(F.ceil(words / STEP)).alias("n")).first().n or 0
     blocks = max(1, -(-int(total) // ITEM_BLOCK))
     for b in range(blocks):
-        rows = sorted(items.where(F.pmod(F.xxhash64(item_text), F.lit(blocks)) == b).select(item_id, item_text).collect(), key=repr)
-        ids, parts = passages([r[0] for r in rows], [r[1] for r in rows])
+        rows = texts.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b).orderBy("key").collect()        # about ITEM_BLOCK passages
+        ids, parts = passages([r.key for r in rows], [r.text for r in rows])
         if parts:
-            yield Index(ids, parts)
+            yield Index(ids, parts), blocks == 1
 
 
 def scan(src: DataFrame, index: Index, schema: T.StructType) -> DataFrame:
