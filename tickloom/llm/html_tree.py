@@ -8,7 +8,8 @@ messages go up from the leaves and down from the root and give each element's
 marginal; text whose element is content with probability one half or more is
 kept.  The potentials are counts over labelled pages: a page that marks its
 article (MARKERS) labels its own elements, those inside the mark and outside
-BOILERPLATE being content.  Pages without such a mark are extracted with the same
+boilerplate in it being content.  Only scripts, styles, form controls and the like
+(UNSEEN) are cut whatever the potentials say.  Pages without such a mark are extracted with the same
 potentials.  Fixed shares stand for what the labelled pages do not show.
 
 Fitting takes a bounded sample, the SAMPLE pages with the smallest hash of their
@@ -44,9 +45,8 @@ UNSEEN = frozenset("head title script style noscript template iframe object svg
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer
 form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul
 caption head title""".split())
-BOILERPLATE = frozenset("nav header footer aside form menu dialog fieldset".split()) | UNSEEN
+BOILERPLATE = frozenset("nav header footer aside form menu dialog fieldset".split())
 MARKERS = frozenset("article main".split())
-WHOLE = frozenset("html body article main".split())
 TEXT = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote figcaption caption table thead tbody tfoot tr td th".split())
 OUTER = frozenset("#page html body".split())
 # What an opening tag ends, up to the nearest of its holders.
@@ -58,6 +58,7 @@ POOR_WORDS = frozenset("""ad ads advert advertisement adverts advertising sponso
 notice alert warning popup modal overlay nav navbar navigation menu breadcrumb breadcrumbs pagination pager sidebar aside complementary
 related recommended share sharing social footer foot header masthead contentinfo comment comments reply replies respond disqus discussion
 subscribe newsletter signup login search form widget toolbar skip copyright legal disclaimer tags meta""".split())
+COMMENT_WORDS = frozenset("comment comments reply replies respond disqus discussion".split())
 GOOD_WORDS = frozenset("""article articlebody content body entry main post story text page prose hentry""".split())
 
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
@@ -200,18 +201,34 @@ def poor_words(names: frozenset[str]) -> bool:
 
 
 def cut_off(tree: Tree) -> list[bool]:
-    """Elements that are boilerplate by their markup, with all they hold.  They
-    take no part in the model: they are never content and send no message.  A
-    word of class, id or role cuts off no element that holds a marked article, and
-    no heading, paragraph or table in one; there it is a seen value like others."""
-    out, mark = [False] * len(tree.tag), marks(tree)
-    holds, inside = mark[:], inside_of(tree, mark)
-    for i in range(len(out) - 1, 0, -1):
-        holds[tree.parent[i]] |= holds[i]
+    """Elements whose text is not for readers, with all they hold.  They take no part in
+    the model: they are never content and send no message."""
+    out = [False] * len(tree.tag)
     for i in range(1, len(out)):
-        tag = tree.tag[i]
-        free = tag in WHOLE or holds[i] or inside[i] and tag in TEXT
-        out[i] = out[tree.parent[i]] or tag in BOILERPLATE or not free and poor_words(tree.names[i])
+        out[i] = out[tree.parent[i]] or tree.tag[i] in UNSEEN
+    return out
+
+
+def contexts(tree: Tree, chars: list[int]) -> list[str]:
+    """What each element stands in: the nearest of itself and the elements around it that marks an article, is
+    a boilerplate tag or names itself by class, id or role; ``most`` where boilerplate outside any mark holds half
+    of the page's text.  Headings, paragraphs and table parts are no surroundings.  Empty for none."""
+    out, mark = [""] * len(tree.tag), marks(tree)
+    inside = inside_of(tree, mark)
+    for i in range(1, len(out)):
+        tag, names = tree.tag[i], tree.names[i]
+        own = ""
+        if mark[i]:
+            own = "mark"
+        elif tag in BOILERPLATE:
+            own = tag
+        elif tag not in TEXT and tag not in OUTER and poor_words(names):
+            own = "comments" if names & COMMENT_WORDS else "poor"
+        elif tag in BLOCK and tag not in OUTER and names & GOOD_WORDS:
+            own = "good"
+        if own and own not in ("mark", "good", "comments") and not inside[i] and 2 * chars[i] >= chars[0]:
+            own = "most"
+        out[i] = own or out[tree.parent[i]]
     return out
 
 
@@ -241,16 +258,16 @@ def observed(tree: Tree) -> list[tuple[str, ...]]:
         chars[p] += chars[i]
         linked[p] += linked[i]
         marks[p] += marks[i]
-    out = []
+    out, around = [], contexts(tree, chars)
     for i in range(n):
         tag, names = tree.tag[i], tree.names[i]
         word = ["word=" + ("mixed" if names & POOR_WORDS else "good")] if names & GOOD_WORDS else ["word=poor"] if poor_words(names) else []
         if tag in OUTER:
             seen = ["tag=" + tag]
         elif tag not in BLOCK:
-            seen = word                           # inline elements go with their parent
+            seen = word + (["under=" + around[i]] if i and around[i] != around[tree.parent[i]] else [])      # inline elements go with their parent
         else:
-            seen = ["tag=" + tag, *word]
+            seen = ["tag=" + tag, *word] + (["under=" + around[i]] if around[i] else [])
             if chars[i]:
                 seen.append(f"linked={bucket(linked[i] / chars[i], (0.01, 0.3, 0.7))}")
             if chars[i] >= 80:                    # shorter text says little
@@ -263,20 +280,29 @@ def observed(tree: Tree) -> list[tuple[str, ...]]:
 
 
 def labels(tree: Tree) -> list[int] | None:
-    """States of a page that marks its article; None where it does not."""
-    mark = marks(tree)
-    return [int(a and not b) for a, b in zip(inside_of(tree, mark), cut_off(tree))] if any(mark) else None
+    """States of a page that marks its article: what is inside a mark, but for the boilerplate there and
+    what is cut off; None for a page without a mark."""
+    mark, cut = marks(tree), cut_off(tree)
+    if not any(mark):
+        return None
+    state = [0] * len(mark)
+    for i in range(1, len(mark)):
+        tag = tree.tag[i]
+        poor = cut[i] or tag in BOILERPLATE or tag not in TEXT and poor_words(tree.names[i])
+        state[i] = int(mark[i] and not cut[i] or state[tree.parent[i]] and not poor)
+    return state
 
 
 # Shares among (not content, content) that stand for what labelled pages do not show.
 PRIOR = {"word=good": (0.01, 0.2), "word=poor": (0.2, 0.02), "tag=article": (0.005, 0.2), "tag=main": (0.01, 0.2), "tag=p": (0.05, 0.3), "tag=h1": (0.04, 0.1),
          "tag=blockquote": (0.01, 0.05), "tag=pre": (0.01, 0.05), "tag=body": (0.3, 0.03), "tag=html": (0.3, 0.01), "linked=3": (0.3, 0.02),
          "linked=0": (0.2, 0.5), "paragraphs=0": (0.05, 0.2), "paragraphs=1": (0.02, 0.2), "size=1": (0.1, 0.3), "size=2": (0.05, 0.3),
-         "marks=0": (0.4, 0.1), "marks=2": (0.1, 0.4)}
+         "marks=0": (0.4, 0.1), "marks=2": (0.1, 0.4), "under=mark": (0.02, 0.6), "under=good": (0.05, 0.3), "under=most": (0.1, 0.1),
+         **{"under=" + v: (0.1, 0.0001) for v in ("comments", "poor", *sorted(BOILERPLATE))}}
 OTHERWISE = 0.02
 PRIOR_SHARE = 0.2
 EDGE_PRIOR = {(0, 0): 20.0, (0, 1): 4.0, (1, 0): 1.0, (1, 1): 20.0}
-STRONGEST = 4.0      # log odds that one seen value may give
+STRONGEST, AROUND = 4.0, 8.0      # log odds that one seen value, and that the surroundings, may give
 
 
 def counts(pages: list[str | None]) -> Counter:
@@ -290,7 +316,7 @@ def counts(pages: list[str | None]) -> Counter:
         poor = cut_off(tree)
         for i, seen in enumerate(observed(tree)):
             # what is cut off still shows how boilerplate text looks, but not where it stands
-            found.update((v, str(state[i])) for v in seen if not poor[i] or not v.startswith(("tag=", "word=")))
+            found.update((v, str(state[i])) for v in seen if not poor[i] or not v.startswith(("tag=", "word=", "under=")))
             if i and not poor[i]:
                 found[f"edge{state[tree.parent[i]]}", str(state[i])] += 1
     return found
@@ -316,7 +342,8 @@ class Model:
         for v in {v for v, _ in found if "=" in v} | set(PRIOR):
             p = [(1 - PRIOR_SHARE) * found.get((v, str(s)), 0) / max(1, total[v.split("=")[0], str(s)])
                  + PRIOR_SHARE * PRIOR.get(v, (OTHERWISE, OTHERWISE))[s] for s in (0, 1)]
-            self.node[v] = max(-STRONGEST, min(STRONGEST, math.log(p[1] / p[0])))
+            most = AROUND if v.startswith("under=") else STRONGEST
+            self.node[v] = max(-most, min(most, math.log(p[1] / p[0])))
 
     def marginals(self, tree: Tree) -> list[float]:
         """P(content) of each element by messages up and down the tree."""
