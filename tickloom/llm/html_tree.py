@@ -301,7 +301,7 @@ PRIOR = {"word=good": (0.01, 0.2), "word=poor": (0.2, 0.02), "tag=article": (0.0
          **{"under=" + v: (0.1, 0.0001) for v in ("comments", "poor", *sorted(BOILERPLATE))}}
 OTHERWISE = 0.02
 PRIOR_SHARE = 0.2
-EDGE_PRIOR = {(0, 0): 20.0, (0, 1): 4.0, (1, 0): 1.0, (1, 1): 20.0}
+EDGE_PRIOR = {(0, 0): 0.83, (0, 1): 0.17, (1, 0): 0.05, (1, 1): 0.95}
 STRONGEST, AROUND = 4.0, 8.0      # log odds that one seen value, and that the surroundings, may give
 
 
@@ -333,8 +333,9 @@ class Model:
     def __init__(self, found: dict[tuple[str, str], int]):
         self.edge = [[0.0, 0.0], [0.0, 0.0]]
         for up in (0, 1):
-            n = [found.get((f"edge{up}", str(s)), 0) + EDGE_PRIOR[up, s] for s in (0, 1)]
-            self.edge[up] = [x / sum(n) for x in n]
+            n = [found.get((f"edge{up}", str(s)), 0) for s in (0, 1)]
+            known = 1 - PRIOR_SHARE if sum(n) else 0.0
+            self.edge[up] = [known * x / max(1, sum(n)) + (1 - known) * EDGE_PRIOR[up, s] for s, x in enumerate(n)]
         total: Counter = Counter()
         for (v, state), n in found.items():
             total[v.split("=")[0], state] += n
