@@ -106,3 +106,12 @@ def test_main_path_has_no_python(spark):
         text = plan._jdf.queryExecution().toString()
         assert "Python" not in text and "Arrow" not in text and "Pandas" not in text
     assert pw.find(spark, df).select(F.sum("n_email")).first()[0] == 1
+
+
+def test_after_a_query_that_observes(spark):
+    """Once a session has observed anything, it cannot travel to a task: nothing of the classifier may hold it."""
+    from pyspark.sql import Observation
+    seen = Observation("rows")
+    spark.range(10).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 10}
+    assert pw.op2_pii_weak(spark, "/root/testdata/sf0.001").count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
