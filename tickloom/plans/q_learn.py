@@ -388,7 +388,7 @@ def q_i3(spark, sf):
     return out.select("family", "variant", "rows", fine.alias("in_range"), (F.col("accuracy") > F.col("majority")).alias("beats_majority"))
 
 
-@register("i_tree_attributions", learn_sql("""
+@register("i10_tree_attributions", learn_sql("""
     SELECT family, symbol, date, 30 AS features, true AS adds_up FROM sp CROSS JOIN (VALUES ('forest'), ('boosted')) f(family) WHERE split = 'test'"""))
 def q_attributions(spark, sf):
     """What each feature adds to each test row's score, by the stored trees themselves; with the base value that makes
@@ -423,7 +423,7 @@ def sequence_net(spark, sf):
     return sq.load(spark, f"{path}/net"), h.least < h.first
 
 
-@register("i_sequence_classifier", with_views(["bars", "vix", "posts"], """
+@register("i4_sequence_classifier", with_views(["bars", "vix", "posts"], """
     SELECT symbol, date, true AS is_probability, true AS class_agrees, true AS learnt FROM scored""", SCORE_CTES))
 def q_sequences(spark, sf):
     """The sequence classifier fitted on H5 with the H7 tail, scoring the padded sequences of H6."""
