@@ -62,7 +62,7 @@ def test_contaminated_documents_go(spark, stages):
     items = [" ".join(w) for w in (r.text.lower().split() for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect())]
     hold = {i for i, r in before.items() if any(x in " ".join(r.text.lower().replace("!!", "").split()) for x in items)}
     assert hold and not hold & set(after) and all(after[i] == before[i] for i in after)
-    index = next(decontaminate_cgk.indexes(spark.read.parquet(f"{SF}/benchmark.parquet"), "item_id", "text"))
+    index, _ = next(decontaminate_cgk.indexes(spark.read.parquet(f"{SF}/benchmark.parquet"), "text"))
     gone = set(before) - set(after)
     scan = decontaminate_cgk.Scan(index)
     assert all(scan([before[i].text]) for i in gone) and len(gone) <= len(hold) * 1.2 + 2
