@@ -29,7 +29,7 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -183,22 +183,21 @@ def estimate(patterns: DataFrame, rounds: int = ROUNDS) -> Column:
     return p
 
 
-def features() -> Column:
+def cells() -> list[Column]:
     """Of a row (kind, pattern): the kind, and by kind the votes and the shape."""
-    cells = []
+    out = []
     size = F.shiftright("pattern", VOTERS).bitwiseAND(F.lit(3))
     for k in range(len(KINDS)):
         mine = (F.col("kind") == k).cast("double")
-        cells += [mine, *[mine * vote(j) for j in range(VOTERS)], mine * vote(8), mine * vote(9)]
-        cells += [mine * (size == s).cast("double") for s in range(1, 4)]
-    return array_to_vector(F.array(*cells))
+        out += [mine, *[mine * vote(j) for j in range(VOTERS)], mine * vote(8), mine * vote(9)]
+        out += [mine * (size == s).cast("double") for s in range(1, 4)]
+    return out
 
 
 def odds(weights: list[float], start: float) -> Column:
-    """The classifier's log odds as a column over ``features``.  Scoring with the
+    """The classifier's log odds as a column over the cells.  Scoring with the
     fitted model itself would send its summary, and with it the session, to the tasks."""
-    cells = vector_to_array("features")
-    return F.lit(start) + sum((F.lit(w) * cells[i] for i, w in enumerate(weights)), F.lit(0.0))
+    return F.lit(start) + sum((F.lit(w) * c for w, c in zip(weights, cells()) if w), F.lit(0.0))
 
 
 def accepted(found: DataFrame) -> list[int]:
@@ -209,7 +208,7 @@ def accepted(found: DataFrame) -> list[int]:
     try:
         if patterns.isEmpty():
             return []
-        soft = patterns.withColumn("p", estimate(patterns)).withColumn("features", features())
+        soft = patterns.withColumn("p", estimate(patterns)).withColumn("features", array_to_vector(F.array(*cells())))
         rows = soft.select("features", F.explode(F.array(
             F.struct(F.lit(1.0).alias("label"), (F.col("n") * F.col("p")).alias("w")),
             F.struct(F.lit(0.0).alias("label"), (F.col("n") * (1 - F.col("p"))).alias("w")))).alias("x")).select("features", "x.label", "x.w")
