@@ -2,9 +2,9 @@
 
 Scoring (G1) is either the default word-list scorer, written entirely in
 Catalyst higher-order functions (no Python per row, no shuffle), or an injected
-batch scorer run with ``mapInPandas`` - loaded once per Python worker, fed in
-Arrow batches, with per-row failure isolation (G10).  Whole texts are scored;
-nothing is truncated.
+batch scorer run with ``mapInPandas``, fed in Arrow batches, with per-row failure
+isolation (G10).  ``loader`` makes the scorer once in each Python worker, which
+keeps it for its later tasks (``text_model`` holds a learnt one).
 """
 
 from __future__ import annotations
@@ -56,13 +56,23 @@ def lexicon_score(text: str | Column) -> Column:
     return F.struct(label.alias("label"), score.alias("score"), pos.alias("n_pos"), neg.alias("n_neg"))
 
 
+def _worker_scorer(loader) -> ScoreFn:
+    """The scorer that this Python worker keeps between its tasks, made if it is of another model.  It is kept
+    beside the interpreter's modules, as this module travels to each task by value."""
+    import sys
+    if getattr(sys, "_tickloom_scorer", (None,))[0] != loader.key:
+        sys._tickloom_scorer = (loader.key, loader())
+    return sys._tickloom_scorer[1]
+
+
 def score_texts(df: DataFrame, text: str = "text", scorer: ScoreFn | None = None,
-                batch_size: int = 16) -> DataFrame:
+                batch_size: int = 16, loader: Callable[[], ScoreFn] | None = None) -> DataFrame:
     """G1 + G10: append (label, score).  With ``scorer`` (a picklable callable
     taking a list of texts and returning (label, score) pairs) the work runs in
     ``mapInPandas``; a failing batch is retried row by row and a failing row
-    becomes ("ERROR", 0.0)."""
-    if scorer is None:
+    becomes ("ERROR", 0.0).  ``loader`` (picklable, with a ``key`` that names the
+    model) makes the scorer in the worker instead; if that fails, the task does."""
+    if scorer is None and loader is None:
         s = lexicon_score(text)
         return df.withColumns({"label": s["label"], "score": s["score"].cast("double")})
 
@@ -70,20 +80,21 @@ def score_texts(df: DataFrame, text: str = "text", scorer: ScoreFn | None = None
                                                   T.StructField("score", T.DoubleType())])
 
     def run(it):
+        score = scorer if loader is None else _worker_scorer(loader)
         for pdf in it:
             texts = pdf[text].fillna("").astype(str).tolist()
             labels, scores = [], []
             for i in range(0, len(texts), batch_size):
                 chunk = texts[i:i + batch_size]
                 try:
-                    res = list(scorer(chunk))
+                    res = list(score(chunk))
                     if len(res) != len(chunk):
                         raise ValueError("scorer returned a different number of results")
                 except Exception:  # noqa: BLE001 - isolate the failing row
                     res = []
                     for t in chunk:
                         try:
-                            res.append(tuple(scorer([t])[0]))
+                            res.append(tuple(score([t])[0]))
                         except Exception:  # noqa: BLE001
                             res.append(("ERROR", 0.0))
                 labels += [r[0] for r in res]
