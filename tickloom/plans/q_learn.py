@@ -12,6 +12,7 @@ from ..operators import features as fe
 from ..operators import learnset as ls
 from ..operators import models as md
 from ..operators import oversample as ov
+from ..operators import runs as ru
 from ..operators import sequence_model as sq
 from ..session import materialize, scratch_path
 from ..sources import fixtures as fx
@@ -315,7 +316,11 @@ def q_h4b(spark, sf):
 
 def boosted(spark, sf, name, cols):
     """200 rounds on the balanced rows, stored as a table of nodes."""
-    return spark.read.parquet(stored_once(spark, sf, name, lambda path: bo.store(bo.fit(spark, balanced(spark, sf, cols), cols), path)))
+    return spark.read.parquet(stored_booster(spark, sf, name, cols))
+
+
+def stored_booster(spark, sf, name, cols):
+    return stored_once(spark, sf, name, lambda path: bo.store(bo.fit(spark, balanced(spark, sf, cols), cols), path))
 
 
 @register("i2_boosted_trees", CHECKED_SQL)
@@ -577,6 +582,92 @@ def q_i9(spark, sf):
     return md.champion(spark.read.parquet(path), PRIORITY, "m1")
 
 
+# ------------------------------------------------------ the registry over time
+
+# A run of each model at the end of each year: measured on that year, and champion if it was right on half of it.
+RUNS_CTES = [
+    ("by_year", """SELECT model, CAST(year(date) AS INTEGER) AS y, avg(CAST(predicted_signal = label AS INTEGER)) AS accuracy
+                   FROM preds GROUP BY 1, 2"""),
+    ("moves", """SELECT model, y, make_date(y + 1, 1, 1) AS day, accuracy, CASE WHEN accuracy >= 0.5 THEN y - 1994 END AS version FROM by_year"""),
+    ("asked", """SELECT DISTINCT date_trunc('month', date)::DATE AS day FROM preds"""),
+    ("holds", """SELECT a.day, m.model, arg_max(struct_pack(v := m.version, acc := m.accuracy), m.day) AS h
+                 FROM asked a JOIN moves m ON m.day <= a.day GROUP BY 1, 2"""),
+    ("held", """SELECT day, first(model ORDER BY CASE model WHEN 'm3' THEN 1 WHEN 'm1' THEN 2 ELSE 3 END) AS champion,
+                       first(h.v ORDER BY CASE model WHEN 'm3' THEN 1 WHEN 'm1' THEN 2 ELSE 3 END) AS version,
+                       first(h.acc ORDER BY CASE model WHEN 'm3' THEN 1 WHEN 'm1' THEN 2 ELSE 3 END) AS accuracy
+                FROM holds WHERE h.v IS NOT NULL GROUP BY day"""),
+    ("champions", """SELECT a.day, coalesce(h.champion, 'm1') AS champion,
+                            CAST(coalesce(h.version, (SELECT max(y) - 1994 FROM moves m WHERE m.model = 'm1' AND m.day <= a.day)) AS INTEGER) AS version,
+                            coalesce(h.accuracy, 0.0) AS accuracy, h.champion IS NOT NULL AS by_alias
+                     FROM asked a LEFT JOIN held h USING (day)"""),
+]
+
+
+def run_log(spark, sf):
+    """The log of those runs, appended year by year's kind: runs, their accuracy, the alias."""
+    right = F.avg((F.col("predicted_signal") == F.col("label")).cast("int"))
+    y = fx.preds(spark, sf).groupBy("model", F.year("date").alias("y")).agg(right.alias("accuracy"))
+    y = materialize(spark, y.select("model", F.make_date(F.col("y") + 1, F.lit(1), F.lit(1)).cast("timestamp").alias("at"),
+                                    (F.col("y") - 1994).alias("version"), "accuracy"))
+    store = scratch_path(spark, "run_log")
+    ru.record(y.select("at", F.lit(0).alias("seq"), F.lit("run").alias("event"), "model", "version", F.lit("signals").alias("kind")), store)
+    ru.record(y.select("at", F.lit(1).alias("seq"), F.lit("metric").alias("event"), "model", "version", F.lit("accuracy").alias("name"),
+                       F.col("accuracy").alias("value")), store)
+    ru.record(y.select("at", F.lit(2).alias("seq"), F.lit("alias").alias("event"), "model", F.lit("champion").alias("name"),
+                       F.when(F.col("accuracy") >= 0.5, F.col("version")).alias("version")), store)
+    return ru.events(spark, store)
+
+
+def monthly_champions(spark, sf):
+    asked = fx.preds(spark, sf).select(F.trunc("date", "month").cast("timestamp").alias("at"))
+    return ru.champion_as_of(run_log(spark, sf), asked, PRIORITY, "m1")
+
+
+@register("i9_champion_as_of", with_views(["preds"], """
+    SELECT day, champion, version, round(accuracy, 8) AS accuracy, by_alias FROM champions""", RUNS_CTES))
+def q_i9b(spark, sf):
+    """Who was champion at the start of each month, as the log tells it afterwards."""
+    c = monthly_champions(spark, sf)
+    return c.select(F.to_date("at").alias("day"), "champion", "version", R("accuracy", 8).alias("accuracy"), "by_alias")
+
+
+@register("i9_score_as_of", with_views(["preds"], """
+    SELECT p.symbol, p.date, c.champion, c.version, p.predicted_signal, round(p.confidence, 8) AS confidence
+    FROM preds p JOIN champions c ON date_trunc('month', p.date)::DATE = c.day AND p.model = c.champion""", RUNS_CTES))
+def q_i9c(spark, sf):
+    """Every day scored with the model that was champion at the start of its month."""
+    c = monthly_champions(spark, sf).select(F.to_date("at").alias("_month"), F.col("champion").alias("model"), "version")
+    p = fx.preds(spark, sf).withColumn("_month", F.trunc("date", "month")).join(c, ["_month", "model"])
+    return p.select("symbol", "date", F.col("model").alias("champion"), "version", "predicted_signal", R("confidence", 8).alias("confidence"))
+
+
+@register("i9_dispatch_stored", learn_sql("""
+    SELECT day, champion, symbol, date, true AS is_probability, true AS beats_constant FROM sp
+    CROSS JOIN (VALUES (DATE '2001-01-15', 'trading'), (DATE '2001-02-15', 'boosted'), (DATE '2001-03-15', 'trading')) d(day, champion)
+    WHERE split = 'test'"""))
+def q_i9d(spark, sf):
+    """The test rows scored with the stored model that the log names at three dates: a forest, then a booster, and
+    the forest again as the fallback when the alias has been taken away."""
+    store = scratch_path(spark, "run_log")
+    forest_at, booster_at = forest_path(spark, sf), stored_booster(spark, sf, "boosted", FEATURES)
+    rows = [("2001-01-01", "run", "trading", 1, None, "forest", forest_at), ("2001-01-01", "run", "boosted", 1, None, "boosted", booster_at),
+            ("2001-01-10", "alias", "trading", 1, "champion", None, None), ("2001-02-10", "alias", "trading", None, "champion", None, None),
+            ("2001-02-10", "alias", "boosted", 1, "champion", None, None), ("2001-03-10", "alias", "boosted", None, "champion", None, None)]
+    made = spark.createDataFrame(rows, "at string, event string, model string, version int, name string, kind string, path string")
+    ru.record(made.withColumn("at", F.to_timestamp("at")).withColumn("seq", F.lit(0)), store)
+    log = ru.events(spark, store)
+    asked = spark.createDataFrame([("2001-01-15",), ("2001-02-15",), ("2001-03-15",)], "at string").withColumn("at", F.to_timestamp("at"))
+    scorers = {"forest": lambda path: md.predict(md.load(path), test_rows(spark, sf)),
+               "boosted": lambda path: bo.predict(spark.read.parquet(path), scaled_test_rows(spark, sf), FEATURES)}
+    out = None
+    for c in sorted(ru.champion_as_of(log, asked, ["trading", "boosted"], "trading").collect(), key=lambda r: r["at"]):
+        p = ru.score_with(log, c["champion"], c["version"], scorers)
+        p = p.select(F.lit(c["at"].date()).alias("day"), F.lit(c["champion"]).alias("champion"), "symbol", "date",
+                     F.col("p_up").between(0, 1).alias("is_probability"), beats_constant(p).alias("beats_constant"))
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
 @register("i10_feature_importance", "SELECT feature, true AS in_range, true AS adds_up FROM (VALUES "
           + ", ".join(f"('{c}')" for c in fe.SCORING_FEATURES) + ") t(feature)")
 def q_i10(spark, sf):
