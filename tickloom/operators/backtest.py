@@ -9,8 +9,12 @@ of one ``groupBy(keys).agg`` - no Python loop over models or symbols.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import is_true, running, safe_div, series_window
@@ -236,3 +240,39 @@ def transpose_by_model(summary: DataFrame, models: list[str], keys=("symbol",))
     """J21 display: metrics as rows and one column per model (pivot on an
     explicit model list, so no extra job discovers the values)."""
     return summary.groupBy(*keys, "metric_order", "metric").pivot("model", models).agg(F.first("value"))
+
+
+class AllModelsFailed(RuntimeError):
+    """No model could be backtested; ``errors`` has each one's message."""
+
+    def __init__(self, errors: dict[str, str]):
+        super().__init__("no model could be backtested: " + "; ".join(f"{m}: {e}" for m, e in errors.items()))
+        self.errors = errors
+
+
+def isolated_comparison(spark: SparkSession, models: dict[str, Callable[[], DataFrame]], path: str, capital: float = 100_000.0,
+                        at_once: int = 4) -> tuple[DataFrame | None, dict[str, str]]:
+    """J16 with each model as a job of its own: ``models`` has for each name the function that loads the model and
+    makes its signals (symbol, date, price_close, predicted_signal).  The daily report of a model is written below ``path``
+    (one folder a model), and only a model whose report is whole enters the comparison.  A model that fails, on loading or in
+    the middle of its job, is skipped and named with its error; the others go on.  If all fail: ``AllModelsFailed``.  Without
+    models there is nothing to compare: (None, {}).  Up to ``at_once`` jobs run side by side, so that short ones fill the cluster."""
+    def one(name: str) -> str | None:
+        try:
+            signals = models[name]().withColumn("model", F.lit(name))
+            book = order_book(signals, capital=capital, first_row_position=False)
+            book.write.mode("overwrite").parquet(f"{path}/model={name}")
+        except Exception as e:  # noqa: BLE001 - the other models go on
+            return f"{type(e).__name__}: {e}".splitlines()[0]
+        return None
+
+    with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:
+        found = dict(zip(models, pool.map(inheritable_thread_target(one), models)))
+    errors = {m: e for m, e in found.items() if e is not None}
+    if models and len(errors) == len(models):
+        raise AllModelsFailed(errors)
+    fine = [m for m in models if m not in errors]
+    if not fine:
+        return None, errors
+    books = [spark.read.parquet(f"{path}/model={m}") for m in fine]
+    return backtest_metrics(reduce(DataFrame.unionByName, books), capital), errors

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import functions as F
@@ -344,3 +345,28 @@ def q_j21(spark, sf):
 def q_j21t(spark, sf):
     models = [m for m, _ in fx.SIGNAL_MODELS]
     return bt.transpose_by_model(bt.simulation_summary(ls_metrics(spark, sf)), models)
+
+
+@register("j16_isolated_comparison", with_views(["preds"], MET_SQL.replace("SELECT model,", "SELECT 'ok' AS status, model,", 1) + """
+    UNION ALL SELECT 'skipped', model, NULL, NULL, NULL, NULL, """ + ", ".join("NULL" for _ in MET_COLS6) + """
+    FROM (VALUES ('m4 not stored'), ('m5 spoilt')) t(model)""", ob_ctes(100_000.0, False) + metrics_ctes(100_000.0)))
+def q_j16b(spark, sf):
+    """Three sound models and two broken ones: one whose signals were never stored, and one with a spoilt
+    confidence that fails in the middle of its job.  Both are skipped and named."""
+    path = scratch_path(spark, "j16")
+    stored = f"{path}/signals"
+    fx.preds(spark, sf).write.partitionBy("model").parquet(stored)
+
+    def signals(name):
+        return spark.read.parquet(f"{stored}/model={name}").select("symbol", "date", "price_close", "predicted_signal", "confidence")
+
+    def spoilt():
+        text = F.when(F.col("date") == F.lit("1997-05-05").cast("date"), "n/a").otherwise(F.col("confidence").cast("string"))
+        read = F.when(text.try_cast("double").isNull(), F.raise_error(F.lit("not a confidence"))).otherwise(text.try_cast("double"))
+        return signals("m2").withColumn("predicted_signal", (read > 0.5).cast("int"))
+
+    models = {m: functools.partial(signals, m) for m, _ in fx.SIGNAL_MODELS}
+    models |= {"m4 not stored": functools.partial(signals, "m4"), "m5 spoilt": spoilt}
+    fine, errors = bt.isolated_comparison(spark, models, f"{path}/reports")
+    skipped = spark.createDataFrame([(m,) for m in sorted(errors)], "model string")
+    return _met_out(fine).withColumn("status", F.lit("ok")).unionByName(skipped.withColumn("status", F.lit("skipped")), allowMissingColumns=True)
