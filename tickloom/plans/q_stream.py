@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import rnd as R
 from ..session import scratch_path
 from ..streaming import daily_sentiment as sd
+from ..streaming import late_posts as lp
 from .q_sentiment import POSTS_CTES, clean_posts
 from .oracle import with_views
 from .registry import register
@@ -55,3 +56,23 @@ def q_m2(spark, sf):
     sd.event_time_daily_sentiment(spark, src, posts.schema, work)
     posts.where(~early).write.mode("append").parquet(src)
     return _out(sd.event_time_daily_sentiment(spark, src, posts.schema, work))
+
+
+@register("m3_late_posts_by_state", with_views(["posts"], f"""
+    SELECT symbol, fecha_limpia, volumen_posts, round(sentimiento_medio, 6) AS sentimiento_medio, round(sentimiento_std, 6) AS sentimiento_std,
+           CAST(deliveries AS INTEGER) AS deliveries
+    FROM social JOIN (SELECT symbol, fecha_limpia, count(DISTINCT fecha_limpia <= DATE '{SPLIT_DAY}' AND CAST(tweet_id AS BIGINT) % 2 = 0) AS deliveries
+                      FROM clean GROUP BY 1, 2) USING (symbol, fecha_limpia)""", POSTS_CTES))
+def q_m3(spark, sf):
+    """M1's two deliveries, with the late posts merged into each day's state: no stored post is read
+    again, and a day says how many deliveries brought it posts."""
+    posts = _scored(spark, sf)
+    work = scratch_path(spark, "m3")
+    src = f"{work}/landing"
+    first = (F.col("fecha_limpia") <= SPLIT_DAY) & (F.col("tweet_id").cast("bigint") % 2 == 0)
+    posts.where(first).write.mode("append").parquet(src)
+    lp.late_daily_sentiment(spark, src, posts.schema, work)
+    posts.where(~first).write.mode("append").parquet(src)
+    t = lp.late_daily_sentiment(spark, src, posts.schema, work)
+    return t.select("symbol", "fecha_limpia", "volumen_posts", R("sentimiento_medio", 6).alias("sentimiento_medio"),
+                    R("sentimiento_std", 6).alias("sentimiento_std"), "deliveries")
