@@ -9,6 +9,7 @@ from ..operators import news as nw
 from ..operators.contracts import GDELT_SENTIMENT, validate
 from ..session import scratch_path
 from ..sources.files import write_csv
+from ..sources import scan_cost as sc
 from ..sources import fixtures as fx
 from .oracle import with_views
 from .registry import register
@@ -73,6 +74,28 @@ def q_f1(spark, sf):
     return f.groupBy("date").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("f1_scan_cost", with_views(["news"], """
+    SELECT scope, count(DISTINCT date) AS days, true AS below_files, scope = 'range' AS in_budget FROM (
+      SELECT 'table' AS scope, date FROM news UNION ALL
+      SELECT 'range', date FROM news WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-12') GROUP BY scope"""))
+def q_f1c(spark, sf):
+    """What the range's scan would read against the whole table's: the days its files belong to, whether the two columns are
+    fewer bytes than the files, and whether it keeps a budget of half the table."""
+    path = scratch_path(spark, "news_by_day")
+    fx.news(spark, sf).write.mode("overwrite").partitionBy("date").parquet(path)
+    whole, cols = spark.read.parquet(path), ["date", "v2tone"]
+    ranged = whole.where(F.col("date").between(F.lit("2024-01-05").cast("date"), F.lit("2024-01-12").cast("date")))
+    budget = sc.scan_cost(whole, cols).agg(F.sum("column_bytes")).first()[0] // 2
+    out = None
+    for scope, scan in (("table", whole), ("range", ranged)):
+        cost = sc.scan_cost(scan, cols).agg(
+            F.count_distinct(F.regexp_extract("path", "date=([0-9-]+)", 1)).alias("days"),
+            (F.sum("column_bytes") < F.sum("file_bytes")).alias("below_files"), (F.sum("column_bytes") <= budget).alias("in_budget"))
+        cost = cost.select(F.lit(scope).alias("scope"), "days", "below_files", "in_budget")
+        out = cost if out is None else out.unionByName(cost)
+    return out
+
+
 @register("f3_untranslated_only", with_views(["news"], """
     SELECT date, count(*) FILTER (WHERE translationinfo IS NULL) AS untranslated, count(*) AS total
     FROM news GROUP BY 1"""))
