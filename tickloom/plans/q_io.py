@@ -10,6 +10,7 @@ from ..functions.exprs import rnd
 from ..session import scratch_path
 from ..sources import files as io
 from ..sources import fixtures as fx
+from ..sources import paged
 from .oracle import with_views
 from .q_sentiment import POSTS_CTES, clean_posts
 from .registry import register
@@ -150,3 +151,18 @@ def q_a1b(spark, sf):
     io.write_csv(fx.bars(spark, sf).select(*BARS_SCHEMA.fieldNames()), path)
     b = io.read_csv(spark, path, BARS_SCHEMA)
     return b.groupBy("symbol").agg(rnd(F.sum("close"), 2).alias("sum_close"), F.sum("volume").alias("volume"))
+
+
+@register("a8_paged_collection", with_views(["posts"], """
+    SELECT strftime(day, '%Y-%m-%d') AS day, CAST(id AS VARCHAR) AS id, text, CAST(favoritos AS VARCHAR) AS likes FROM (
+      SELECT id, text, favoritos, DATE '1996-01-01' + CAST(floor(id / 25) AS INTEGER) AS day FROM posts)"""))
+def q_a8b(spark, sf):
+    """The posts served in pages of ten a day and collected again by following the cursors."""
+    path = scratch_path(spark, "pages")
+    p = fx.raw_posts(spark, sf)
+    day = F.date_add(F.lit("1996-01-01").cast("date"), F.floor(F.col("id") / 25).cast("int")).cast("string")
+    p = p.select(day.alias("day"), F.col("id").cast("string").alias("id"), F.col("ts_text").alias("published_time"), "text",
+                 F.col("retweets").cast("string").alias("reposts"), F.col("favoritos").cast("string").alias("likes"))
+    paged.write_pages(p, path, 10, [F.col("id").cast("bigint")])
+    paged.register(spark)
+    return spark.read.format("paged_posts").option("path", path).load().select("day", "id", "text", "likes")
