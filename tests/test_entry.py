@@ -17,9 +17,9 @@ SF = "/root/testdata/sf0.001"
 # starting with its lower-case ID.
 BUILT = (["a%d" % i for i in range(1, 10)] + ["b%d" % i for i in range(1, 18)] + ["c%d" % i for i in range(1, 9)]
          + ["d%d" % i for i in range(1, 16)] + ["e%d" % i for i in range(1, 17)] + ["f%d" % i for i in range(1, 8)]
-         + ["g%d" % i for i in range(1, 13)] + ["h1", "h2", "h3", "h5", "h6", "h7", "h8"]
+         + ["g%d" % i for i in range(1, 13)] + ["h1", "h2", "h3", "h4", "h5", "h6", "h7", "h8"]
          + ["i%d" % i for i in range(1, 13)] + ["j%d" % i for i in range(1, 22)] + ["k%d" % i for i in range(1, 12)]
-         + ["l%d" % i for i in range(1, 16)] + ["m1", "m2"])
+         + ["l%d" % i for i in range(1, 16)] + ["m1", "m2", "m3"])
 
 
 def test_entry_smoke(spark):
