@@ -74,3 +74,14 @@ def test_daily_tone_filters(spark):
     t = nw.daily_tone(nw.filter_news(df, "2024-01-01", "2024-01-31", "org 1")).collect()
     assert len(t) == 1 and t[0]["volumen_noticias"] == 2 and t[0]["sentimiento_promedio"] == 2.0
     assert t[0]["volatilidad_sentimiento"] == pytest.approx(1.414)
+
+
+def test_company_news_reports_each_event_on_its_days(spark):
+    """Every event is reported on all its days: fewer reports leave fewer rows to train on."""
+    from tickloom.sources import fixtures as fx
+    from tickloom.sources.tables import read_table
+    sf = "/root/testdata/sf0.001"
+    n = read_table(spark, sf, "events").count()
+    days = fx.company_news(spark, sf).groupBy("date").count()
+    assert days.agg({"count": "sum"}).first()[0] == 24 * n
+    assert days.count() == min(2405, 24 * n)
