@@ -39,3 +39,18 @@ def test_event_time_drops_posts_behind_the_watermark(spark):
     t = as_map(sd.event_time_daily_sentiment(spark, src, first.schema, work, watermark="2 days"))
     assert t[1] == (1, 0.2)
     assert t[9] == (1, 0.6) and t[10] == (1, 0.4)
+
+
+def test_incremental_files_do_not_grow_with_the_days(spark):
+    import glob
+    work = scratch_path(spark, "t_m1_files")
+    src = f"{work}/landing"
+    for part in (0, 1):
+        df = spark.range(600).selectExpr("cast(id as string) AS tweet_id", "'S' AS symbol", "timestamp'2026-01-01 12:00:00' AS fecha_utc",
+                                         "date_add(date'2026-01-01', cast(id % 300 as int)) AS fecha_limpia",
+                                         f"cast(id % 2 + {part} as double) AS puntuacion_sentimiento")
+        df.coalesce(2).write.mode("append").parquet(src)
+        t = sd.incremental_daily_sentiment(spark, src, df.schema, work)
+    assert t.count() == 300 and {r[0] for r in t.select("volumen_posts").distinct().collect()} == {4}
+    assert len(glob.glob(f"{work}/posts_store/**/*.parquet", recursive=True)) <= 8
+    assert len(glob.glob(f"{work}/daily/**/*.parquet", recursive=True)) < 100

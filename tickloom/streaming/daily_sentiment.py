@@ -2,10 +2,11 @@
 
 M1 - exact incremental: a file stream of scored posts is processed with
 ``foreachBatch``.  Each micro-batch is evaluated once, to store it under its own
-epoch folder (overwrite, so a retried epoch is idempotent).  The days it touches
-are re-aggregated from the stored posts of those days, and the daily table,
-partitioned by day, has just these days replaced.  A late post re-opens its
-day, as in the reference.
+epoch folder (overwrite, so a retried epoch is idempotent), in files sorted by
+day: their day ranges prune the reads, and their number does not grow with the
+days.  The days it touches are re-aggregated from the stored posts of those
+days, and replace these days' rows in the next version of the daily table.  A
+late post re-opens its day, as in the reference.
 
 M2 - event time: the same daily aggregate as a windowed streaming
 aggregation with a watermark; state for a day is dropped once the watermark
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.sentiment import daily_sentiment
-from ..operators.upsert import drop_versions, read_table_version, upsert_table, write_days
+from ..operators.upsert import drop_versions, read_table_version, upsert_table
 
 KEYS = ["symbol", "fecha_limpia"]
 VERSIONS_KEPT = 2
@@ -38,17 +39,20 @@ def incremental_daily_sentiment(spark: SparkSession, source_dir: str, schema: T.
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         s = batch.sparkSession
-        write_days(batch, f"{store}/epoch={epoch_id}")
+        batch.sortWithinPartitions("fecha_limpia").write.mode("overwrite").parquet(f"{store}/epoch={epoch_id}")
         stored = s.read.schema(stored_schema).parquet(store)
         touched = stored.where(F.col("epoch") == epoch_id).select("fecha_limpia").distinct()
-        # the day is a partition column of the store: the semi-join prunes it
-        posts = stored.join(touched, "fecha_limpia", "left_semi")
-        write_days(daily_sentiment(posts), table, parts=1)
+        span = touched.agg(F.min("fecha_limpia").alias("first"), F.max("fecha_limpia").alias("last")).first()
+        # the range prunes files and pages by their statistics, the semi-join keeps the touched days
+        posts = (stored.where(F.col("fecha_limpia").between(F.lit(span["first"]), F.lit(span["last"])))
+                 .join(touched, "fecha_limpia", "left_semi"))
+        upsert_table(s, table, daily_sentiment(posts).withColumn("batch_seq", F.lit(epoch_id)), KEYS)
+        drop_versions(s, table, VERSIONS_KEPT)
 
     q = (stream.writeStream.foreachBatch(process).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(table)
+    return read_table_version(spark, table).drop("batch_seq")
 
 
 def event_time_daily_sentiment(spark: SparkSession, source_dir: str, schema: T.StructType, work_dir: str,
