@@ -164,3 +164,34 @@ def test_params_from_file_name(spark):
     with pytest.raises(Exception):
         bad.select(params_from_name("n")).collect()
     assert range_bounds("2026-01-05", "2026-01-05") == ("2026-01-05", "2026-01-06")
+
+
+def test_small_days_have_one_file_and_large_ones_parts(spark, monkeypatch):
+    monkeypatch.setattr(up, "DAY_ROWS", 100)
+    df = spark.range(1290).selectExpr("id", "date_add(date'2026-01-01', cast(if(id < 290, id % 29, 29) as int)) AS fecha_limpia")
+    path = scratch_path(spark, "t_one_file")
+    up.write_days(df.unionByName(spark.sql("SELECT 0L AS id, CAST(NULL AS date) AS fecha_limpia")).repartition(8), path)
+    files = {os.path.basename(d): len([f for f in names if f.endswith(".parquet")]) for d, _, names in os.walk(path) if "=" in os.path.basename(d)}
+    assert len(files) == 31 and 2 <= files.pop("fecha_limpia=2026-01-30") <= 4 and set(files.values()) == {1}
+    assert spark.read.parquet(path).count() == 1291
+    up.write_days(df.where("id = 5"), path)                     # just this day is replaced
+    assert spark.read.parquet(path).count() == 1291 - 9
+
+
+def test_consolidate_lists_the_days_asked_for(spark):
+    df = spark.range(400).selectExpr("cast(id as string) AS tweet_id", "date_add(date'2025-12-01', cast(id % 100 as int)) AS fecha_limpia")
+    path = scratch_path(spark, "t_range")
+    up.write_days(df, path)
+    got = up.consolidate(spark, path, "2025-12-30", "2026-02-02")
+    assert got.count() == 4 * 35 and len(got.inputFiles()) == 35
+    with pytest.raises(FileNotFoundError):
+        up.consolidate(spark, path, "2027-01-01", "2027-02-01")
+
+
+def test_posts_by_day_small_days_have_one_file(spark):
+    from tickloom.sources import files as io
+    raw = spark.range(200).selectExpr("cast(id as string) AS ID_Tweet", "if(id = 7, 'x', concat('2026-01-', lpad(id % 20 + 1, 2, '0'), ' 10:00:00')) AS Fecha_UTC")
+    path = scratch_path(spark, "t_posts_by_day")
+    assert io.partition_by_day(raw.repartition(8), path, "Fecha_UTC", "yyyy-MM-dd HH:mm:ss") == 1
+    assert len([f for _, _, names in os.walk(path) for f in names if f.endswith(".csv")]) == 20
+    assert spark.read.option("header", True).csv(path).count() == 199

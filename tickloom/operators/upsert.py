@@ -13,6 +13,8 @@ A stored table is a folder of versions ``v=N``.  A version counts once its
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -114,22 +116,50 @@ def pending_days(candidates: DataFrame, processed: DataFrame, keys: list[str]) -
     return candidates.join(processed.select(*keys).distinct(), keys, "left_anti")
 
 
+DAY_ROWS = 100_000      # of a day that one file holds, unless that takes more than ``parts`` files
+NO_MERGE_AT_THE_END = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}    # tasks move their files side by side
+
+
+def by_day(df: DataFrame, day: str, parts: int, sizes: DataFrame | None = None) -> DataFrame:
+    """Rows dealt for a write by day: a small day goes to one task, one of more than ``DAY_ROWS`` rows to up to
+    ``parts`` by a salt.  The number of tasks is given, as it is the files that take the time: merged by their few
+    bytes, the days would be written by one task.  ``sizes``: the rows whose days are counted, if not ``df``."""
+    n = F.ceil(F.count(F.lit(1)) / DAY_ROWS)
+    large = (sizes or df).groupBy(F.col(day).alias("_day")).agg(F.least(n, F.lit(parts)).alias("_files")).where("_files > 1")
+    dealt = df.join(F.broadcast(large), F.col(day).eqNullSafe(F.col("_day")), "left")
+    salt = F.pmod(F.xxhash64(*df.columns), F.coalesce("_files", F.lit(1)))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(tasks, F.col(day), salt).select(*df.columns)
+
+
 def write_days(df: DataFrame, path: str, day: str = "fecha_limpia", parts: int = 4) -> None:
     """Dynamic partition overwrite - only the days present in ``df`` are
-    replaced.  Rows are shuffled by day and a salt first, so a day has at most
-    ``parts`` files however many tasks made the rows, and a large day is
-    written by several tasks."""
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(parts))
-    (df.repartition(F.col(day), salt).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    replaced.  Rows are shuffled by day first (``by_day``), so a day has one
+    file, or up to ``parts`` if it is large, however many tasks made the rows."""
+    (by_day(df, day, parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**NO_MERGE_AT_THE_END)
      .partitionBy(day).parquet(path))
 
 
+def _months(first: str, last: str) -> list[str]:
+    """The months from one ISO day to another, as yyyy-mm."""
+    a, b = (int(d[:4]) * 12 + int(d[5:7]) - 1 for d in (first, last))
+    return [f"{m // 12:04d}-{m % 12 + 1:02d}" for m in range(a, b + 1)]
+
+
 def consolidate(spark: SparkSession, path: str, start: str, end: str, day: str = "fecha_limpia",
                 id_col: str = "tweet_id") -> DataFrame:
-    """All day chunks in [start, end] (partition-pruned read); none -> error;
-    rows without an id dropped."""
-    df = spark.read.parquet(path)
-    df = df.where(F.col(day).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    """All day chunks in [start, end]; none -> error; rows without an id
+    dropped.  Only the folders of these days are listed, not the whole table's."""
+    first, last = dt.date.fromisoformat(start).isoformat(), dt.date.fromisoformat(end).isoformat()
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    # a brace pattern of the months lists the root once and matches only what lies near the range
+    near = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"{day}={{{','.join(_months(first, last))}}}-*"))
+    names = [st.getPath().getName() for st in near or []]
+    inside = [n for n in names if first <= n.split("=", 1)[1] <= last]
+    if not inside:
+        raise FileNotFoundError(f"no day chunks between {start} and {end}")
+    df = spark.read.option("basePath", path).parquet(*[f"{path}/{n}" for n in inside])
     if df.isEmpty():
         raise FileNotFoundError(f"no day chunks between {start} and {end}")
     return df.dropna(subset=[id_col])

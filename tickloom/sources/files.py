@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.upsert import NO_MERGE_AT_THE_END, by_day
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A1 / A2: CSV with a header and a declared schema (no inference; an id
@@ -51,16 +53,18 @@ def partition_by_day(df: DataFrame, path: str, ts_col: str = "Fecha_UTC", fmt: s
     """A5: coerce the timestamp, drop unparsable rows (their count is
     returned, observed while writing), write one folder per calendar day; the
     helper day column lives only in the folder name.  Rows are shuffled by day
-    and a salt first: a day has at most ``parts`` files however many tasks made
-    the rows."""
+    first (``by_day``): a day has one file, or up to ``parts`` if it is large,
+    however many tasks made the rows."""
     from pyspark.sql import Observation
     ts = F.try_to_timestamp(F.col(ts_col), F.lit(fmt)) if fmt else F.try_to_timestamp(F.col(ts_col))
     obs = Observation("partition_by_day")
-    d = df.withColumn("_ts", ts).observe(obs, F.count_if(F.col("_ts").isNull()).alias("dropped"))
-    d = d.where(F.col("_ts").isNotNull()).withColumn(day_col, F.to_date("_ts")).drop("_ts")
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(parts))
-    (d.repartition(F.col(day_col), salt).write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False)
-     .option("ignoreTrailingWhiteSpace", False).partitionBy(day_col).csv(path))
+    timed = df.withColumn("_ts", ts)
+
+    def dated(t: DataFrame) -> DataFrame:
+        return t.where(F.col("_ts").isNotNull()).withColumn(day_col, F.to_date("_ts")).drop("_ts")
+    d = dated(timed.observe(obs, F.count_if(F.col("_ts").isNull()).alias("dropped")))
+    (by_day(d, day_col, parts, dated(timed)).write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).options(**NO_MERGE_AT_THE_END).partitionBy(day_col).csv(path))
     return int(obs.get["dropped"])
 
 
