@@ -71,3 +71,15 @@ def test_killed_and_resumed_loses_and_repeats_no_row(spark):
     pages(spark, N, first=36, path=path)
     run()
     assert collected() == list(range(N))
+
+
+def test_many_days_make_few_files_and_tasks(spark, monkeypatch):
+    import glob
+    path, df = pages(spark)
+    assert len(glob.glob(f"{path}/**/part-*", recursive=True)) == 6           # a file a day, not one a page
+    monkeypatch.setattr(paged, "MOST", 4)
+    assert [p.days for p in paged.runs([str(i) for i in range(6)])] == [["0", "1"], ["2", "3"], ["4", "5"]]
+    reader = paged.PagedReader({"path": path})
+    got = [row for p in reader.partitions() for row in reader.read(p)]
+    assert len(reader.partitions()) == 3 and len(got) == N
+    assert sorted(got, key=repr) == sorted(map(tuple, df.select("day", *paged.FIELDS).collect()), key=repr)
