@@ -80,3 +80,11 @@ def test_one_class_is_an_error_and_a_large_table_too(spark, model):
 def test_empty_table(spark, model):
     df = spark.createDataFrame([], "id int, text string")
     assert st.score_texts(df, loader=tm.Loader(spark, model)).collect() == []
+
+
+def test_few_texts_are_held_at_once(spark):
+    """A worker scores slices of an Arrow batch: other columns, nulls and order stay as they are."""
+    df = spark.range(1000).selectExpr("id", "if(id % 7 = 0, null, id) AS n", "if(id % 5 = 0, null, concat('t', id)) AS text").coalesce(1)
+    got = st.score_texts(df, scorer=lambda texts: [(t or "none", float(len(texts))) for t in texts], batch_size=1000).collect()
+    assert [r["id"] for r in got] == list(range(1000)) and max(r["score"] for r in got) == 256
+    assert all((r["n"] is None) == (r["id"] % 7 == 0) and r["label"] == (f"t{r['id']}" if r["id"] % 5 else "none") for r in got)

@@ -2,7 +2,7 @@
 
 Scoring (G1) is either the default word-list scorer, written entirely in
 Catalyst higher-order functions (no Python per row, no shuffle), or an injected
-batch scorer run with ``mapInPandas``, fed in Arrow batches, with per-row failure
+batch scorer run with ``mapInArrow``, fed in slices of Arrow batches, with per-row failure
 isolation (G10).  ``loader`` makes the scorer once in each Python worker, which
 keeps it for its later tasks (``text_model`` holds a learnt one).
 """
@@ -12,6 +12,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +34,7 @@ NEGATIVE_WORDS = [
 LABEL_MAP = {"Positive": 1, "Neutral": 0, "Negative": -1}
 ANSWER_STATES = ["positivo", "negativo", "neutro"]
 WORD_SPLIT = r"[^\p{L}]+"
+SLICE = 256           # rows of an Arrow batch that are Python strings at once
 
 ScoreFn = Callable[[Sequence[str]], Sequence[tuple[str, float]]]
 
@@ -65,11 +67,31 @@ def _worker_scorer(loader) -> ScoreFn:
     return sys._tickloom_scorer[1]
 
 
+def isolated(score: ScoreFn, texts: list[str], batch_size: int) -> list[tuple[str, float]]:
+    """(label, score) of each text, in batches; the rows of a failing batch one by one."""
+    out = []
+    for i in range(0, len(texts), batch_size):
+        chunk = texts[i:i + batch_size]
+        try:
+            res = list(score(chunk))
+            if len(res) != len(chunk):
+                raise ValueError("scorer returned a different number of results")
+        except Exception:  # noqa: BLE001 - isolate the failing row
+            res = []
+            for t in chunk:
+                try:
+                    res.append(tuple(score([t])[0]))
+                except Exception:  # noqa: BLE001
+                    res.append(("ERROR", 0.0))
+        out += res
+    return out
+
+
 def score_texts(df: DataFrame, text: str = "text", scorer: ScoreFn | None = None,
                 batch_size: int = 16, loader: Callable[[], ScoreFn] | None = None) -> DataFrame:
     """G1 + G10: append (label, score).  With ``scorer`` (a picklable callable
     taking a list of texts and returning (label, score) pairs) the work runs in
-    ``mapInPandas``; a failing batch is retried row by row and a failing row
+    ``mapInArrow``; a failing batch is retried row by row and a failing row
     becomes ("ERROR", 0.0).  ``loader`` (picklable, with a ``key`` that names the
     model) makes the scorer in the worker instead; if that fails, the task does."""
     if scorer is None and loader is None:
@@ -79,29 +101,20 @@ def score_texts(df: DataFrame, text: str = "text", scorer: ScoreFn | None = None
     out_schema = T.StructType(df.schema.fields + [T.StructField("label", T.StringType()),
                                                   T.StructField("score", T.DoubleType())])
 
-    def run(it):
+    at, names = df.columns.index(text), out_schema.names
+
+    def run(batches):
         score = scorer if loader is None else _worker_scorer(loader)
-        for pdf in it:
-            texts = pdf[text].fillna("").astype(str).tolist()
-            labels, scores = [], []
-            for i in range(0, len(texts), batch_size):
-                chunk = texts[i:i + batch_size]
-                try:
-                    res = list(score(chunk))
-                    if len(res) != len(chunk):
-                        raise ValueError("scorer returned a different number of results")
-                except Exception:  # noqa: BLE001 - isolate the failing row
-                    res = []
-                    for t in chunk:
-                        try:
-                            res.append(tuple(score([t])[0]))
-                        except Exception:  # noqa: BLE001
-                            res.append(("ERROR", 0.0))
-                labels += [r[0] for r in res]
-                scores += [float(r[1]) for r in res]
-            yield pdf.assign(label=labels, score=scores)
-
-    return df.mapInPandas(run, out_schema)
+        for b in batches:
+            # small slices: a worker holds the texts of one as Python strings, not those of a whole batch
+            for first in range(0, b.num_rows, SLICE):
+                part = b.slice(first, SLICE)
+                texts = ["" if t is None else str(t) for t in part.column(at).to_pylist()]
+                done = isolated(score, texts, batch_size)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([r[0] for r in done], pa.string()),
+                                                  pa.array([float(r[1]) for r in done], pa.float64())], names=names)
+
+    return df.mapInArrow(run, out_schema)
 
 
 def continuous_score(label: str | Column = "label", score: str | Column = "score", digits: int = 4) -> Column:

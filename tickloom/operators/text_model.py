@@ -23,6 +23,7 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .sentiment import ScoreFn
 
 WINDOW = 512
@@ -48,6 +49,10 @@ def fit(labelled: DataFrame, path: str, text: str = "text", label: str = "label"
         raise ValueError("the labelled texts hold fewer than two classes")
     share = F.when(F.col("label") == 1, 0.5 / sizes[1.0]).otherwise(0.5 / sizes[0.0]) * sum(sizes.values())
     rows = w.select("label", (share / F.size("_w")).alias("weight"), F.explode("_w").alias("words"))
+    # the windows are stored once: the vocabulary, the vectors and the fit read them, not the texts
+    held = scratch_path(spark, "text-windows")
+    rows.write.parquet(held)
+    rows = spark.read.parquet(held)
     steps = [CountVectorizer(inputCol="words", outputCol="features", vocabSize=vocabulary, minDF=float(min_texts), binary=True),
              LogisticRegression(labelCol="label", weightCol="weight", regParam=ridge, standardization=False, maxIter=rounds)]
     terms, line = Pipeline(stages=steps).fit(rows).stages
