@@ -88,3 +88,11 @@ def test_attributions_add_up(spark):
         assert total == pytest.approx(r.log_odds - r.base_value, abs=0.02)
         assert sum(r["mean"]) * 5 == pytest.approx(total)
     assert max(abs(r.log_odds - r.base_value) for r in rows) > 0.3
+
+
+def test_one_gradient_reaches_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(sm, "FLAT", 3)
+    parts = spark.sparkContext.parallelize(range(10), 10).map(lambda k: (k, (float(k), 1, np.full(4, 0.1 * k))))
+    loss, n, total = sm.summed(parts, 10)
+    assert (loss, n) == (45.0, 10) and np.allclose(total, 4.5)
+    assert sm.summed(parts.filter(lambda p: p[0] == 0).coalesce(1), 1)[1] == 1

@@ -2,8 +2,8 @@
 
 Training is synchronous and data-parallel.  The sequences (H5) are placed by a hash of
 their key and held as blocks; each step sends the parameters out, every task runs its
-part of the step's batch forward and back, and the sum of the gradients comes back (one
-vector of the model's size for each task, added up in a tree where there are many).
+part of the step's batch forward and back, and the gradients are added up in further tasks, in a
+tree where there are many: one vector of the model's size comes back.
 Adam moves the parameters on the driver.  After each epoch the same pass without
 gradients gives the loss of the validation tail (H7): the rate is halved when it stalls,
 training ends when it has not improved for ``patience`` epochs, and the best parameters
@@ -25,6 +25,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,7 +33,7 @@ from pyspark.sql import types as T
 from ..session import scratch_path
 
 ROWS = 1 << 14        # sequences of a block
-FLAT = 32             # partitions whose gradients go straight to the driver
+FLAT = 32             # gradients that one task adds
 AT_ONCE = 2048        # sequences run forward together
 
 
@@ -215,6 +216,16 @@ def pass_over(rows: Iterator[tuple], net: Net, fit: bool, batches: int, batch: i
     return loss, n, total
 
 
+def summed(parts: RDD, tasks: int) -> tuple:
+    """The sum of (loss, rows, gradient) over (task, its part): up to ``FLAT`` are added in one task, in the order of the
+    tasks, until one is left.  One gradient reaches the driver, however many tasks there are."""
+    while tasks > 1:
+        tasks = -(-tasks // FLAT)
+        parts = (parts.map(lambda p: (p[0] // FLAT, p)).groupByKey(tasks)
+                 .mapValues(lambda own: tuple(sum(x) for x in zip(*[v for _, v in sorted(own, key=lambda p: p[0])]))))
+    return parts.values().first()
+
+
 def fit(spark: SparkSession, seqs: DataFrame, features: int, keys=("symbol", "date"), label: str = "label", part: str = "part",
         hidden=(128, 64, 32), dense: int = 16, epochs: int = 50, batch: int = 1024, rate: float = 0.001, dropout: float = 0.3,
         patience: int = 15, stall: int = 5, least_rate: float = 1e-5, seed: int = 42) -> tuple[Net, list[tuple[int, float, float, float]]]:
@@ -229,12 +240,9 @@ def fit(spark: SparkSession, seqs: DataFrame, features: int, keys=("symbol", "da
     steps = max(1, round(counts[True] / batch))
 
     def added(fit_side: bool, batches: int, which: int, now: int):
-        def run(rows):
-            yield pass_over(rows, net, fit_side, batches, which, dropout, now)
-        parts = held.mapPartitions(run)
-        if tasks <= FLAT:
-            return [sum(x) for x in zip(*parts.collect())]
-        return parts.treeReduce(lambda a, b: tuple(x + y for x, y in zip(a, b)))
+        def run(k, rows):
+            yield k, pass_over(rows, net, fit_side, batches, which, dropout, now)
+        return summed(held.mapPartitionsWithIndex(run), tasks)
 
     first = second = np.zeros(len(net.values))
     best, best_loss, waited, stalled, done, history = net.values, np.inf, 0, 0, 0, []
