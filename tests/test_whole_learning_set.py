@@ -60,3 +60,10 @@ def keys(rows):
 
 def test_e9_contract_checked(spark, complete):
     assert keys(run(spark, "e9_contract_checked").collect()) == keyed(complete)
+
+
+def test_e2_join_news_tone(spark, days, reports):
+    got = {(r["symbol"], r["date"]): r for r in run(spark, "e2_join_news_tone").collect()}
+    assert sorted(got) == keyed(days)
+    assert all((r["volumen_noticias"] or 0) == reports[key] for key, r in got.items())
+    assert all((r["volatilidad_sentimiento"] is not None) == (reports[key] >= 2) for key, r in got.items())
