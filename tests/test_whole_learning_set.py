@@ -67,3 +67,9 @@ def test_e2_join_news_tone(spark, days, reports):
     assert sorted(got) == keyed(days)
     assert all((r["volumen_noticias"] or 0) == reports[key] for key, r in got.items())
     assert all((r["volatilidad_sentimiento"] is not None) == (reports[key] >= 2) for key, r in got.items())
+
+
+def test_e12_traditional_variant(spark, complete):
+    got = run(spark, "e12_traditional_variant")
+    assert "sentimiento_promedio" not in got.columns and "VIX" in got.columns
+    assert keys(got.collect()) == keyed(complete)
