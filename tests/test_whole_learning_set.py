@@ -73,3 +73,9 @@ def test_e12_traditional_variant(spark, complete):
     got = run(spark, "e12_traditional_variant")
     assert "sentimiento_promedio" not in got.columns and "VIX" in got.columns
     assert keys(got.collect()) == keyed(complete)
+
+
+def test_e13_numeric_only(spark, complete, reports):
+    got = run(spark, "e13_numeric_only").collect()
+    assert Counter((r["year"], r["month"], r["day_of_month"], r["volumen_noticias"]) for r in got) == Counter(
+        (d.year, d.month, d.day, reports[s, d]) for s, d in keyed(complete))
