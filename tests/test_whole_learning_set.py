@@ -79,3 +79,9 @@ def test_e13_numeric_only(spark, complete, reports):
     got = run(spark, "e13_numeric_only").collect()
     assert Counter((r["year"], r["month"], r["day_of_month"], r["volumen_noticias"]) for r in got) == Counter(
         (d.year, d.month, d.day, reports[s, d]) for s, d in keyed(complete))
+
+
+def test_e14_class_balance(spark, complete):
+    got = run(spark, "e14_class_balance").collect()
+    assert {r["symbol"]: r["rows"] for r in got} == {s: len(ds) for s, ds in complete.items()}
+    assert all(0 < r["class_balance"] < 1 for r in got)
