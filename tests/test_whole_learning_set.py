@@ -85,3 +85,9 @@ def test_e14_class_balance(spark, complete):
     got = run(spark, "e14_class_balance").collect()
     assert {r["symbol"]: r["rows"] for r in got} == {s: len(ds) for s, ds in complete.items()}
     assert all(0 < r["class_balance"] < 1 for r in got)
+
+
+def test_e16_keep_existing_columns(spark, complete):
+    got = run(spark, "e16_keep_existing_columns")
+    assert got.columns == ["close", "volume", "RSI", "sentimiento_promedio", "volatilidad_sentimiento", "VIX"]
+    assert got.count() == got.dropna().count() == len(keyed(complete))
