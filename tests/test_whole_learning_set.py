@@ -91,3 +91,9 @@ def test_e16_keep_existing_columns(spark, complete):
     got = run(spark, "e16_keep_existing_columns")
     assert got.columns == ["close", "volume", "RSI", "sentimiento_promedio", "volatilidad_sentimiento", "VIX"]
     assert got.count() == got.dropna().count() == len(keyed(complete))
+
+
+def test_h1_chronological_split(spark, complete):
+    got = run(spark, "h1_chronological_split").collect()
+    assert keys(r for r in got if r["split"] == "train") == keyed(train(complete))
+    assert keys(r for r in got if r["split"] == "test") == keyed(held_out(complete))
