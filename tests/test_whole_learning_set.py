@@ -97,3 +97,10 @@ def test_h1_chronological_split(spark, complete):
     got = run(spark, "h1_chronological_split").collect()
     assert keys(r for r in got if r["split"] == "train") == keyed(train(complete))
     assert keys(r for r in got if r["split"] == "test") == keyed(held_out(complete))
+
+
+def test_h2_standardise_train_stats(spark, complete):
+    got = run(spark, "h2_standardise_train_stats").toPandas()
+    assert keys(got.to_dict("records")) == keyed(complete)
+    fitted = got[got.split == "train"].groupby("symbol")[["close", "RSI", "VIX", "volume", "daily_return"]]
+    assert fitted.mean().abs().to_numpy().max() < 1e-5
