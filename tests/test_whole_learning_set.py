@@ -104,3 +104,9 @@ def test_h2_standardise_train_stats(spark, complete):
     assert keys(got.to_dict("records")) == keyed(complete)
     fitted = got[got.split == "train"].groupby("symbol")[["close", "RSI", "VIX", "volume", "daily_return"]]
     assert fitted.mean().abs().to_numpy().max() < 1e-5
+
+
+def test_h2_standardise_refit(spark, complete):
+    got = run(spark, "h2_standardise_refit").toPandas()
+    assert keys(got.to_dict("records")) == keyed(complete)
+    assert got.groupby("symbol")[["close", "RSI", "VIX", "volume", "daily_return"]].mean().abs().to_numpy().max() < 1e-5
