@@ -110,3 +110,11 @@ def test_h2_standardise_refit(spark, complete):
     got = run(spark, "h2_standardise_refit").toPandas()
     assert keys(got.to_dict("records")) == keyed(complete)
     assert got.groupby("symbol")[["close", "RSI", "VIX", "volume", "daily_return"]].mean().abs().to_numpy().max() < 1e-5
+
+
+def test_h3_class_weights(spark, complete):
+    got = {(r["symbol"], r["date"]): r for r in run(spark, "h3_class_weights").collect()}
+    assert sorted(got) == keyed(complete)
+    for s, ds in train(complete).items():
+        n = Counter(got[s, d]["target_direction"] for d in ds)
+        assert all(got[s, d]["weight"] == pytest.approx(len(ds) / (2 * n[got[s, d]["target_direction"]]), abs=1e-7) for d in ds)
