@@ -118,3 +118,10 @@ def test_h3_class_weights(spark, complete):
     for s, ds in train(complete).items():
         n = Counter(got[s, d]["target_direction"] for d in ds)
         assert all(got[s, d]["weight"] == pytest.approx(len(ds) / (2 * n[got[s, d]["target_direction"]]), abs=1e-7) for d in ds)
+
+
+def test_h5_train_sequences(spark, complete):
+    got = sorted((r["symbol"], r["split"], r["date"], r["step"], r["step_date"]) for r in run(spark, "h5_train_sequences").collect())
+    parts = [("train", train(complete)), ("test", held_out(complete))]
+    assert got == sorted((s, split, ds[i], k, ds[i - 5 + k]) for split, found in parts for s, ds in found.items()
+                         for i in range(5, len(ds)) for k in range(5))
