@@ -125,3 +125,10 @@ def test_h5_train_sequences(spark, complete):
     parts = [("train", train(complete)), ("test", held_out(complete))]
     assert got == sorted((s, split, ds[i], k, ds[i - 5 + k]) for split, found in parts for s, ds in found.items()
                          for i in range(5, len(ds)) for k in range(5))
+
+
+def test_h7_validation_tail(spark, complete):
+    got = run(spark, "h7_validation_tail").collect()
+    sequences = {s: ds[5:] for s, ds in train(complete).items()}
+    assert keys(got) == keyed(sequences)
+    assert keys(r for r in got if r["part"] == "val") == keyed({s: ds[len(ds) - int(len(ds) * 0.2):] for s, ds in sequences.items()})
