@@ -132,3 +132,18 @@ def test_h7_validation_tail(spark, complete):
     sequences = {s: ds[5:] for s, ds in train(complete).items()}
     assert keys(got) == keyed(sequences)
     assert keys(r for r in got if r["part"] == "val") == keyed({s: ds[len(ds) - int(len(ds) * 0.2):] for s, ds in sequences.items()})
+
+
+@pytest.fixture
+def short_fits(monkeypatch):
+    """Models of a few rounds, kept apart from those that other tests store."""
+    from tickloom.plans import q_learn
+    rounds = q_learn.bo.fit
+    monkeypatch.setattr(q_learn, "_STORED", {})
+    monkeypatch.setattr(q_learn.bo, "fit", lambda spark, df, cols: rounds(spark, df, cols, rounds=2, depth=2))
+
+
+def test_i1_random_forest(spark, complete, short_fits):
+    got = run(spark, "i1_random_forest").collect()
+    assert keys(got) == keyed(held_out(complete))
+    assert all(r["is_probability"] and r["class_agrees"] for r in got)
