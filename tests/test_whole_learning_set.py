@@ -147,3 +147,9 @@ def test_i1_random_forest(spark, complete, short_fits):
     got = run(spark, "i1_random_forest").collect()
     assert keys(got) == keyed(held_out(complete))
     assert all(r["is_probability"] and r["class_agrees"] for r in got)
+
+
+def test_i2_boosted_trees(spark, complete, short_fits):
+    got = run(spark, "i2_boosted_trees").collect()
+    assert keys(got) == keyed(held_out(complete))
+    assert all(r["is_probability"] and r["class_agrees"] for r in got)
