@@ -153,3 +153,11 @@ def test_i2_boosted_trees(spark, complete, short_fits):
     got = run(spark, "i2_boosted_trees").collect()
     assert keys(got) == keyed(held_out(complete))
     assert all(r["is_probability"] and r["class_agrees"] for r in got)
+
+
+def test_i3_sentiment_variants(spark, complete, short_fits):
+    got = run(spark, "i3_sentiment_variants").collect()
+    n = len(keyed(held_out(complete)))
+    assert sorted((r["family"], r["variant"], r["rows"]) for r in got) == [
+        (f, v, n) for f in ("boosted", "forest") for v in ("traditional", "with_sentiment")]
+    assert all(r["in_range"] for r in got)
