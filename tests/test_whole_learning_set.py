@@ -161,3 +161,13 @@ def test_i3_sentiment_variants(spark, complete, short_fits):
     assert sorted((r["family"], r["variant"], r["rows"]) for r in got) == [
         (f, v, n) for f in ("boosted", "forest") for v in ("traditional", "with_sentiment")]
     assert all(r["in_range"] for r in got)
+
+
+def test_models_share_one_split_table(spark, complete, monkeypatch):
+    from tickloom.plans import q_learn
+    made, split_table = [], q_learn.split_table
+    monkeypatch.setattr(q_learn, "_STORED", {})
+    monkeypatch.setattr(q_learn, "split_table", lambda spark, sf: made.append(sf) or split_table(spark, sf))
+    frames = [make(spark, SF) for make in (q_learn.learn_frame, q_learn.scaled_frame, q_learn.test_rows)]
+    assert [keys(f.collect()) for f in frames] == [keyed(complete), keyed(complete), keyed(held_out(complete))]
+    assert made == [SF]

@@ -184,11 +184,6 @@ def placed(spark, df):
     return materialize(spark, once.repartition(n, "symbol", "date").sortWithinPartitions("symbol", "date"))
 
 
-def learn_frame(spark, sf):
-    """Split + class weights (H1, H3)."""
-    return placed(spark, ls.class_weights(materialize(spark, split_table(spark, sf))))
-
-
 def stored_once(spark, sf, name, make):
     """Path of a table or model: made and stored by the first query of the session that asks for it, read by the others."""
     key = (spark.sparkContext.applicationId, sf, name)
@@ -199,6 +194,16 @@ def stored_once(spark, sf, name, make):
     return _STORED[key]
 
 
+def split_rows(spark, sf):
+    """The split table (H1), stored once a session: the company's news is read once for all that models learn from and score."""
+    return spark.read.parquet(stored_once(spark, sf, "split", lambda path: split_table(spark, sf).write.parquet(path)))
+
+
+def learn_frame(spark, sf):
+    """Split + class weights (H1, H3)."""
+    return placed(spark, ls.class_weights(split_rows(spark, sf)))
+
+
 def stored_forest(spark, sf, name, pipeline):
     def make(path):
         train = learn_frame(spark, sf).where(F.col("split") == "train")
@@ -233,7 +238,7 @@ def checked(p):
 
 
 def test_rows(spark, sf):
-    return materialize(spark, split_table(spark, sf).where(F.col("split") == "test"))
+    return split_rows(spark, sf).where(F.col("split") == "test")
 
 
 CHECKED_SQL = learn_sql("""SELECT symbol, date, target_direction, true AS is_probability, true AS class_agrees, true AS beats_constant
@@ -255,7 +260,7 @@ def q_i1b(spark, sf):
 def scaled_frame(spark, sf):
     """H2 of the split table, stored once a session: features by the train statistics."""
     def make(path):
-        whole = materialize(spark, split_table(spark, sf).select("symbol", "date", "split", "target_direction", *FEATURES))
+        whole = split_rows(spark, sf).select("symbol", "date", "split", "target_direction", *FEATURES)
         ls.standardise(whole, FEATURES).write.parquet(path)
     return spark.read.parquet(stored_once(spark, sf, "scaled", make))
 
